@@ -1,14 +1,16 @@
 """The jobs' input tables as projections of the test tables.
 
-The clinic and analytics tables do not exist in the test data. Each is derived here twice from the same
-whole tables: as a DataFrame, and (``SQL``) as the text the check runs on the other engine.
+The clinic and analytics tables do not exist in the test data. Each is derived from whole test tables by one
+SQL text, which both engines run; only the few constructs they spell differently are filled in per engine.
 """
 
 from __future__ import annotations
 
+import re
+from collections.abc import Iterator, Mapping
 from datetime import date
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 EVENT_DAYS = (date(2024, 1, 5), date(2024, 1, 25))
 USER_ID_PATH = "$.k"
@@ -20,22 +22,70 @@ POST_NAMES = (
     "Врач", "Администратор", "Медицинский регистратор", "Оператор", "Медсестра",
     "Менеджер", "Лаборант", "Акушерка", "Санитар",
 )
-_POST_SQL = "[" + ", ".join(f"'{n}'" for n in POST_NAMES) + "]"
+_POSTS = ", ".join(f"'{n}'" for n in POST_NAMES)
+
+SCHEMAS = {
+    "region": "r_regionkey int, r_name string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+    "supplier": "s_suppkey bigint, s_name string, s_nationkey int, s_acctbal double",
+    "part": "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, p_retailprice double",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
+    "o_orderdate timestamp_ntz, o_orderpriority string",
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double, "
+    "l_extendedprice double, l_discount double, l_tax double, l_returnflag string, l_linestatus string, "
+    "l_shipdate timestamp_ntz",
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string",
+}
+
+# What the two engines spell differently. Names in angle brackets stand for these in the texts below.
+_DUCK = {
+    "line": "concat_ws('-', l_orderkey, l_linenumber, l_partkey, l_suppkey, strftime(l_shipdate, '%Y%m%d'))",
+    "created": "o_orderdate + to_seconds((o_orderkey * 7919) % 86400)",
+    "slot": "o_orderdate + to_days(CAST(o_orderkey % 21 - 1 AS INTEGER)) + to_hours(9 + o_orderkey % 8)",
+    "k": "CAST(json_extract_string(props, '$.k') AS BIGINT)",
+    "post_name": f"list_extract([{_POSTS}], p_partkey % 9 + 1)",
+    "child": "['CHILD', 'X']", "adult": "['ADULT']", "other": "['OTHER']",
+    "per_10000": "sum(CASE WHEN o_orderpriority = '1-URGENT' THEN 10000 ELSE 0 END) // count(*)",
+    "month": "CAST(date_trunc('month', o_orderdate) AS DATE)",
+}
+_SPARK = {
+    "line": "concat_ws('-', CAST(l_orderkey AS STRING), CAST(l_linenumber AS STRING), CAST(l_partkey AS STRING),"
+    " CAST(l_suppkey AS STRING), date_format(l_shipdate, 'yyyyMMdd'))",
+    "created": "timestampadd(SECOND, CAST(o_orderkey * 7919 % 86400 AS INT), o_orderdate)",
+    "slot": "timestampadd(HOUR, CAST(24 * (o_orderkey % 21 - 1) + 9 + o_orderkey % 8 AS INT), o_orderdate)",
+    "k": "CAST(get_json_object(props, '$.k') AS BIGINT)",
+    "post_name": f"element_at(array({_POSTS}), CAST(p_partkey % 9 AS INT) + 1)",
+    "child": "array('CHILD', 'X')", "adult": "array('ADULT')", "other": "array('OTHER')",
+    "per_10000": "sum(CASE WHEN o_orderpriority = '1-URGENT' THEN 10000 ELSE 0 END) div count(*)",
+    "month": "trunc(o_orderdate, 'MM')",
+}
+
+
+def _later(engine: dict[str, str], time: str, unit: str, count: str) -> str:
+    if engine is _SPARK:
+        return f"timestampadd({unit}, CAST({count} AS INT), {time})"
+    return f"{time} + to_{unit.lower()}s(CAST({count} AS INTEGER))"
 
-_LINE = (
-    "concat_ws('-', l_orderkey, l_linenumber, l_partkey, l_suppkey, strftime(l_shipdate, '%Y%m%d'))"
-)
-_CREATED = "o_orderdate + to_seconds((o_orderkey * 7919) % 86400)"
-_SLOT = "o_orderdate + to_days(CAST(o_orderkey % 21 - 1 AS INTEGER)) + to_hours(9 + o_orderkey % 8)"
 
-SQL: dict[str, str] = {
+def _spell(text: str, engine: dict[str, str]) -> str:
+    """Fill in ``<name>``, and ``<name + count UNIT>`` for a time moved on."""
+    text = re.sub(
+        r"<(\w+) \+ ([^<>]+) (HOUR|DAY)>",
+        lambda m: _later(engine, engine[m[1]], m[3], m[2]),
+        text,
+    )
+    return re.sub(r"<(\w+)>", lambda m: engine[m[1]], text)
+
+
+TEXTS: dict[str, str] = {
     # analytics
     "mobile_events": """
-        SELECT CAST(event_id AS VARCHAR) AS uuid,
+        SELECT CAST(event_id AS STRING) AS uuid,
                CASE WHEN k % 3 = 0 THEN k END AS profile_id,
                CASE WHEN event_id % 50 <> 0 THEN user_id END AS appmetrica_device_id,
                ts AS event_datetime, event_type AS event_name
-        FROM (SELECT *, CAST(json_extract_string(props, '$.k') AS BIGINT) AS k FROM events)""",
+        FROM (SELECT *, <k> AS k FROM events)""",
     "web_events": """
         SELECT event_id AS watch_id, user_id AS client_id, ts AS date_time,
                event_type = 'view' AS is_page_view,
@@ -45,7 +95,7 @@ SQL: dict[str, str] = {
     "web_params": """
         SELECT event_id AS watch_id, ts AS date_time,
                CASE k % 3 WHEN 0 THEN props WHEN 1 THEN '{bad' ELSE '{}' END AS params
-        FROM (SELECT *, CAST(json_extract_string(props, '$.k') AS BIGINT) AS k FROM events)
+        FROM (SELECT *, <k> AS k FROM events)
         WHERE event_id % 4 <> 0""",
     "allowed": "SELECT DISTINCT event_type FROM events WHERE event_type IN ('click', 'purchase')",
     # presence over several years
@@ -56,7 +106,7 @@ SQL: dict[str, str] = {
                CASE WHEN o_orderkey % 3 = 0 THEN 'lk' ELSE 'oz' END AS product,
                CASE WHEN o_orderkey % 4 < 2 THEN 'web' ELSE 'mobile' END AS platform,
                CASE WHEN o_custkey % 3 = 0 THEN o_custkey END AS internal_user_id,
-               CASE WHEN o_orderkey % 37 <> 0 THEN CAST(o_custkey + 1 AS VARCHAR) END AS external_user_id
+               CASE WHEN o_orderkey % 37 <> 0 THEN CAST(o_custkey + 1 AS STRING) END AS external_user_id
         FROM orders""",
     # people and staff
     "people": """
@@ -72,21 +122,21 @@ SQL: dict[str, str] = {
         FROM supplier""",
     "sysuser": "SELECT 'u' || s_suppkey AS oid FROM supplier",
     "staff_name": "SELECT 'u' || s_suppkey AS sysuser, 'Name ' || (s_suppkey % 7) AS full_name FROM supplier",
-    "post": f"""
-        SELECT DISTINCT 'po' || (p_partkey % 9) AS oid, {_POST_SQL}[CAST(p_partkey % 9 AS INTEGER) + 1] AS name
+    "post": """
+        SELECT DISTINCT 'po' || (p_partkey % 9) AS oid, <post_name> AS name
         FROM part""",
     "lpu_geo": "SELECT 'l' || n_nationkey AS oid, n_name AS fullname FROM nation",
     # prescriptions: one per order, and a later unbooked one for some orders
-    "presc": f"""
+    "presc": """
         SELECT 'r' || o_orderkey AS id, 'm' || o_custkey AS mdoc_id, 'v' || o_orderkey AS visit_id,
                CASE o_orderstatus WHEN 'F' THEN 'sign' WHEN 'O' THEN 'new'
                     ELSE CASE WHEN o_orderkey % 5 <> 0 THEN 'done_lab' END END AS presc_state_id,
                'pt' || (o_orderkey % 20) AS presctype_id, 's' || (o_custkey % 10) AS creator_id,
-               {_CREATED} AS create_dt, {_CREATED} + to_days(CAST(o_orderkey % 40 AS INTEGER)) AS upd_dt
+               <created> AS create_dt, <created + o_orderkey % 40 DAY> AS upd_dt
         FROM orders
         UNION ALL
         SELECT 'w' || o_orderkey, 'm' || o_custkey, 'v' || o_orderkey, 'sign', 'pt0',
-               's' || ((o_orderkey + o_orderkey % 2) % 10), {_SLOT} + to_hours(o_orderkey % 3), {_SLOT}
+               's' || ((o_orderkey + o_orderkey % 5 % 2) % 10), <slot + o_orderkey % 4 HOUR>, <slot>
         FROM orders WHERE o_orderkey % 6 = 0""",
     "visit": """
         SELECT 'v' || o_orderkey AS id,
@@ -94,10 +144,10 @@ SQL: dict[str, str] = {
                     WHEN '2-HIGH' THEN 'dms' WHEN '3-MEDIUM' THEN 'oms' END AS pay_type_id
         FROM orders""",
     # schedule
-    "schedule": f"""
+    "schedule": """
         SELECT 'sl' || o_orderkey AS oid, 's' || (o_orderkey % 10) AS sotr,
                CASE WHEN o_orderkey % 4 = 0 THEN 'u' || (o_orderkey % 10) END AS sysuser,
-               'l' || (o_custkey % 25) AS lpu, {_SLOT} AS starton,
+               'l' || (o_custkey % 25) AS lpu, <slot> AS starton,
                CASE WHEN o_orderkey % 29 = 0 THEN 'repair' END AS blockreason,
                CAST(CASE WHEN o_orderkey % 11 = 0 THEN 1 ELSE 0 END AS INTEGER) AS islocked,
                CASE o_orderkey % 13 WHEN 0 THEN 'WorkTimeCabinet' WHEN 1 THEN NULL ELSE 'WorkTime' END
@@ -109,21 +159,21 @@ SQL: dict[str, str] = {
                CASE WHEN o_orderkey % 17 <> 0 THEN 'r' || o_orderkey END AS presc_id,
                'pt' || (o_orderkey % 20) AS presctype
         FROM orders""",
-    "schedule_log": f"""
+    "schedule_log": """
         SELECT 'sl' || o_orderkey AS schedule, 'ps' || o_orderkey AS presc_schedule,
                'pt' || (o_orderkey % 20) AS presctype, 's' || (o_orderkey * 3 % 10) AS operator,
-               {_CREATED} AS operation_date_time, CAST(1 AS INTEGER) AS action,
+               <created> AS operation_date_time, CAST(1 AS INTEGER) AS action,
                CASE o_orderkey % 4 WHEN 0 THEN 'запись ДМС' WHEN 1 THEN NULL ELSE 'запись' END AS commentary
         FROM orders
         UNION ALL
         SELECT 'sl' || o_orderkey, 'ps' || o_orderkey, 'pt' || (o_orderkey % 20),
-               's' || (o_orderkey * 7 % 10), {_CREATED} + to_hours(1), CAST(o_orderkey % 3 AS INTEGER), 'ДМС'
+               's' || (o_orderkey * 7 % 10), <created + 1 HOUR>, CAST(o_orderkey % 3 AS INTEGER), 'ДМС'
         FROM orders WHERE o_orderkey % 7 = 0""",
     "presctype": """
         SELECT DISTINCT 'pt' || (p_partkey % 20) AS oid, 'f' || (p_partkey % 4) AS presctypefolderid_parent,
                CASE WHEN p_partkey % 5 <> 0 THEN CAST(p_partkey % 5 AS INTEGER) END AS time_cells,
-               CASE p_partkey % 20 % 4 WHEN 0 THEN ['CHILD', 'X'] WHEN 1 THEN ['ADULT']
-                    WHEN 2 THEN ['OTHER'] END AS tags
+               CASE p_partkey % 20 % 4 WHEN 0 THEN <child> WHEN 1 THEN <adult>
+                    WHEN 2 THEN <other> END AS tags
         FROM part""",
     "presctypefolder": "SELECT DISTINCT 'f' || (p_partkey % 4) AS id FROM part WHERE p_partkey % 4 <> 3",
     "schedule_work_time": """
@@ -133,60 +183,63 @@ SQL: dict[str, str] = {
                CAST(CASE WHEN p_partkey % 40 % 3 = 0 THEN 0 ELSE 1 END AS INTEGER) AS insite
         FROM part""",
     # services and money
-    "presc_service": f"""
-        SELECT {_LINE} AS oid, 'r' || l_orderkey AS presc, 'sp' || l_partkey AS service_presctype FROM lineitem""",
+    "presc_service": """
+        SELECT <line> AS oid, 'r' || l_orderkey AS presc, 'sp' || l_partkey AS service_presctype FROM lineitem""",
     "service_presctype": "SELECT 'sp' || p_partkey AS oid, 'sv' || p_partkey AS service FROM part",
     "services": """
         SELECT 'sv' || p_partkey AS oid,
                CASE p_partkey % 5 WHEN 0 THEN 'budget' WHEN 2 THEN 'cash' WHEN 3 THEN 'dms'
                     WHEN 4 THEN 'sp_budget' END AS pay_type
         FROM part""",
-    "price": f"""
-        SELECT 'r' || l_orderkey AS presc_id, {_LINE} AS presc_service_oid,
+    "price": """
+        SELECT 'r' || l_orderkey AS presc_id, <line> AS presc_service_oid,
                CAST(l_extendedprice AS DECIMAL(18,4)) AS base_price
         FROM lineitem WHERE l_quantity <> 13""",
     "discount": """
         SELECT DISTINCT 'd' || (p_partkey % 10) AS oid,
                CASE WHEN p_partkey % 10 <> 0 THEN CAST(p_partkey % 10 AS DECIMAL(18,4)) END AS percent
         FROM part""",
-    "discount_presc": f"""
-        SELECT {_LINE} AS presc_service, 'd' || (l_partkey % 12) AS discount,
+    "discount_presc": """
+        SELECT <line> AS presc_service, 'd' || (l_partkey % 12) AS discount,
                CASE WHEN l_discount <> 0 THEN CAST(CAST(l_discount * 100 AS DECIMAL(9,2)) AS DECIMAL(18,4)) END
                    AS percent,
                CASE WHEN l_tax <> 0 THEN CAST(l_tax * 10 AS DECIMAL(18,4)) END AS fix_sum
         FROM lineitem WHERE l_linenumber <> 2
         UNION ALL
-        SELECT {_LINE}, 'd' || (l_suppkey % 12), NULL, NULL FROM lineitem WHERE l_linenumber = 1""",
+        SELECT <line>, 'd' || (l_suppkey % 12), NULL, NULL FROM lineitem WHERE l_linenumber = 1""",
     "finance_plan": """
         SELECT 'fp' || o_orderkey AS oid, 'v' || o_orderkey AS visit, o_orderkey % 2 = 0 AS fixed,
-               CAST(o_orderdate AS DATE) AS date_begin, CAST(o_orderdate + INTERVAL 800 DAY AS DATE) AS date_end
+               CAST(o_orderdate AS DATE) AS date_begin, CAST(o_orderdate + INTERVAL '800' DAY AS DATE) AS date_end
         FROM orders""",
-    "finance_plan_presc_service": f"""
-        SELECT {_LINE} AS presc_service, 'fp' || l_orderkey AS finance_plan
+    "finance_plan_presc_service": """
+        SELECT <line> AS presc_service, 'fp' || l_orderkey AS finance_plan
         FROM lineitem WHERE l_linenumber % 3 = 0""",
     # channel log
-    "appointment_record": f"""
+    "appointment_record": """
         SELECT 'r' || (o_orderkey - o_orderkey % 3) AS appointment_oid,
                CASE o_orderpriority WHEN '1-URGENT' THEN 'ONLINE_BOOKING' WHEN '2-HIGH' THEN 'ONLINE_BOOKING'
                     WHEN '3-MEDIUM' THEN 'APP' ELSE 'PARTNER' END AS source,
-               {_CREATED} AS created_at,
+               <created> AS created_at,
                CASE WHEN o_orderkey % 41 <> 0
-                    THEN {_CREATED} + to_days(CAST(o_orderkey % 7 AS INTEGER)) END AS updated_at
+                    THEN <created + o_orderkey % 7 DAY> END AS updated_at
         FROM orders""",
     # stored monthly figures
     "revenue_kpi": """
-        SELECT CAST(date_trunc('month', o_orderdate) AS DATE) AS month,
+        SELECT <month> AS month,
                CAST(sum(CAST(o_totalprice AS DECIMAL(18,2))) AS DECIMAL(18,2)) AS revenue
         FROM orders GROUP BY 1""",
     "ratio_kpi": """
-        SELECT CAST(date_trunc('month', o_orderdate) AS DATE) AS month,
-               CAST(sum(CASE WHEN o_orderpriority = '1-URGENT' THEN 10000 ELSE 0 END) // count(*) AS BIGINT)
+        SELECT <month> AS month,
+               CAST(<per_10000> AS BIGINT)
                    AS ratio_e4
         FROM orders GROUP BY 1""",
 }
 
+SQL = {name: _spell(text, _DUCK) for name, text in TEXTS.items()}
+
 
-def setting_sql(value: str) -> str:
+def setting_text(value: str) -> str:
+    """The clinic's settings with the given rounding mode."""
     return f"""
         SELECT CASE r_regionkey WHEN 0 THEN 'DiscountAmountRounding' ELSE r_name END AS param,
                '{value}' AS valuepar
@@ -200,219 +253,33 @@ def with_tables(*names: str, body: str, **extra: str) -> str:
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
-
-
-def _tag(prefix: str, number: Column | str) -> Column:
-    number = F.col(number) if isinstance(number, str) else number
-    return F.concat(F.lit(prefix), number.cast("string"))
-
+    return spark.read.schema(SCHEMAS[name]).parquet(f"{sf_dir}/{name}.parquet")
 
-def _shift(time: Column, unit: str, count: Column) -> Column:
-    return F.timestamp_add(unit, count.cast("int"), time)
 
+class Tables(Mapping[str, DataFrame]):
+    """The derived tables of one test folder, each built when first asked for."""
 
-def analytics(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    events = table(spark, sf_dir, "events")
-    k = F.get_json_object("props", USER_ID_PATH).cast("bigint")
-    event_id, kind = F.col("event_id"), F.col("event_type")
-    mobile = events.select(
-        event_id.cast("string").alias("uuid"),
-        F.when(k % 3 == 0, k).alias("profile_id"),
-        F.when(event_id % 50 != 0, F.col("user_id")).alias("appmetrica_device_id"),
-        F.col("ts").alias("event_datetime"),
-        kind.alias("event_name"),
-    )
-    web = events.select(
-        event_id.alias("watch_id"),
-        F.col("user_id").alias("client_id"),
-        F.col("ts").alias("date_time"),
-        (kind == "view").alias("is_page_view"),
-        F.when(kind == "error", "https://site/error").otherwise(F.concat(F.lit(GOAL_PREFIX), kind)).alias("url"),
-    )
-    params = events.filter(event_id % 4 != 0).select(
-        event_id.alias("watch_id"),
-        F.col("ts").alias("date_time"),
-        F.when(k % 3 == 0, F.col("props")).when(k % 3 == 1, "{bad").otherwise("{}").alias("params"),
-    )
-    allowed = events.filter(kind.isin("click", "purchase")).select("event_type").distinct()
-    return {"mobile_events": mobile, "web_events": web, "web_params": params, "allowed": allowed}
-
-
-def history(spark: SparkSession, sf_dir: str) -> DataFrame:
-    key, customer = F.col("o_orderkey"), F.col("o_custkey")
-    return table(spark, sf_dir, "orders").select(
-        F.to_date("o_orderdate").alias("activity_date"),
-        F.when(key % 4 == 0, "web_lk").when(key % 4 == 1, "booking").otherwise("appmetrica").alias("source"),
-        F.when(key % 3 == 0, "lk").otherwise("oz").alias("product"),
-        F.when(key % 4 < 2, "web").otherwise("mobile").alias("platform"),
-        F.when(customer % 3 == 0, customer).alias("internal_user_id"),
-        F.when(key % 37 != 0, (customer + 1).cast("string")).alias("external_user_id"),
-    )
+    def __init__(self, spark: SparkSession, sf_dir: str, **more: str):
+        self._spark, self._folder = spark, sf_dir
+        self._texts = TEXTS | more
+        self._built: dict[str, DataFrame] = {}
 
+    def __getitem__(self, name: str) -> DataFrame:
+        if name not in self._built:
+            text = _spell(self._texts[name], _SPARK).replace("{", "{{").replace("}", "}}")
+            used = {s for s in SCHEMAS if re.search(rf"\bFROM {s}\b", text)}
+            text = re.sub(r"\bFROM (\w+)", lambda m: f"FROM {{{m[1]}}}" if m[1] in used else m[0], text)
+            sources = {s: table(self._spark, self._folder, s) for s in used}
+            self._built[name] = self._spark.sql(text, **sources)
+        return self._built[name]
 
-def _dates() -> tuple[Column, Column]:
-    key = F.col("o_orderkey")
-    created = _shift(F.col("o_orderdate"), "SECOND", (key * 7919) % 86400)
-    slot = _shift(_shift(F.col("o_orderdate"), "DAY", key % 21 - 1), "HOUR", 9 + key % 8)
-    return created, slot
+    def __iter__(self) -> Iterator[str]:
+        return iter(self._texts)
 
-
-def clinic(spark: SparkSession, sf_dir: str, rounding: str = "") -> dict[str, DataFrame]:
-    """All clinic tables; ``rounding`` is the value of the clinic's rounding setting."""
-    customer, supplier, part, orders, lines, nation, region = (
-        table(spark, sf_dir, n) for n in "customer supplier part orders lineitem nation region".split()
-    )
-    c, s, p, o = F.col("c_custkey"), F.col("s_suppkey"), F.col("p_partkey"), F.col("o_orderkey")
-    owner = F.col("o_custkey")
-    created, slot = _dates()
-    line = F.concat_ws(
-        "-", *[F.col(x).cast("string") for x in ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")],
-        F.date_format("l_shipdate", "yyyyMMdd"),
-    )
-    money = "decimal(18,4)"
-    status, priority = F.col("o_orderstatus"), F.col("o_orderpriority")
-    own = orders.select(
-        _tag("r", o).alias("id"), _tag("m", owner).alias("mdoc_id"), _tag("v", o).alias("visit_id"),
-        F.when(status == "F", "sign").when(status == "O", "new").when(o % 5 != 0, "done_lab")
-        .alias("presc_state_id"),
-        _tag("pt", o % 20).alias("presctype_id"), _tag("s", owner % 10).alias("creator_id"),
-        created.alias("create_dt"), _shift(created, "DAY", o % 40).alias("upd_dt"),
-    )
-    walk_in = orders.filter(o % 6 == 0).select(
-        _tag("w", o).alias("id"), _tag("m", owner).alias("mdoc_id"), _tag("v", o).alias("visit_id"),
-        F.lit("sign").alias("presc_state_id"), F.lit("pt0").alias("presctype_id"),
-        _tag("s", (o + o % 2) % 10).alias("creator_id"),
-        _shift(slot, "HOUR", o % 3).alias("create_dt"), slot.alias("upd_dt"),
-    )
-    booked = orders.select(
-        _tag("sl", o).alias("schedule"), _tag("ps", o).alias("presc_schedule"),
-        _tag("pt", o % 20).alias("presctype"), _tag("s", o * 3 % 10).alias("operator"),
-        created.alias("operation_date_time"), F.lit(1).alias("action"),
-        F.when(o % 4 == 0, "запись ДМС").when(o % 4 != 1, "запись").alias("commentary"),
-    )
-    changed = orders.filter(o % 7 == 0).select(
-        _tag("sl", o).alias("schedule"), _tag("ps", o).alias("presc_schedule"),
-        _tag("pt", o % 20).alias("presctype"), _tag("s", o * 7 % 10).alias("operator"),
-        _shift(created, "HOUR", F.lit(1)).alias("operation_date_time"), (o % 3).cast("int").alias("action"),
-        F.lit("ДМС").alias("commentary"),
-    )
-    kind = p % 20
-    tags = {0: ["CHILD", "X"], 1: ["ADULT"], 2: ["OTHER"]}
-    tagged = F.when(kind % 4 == 0, F.array(*map(F.lit, tags[0]))).when(
-        kind % 4 == 1, F.array(*map(F.lit, tags[1]))
-    ).when(kind % 4 == 2, F.array(*map(F.lit, tags[2])))
-    own_discount = lines.filter(F.col("l_linenumber") != 2).select(
-        line.alias("presc_service"), _tag("d", F.col("l_partkey") % 12).alias("discount"),
-        F.when(F.col("l_discount") != 0, (F.col("l_discount") * 100).cast("decimal(9,2)").cast(money))
-        .alias("percent"),
-        F.when(F.col("l_tax") != 0, (F.col("l_tax") * 10).cast(money)).alias("fix_sum"),
-    )
-    card_discount = lines.filter(F.col("l_linenumber") == 1).select(
-        line.alias("presc_service"), _tag("d", F.col("l_suppkey") % 12).alias("discount"),
-        F.lit(None).cast(money).alias("percent"), F.lit(None).cast(money).alias("fix_sum"),
-    )
-    names = F.array(*[F.lit(n) for n in POST_NAMES])
-    return {
-        "people": customer.select(_tag("p", c).alias("oid"), F.when(c % 3 == 0, _tag("a", c)).alias("account_id")),
-        "pinfo": customer.filter(c % 4 < 3).select(
-            _tag("p", c).alias("oid"),
-            F.when(c % 4 == 0, True).when(c % 4 == 1, False).alias("auto_notification"),
-        ),
-        "mdoc": customer.select(_tag("m", c).alias("id"), _tag("p", c - c % 2).alias("people_id")),
-        "sotr": supplier.select(
-            _tag("s", s).alias("oid"), _tag("u", s).alias("sysuser"), _tag("po", s % 9).alias("post")
-        ),
-        "sysuser": supplier.select(_tag("u", s).alias("oid")),
-        "staff_name": supplier.select(_tag("u", s).alias("sysuser"), _tag("Name ", s % 7).alias("full_name")),
-        "post": part.select(
-            _tag("po", p % 9).alias("oid"), F.element_at(names, (p % 9).cast("int") + 1).alias("name")
-        ).distinct(),
-        "lpu_geo": nation.select(_tag("l", "n_nationkey").alias("oid"), F.col("n_name").alias("fullname")),
-        "presc": own.unionByName(walk_in),
-        "visit": orders.select(
-            _tag("v", o).alias("id"),
-            F.when(priority.isin("1-URGENT", "5-LOW"), "cash").when(priority == "2-HIGH", "dms")
-            .when(priority == "3-MEDIUM", "oms").alias("pay_type_id"),
-        ),
-        "schedule": orders.select(
-            _tag("sl", o).alias("oid"), _tag("s", o % 10).alias("sotr"),
-            F.when(o % 4 == 0, _tag("u", o % 10)).alias("sysuser"), _tag("l", owner % 25).alias("lpu"),
-            slot.alias("starton"), F.when(o % 29 == 0, "repair").alias("blockreason"),
-            F.when(o % 11 == 0, 1).otherwise(0).alias("islocked"),
-            F.when(o % 13 == 0, "WorkTimeCabinet").when(o % 13 != 1, "WorkTime").alias("work_mode"),
-            _tag("wt", owner % 40).alias("work_time"),
-        ),
-        "presc_schedule": orders.select(
-            _tag("ps", o).alias("id"), _tag("sl", o).alias("shedule_id"),
-            F.when(o % 17 != 0, _tag("r", o)).alias("presc_id"), _tag("pt", o % 20).alias("presctype"),
-        ),
-        "schedule_log": booked.unionByName(changed),
-        "presctype": part.select(
-            _tag("pt", kind).alias("oid"), _tag("f", p % 4).alias("presctypefolderid_parent"),
-            F.when(p % 5 != 0, (p % 5).cast("int")).alias("time_cells"), tagged.alias("tags"),
-        ).distinct(),
-        "presctypefolder": part.filter(p % 4 != 3).select(_tag("f", p % 4).alias("id")).distinct(),
-        "schedule_work_time": part.select(
-            _tag("wt", p % 40).alias("oid"),
-            F.concat(
-                _tag("pt", kind), _tag(",pt", (kind + 5) % 20), _tag(",pt", (kind + 7) % 20),
-                _tag(", pt", (kind + 9) % 20),
-            ).alias("presctype"),
-            F.when(p % 40 % 3 == 0, 0).otherwise(1).alias("insite"),
-        ).distinct(),
-        "presc_service": lines.select(
-            line.alias("oid"), _tag("r", "l_orderkey").alias("presc"),
-            _tag("sp", "l_partkey").alias("service_presctype"),
-        ),
-        "service_presctype": part.select(_tag("sp", p).alias("oid"), _tag("sv", p).alias("service")),
-        "services": part.select(
-            _tag("sv", p).alias("oid"),
-            F.when(p % 5 == 0, "budget").when(p % 5 == 2, "cash").when(p % 5 == 3, "dms")
-            .when(p % 5 == 4, "sp_budget").alias("pay_type"),
-        ),
-        "price": lines.filter(F.col("l_quantity") != 13).select(
-            _tag("r", "l_orderkey").alias("presc_id"), line.alias("presc_service_oid"),
-            F.col("l_extendedprice").cast(money).alias("base_price"),
-        ),
-        "discount": part.select(
-            _tag("d", p % 10).alias("oid"), F.when(p % 10 != 0, (p % 10).cast(money)).alias("percent")
-        ).distinct(),
-        "discount_presc": own_discount.unionByName(card_discount),
-        "finance_plan": orders.select(
-            _tag("fp", o).alias("oid"), _tag("v", o).alias("visit"), (o % 2 == 0).alias("fixed"),
-            F.to_date("o_orderdate").alias("date_begin"),
-            F.date_add(F.to_date("o_orderdate"), 800).alias("date_end"),
-        ),
-        "finance_plan_presc_service": lines.filter(F.col("l_linenumber") % 3 == 0).select(
-            line.alias("presc_service"), _tag("fp", "l_orderkey").alias("finance_plan")
-        ),
-        "systemsettings": region.select(
-            F.when(F.col("r_regionkey") == 0, "DiscountAmountRounding").otherwise(F.col("r_name")).alias("param"),
-            F.lit(rounding).alias("valuepar"),
-        ),
-        "appointment_record": orders.select(
-            _tag("r", o - o % 3).alias("appointment_oid"),
-            F.when(priority.isin("1-URGENT", "2-HIGH"), "ONLINE_BOOKING").when(priority == "3-MEDIUM", "APP")
-            .otherwise("PARTNER").alias("source"),
-            created.alias("created_at"),
-            F.when(o % 41 != 0, _shift(created, "DAY", o % 7)).alias("updated_at"),
-        ),
-    }
+    def __len__(self) -> int:
+        return len(self._texts)
 
 
-def stored_kpis(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    """Monthly figures as a warehouse would hold them; the ratio is cut to four digits."""
-    orders = table(spark, sf_dir, "orders")
-    month = F.trunc("o_orderdate", "MM").alias("month")
-    urgent = F.count_if(F.col("o_orderpriority") == "1-URGENT")
-    tenths = F.floor(urgent * 10000 / F.count(F.lit(1)))
-    return {
-        "revenue_kpi": orders.groupBy(month).agg(
-            F.sum(F.col("o_totalprice").cast("decimal(18,2)")).cast("decimal(18,2)").alias("revenue")
-        ),
-        "ratio_kpi": orders.groupBy(month).agg(
-            (tenths.cast("decimal(9,0)") * F.lit("0.0001").cast("decimal(5,4)")).cast("decimal(9,4)")
-            .alias("ratio_online_to_total")
-        ),
-    }
+def tables(spark: SparkSession, sf_dir: str, rounding: str = "") -> Tables:
+    """All derived tables; ``rounding`` is the value of the clinic's rounding setting."""
+    return Tables(spark, sf_dir, systemsettings=setting_text(rounding))

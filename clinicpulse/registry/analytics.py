@@ -49,7 +49,7 @@ ID_COLUMNS = f"source, external_user_id, internal_user_id, {time('first_seen_at'
 
 @query("identity_mobile", B.with_tables("mobile_events", ident=MOBILE_ID, body=f"SELECT {ID_COLUMNS} FROM ident"))
 def identity_mobile(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return identity.mobile(B.analytics(spark, sf_dir)["mobile_events"], START, END)
+    return identity.mobile(B.tables(spark, sf_dir)["mobile_events"], START, END)
 
 
 @query(
@@ -57,7 +57,7 @@ def identity_mobile(spark: SparkSession, sf_dir: str) -> DataFrame:
     B.with_tables("web_events", "web_params", ident=BOOKING_ID, body=f"SELECT {ID_COLUMNS} FROM ident"),
 )
 def identity_booking(spark: SparkSession, sf_dir: str) -> DataFrame:
-    t = B.analytics(spark, sf_dir)
+    t = B.tables(spark, sf_dir)
     return identity.booking(t["web_events"], t["web_params"], START, END, path=B.USER_ID_PATH)
 
 
@@ -66,7 +66,7 @@ def identity_booking(spark: SparkSession, sf_dir: str) -> DataFrame:
     B.with_tables("web_events", "web_params", ident=ACCOUNT_ID, body=f"SELECT {ID_COLUMNS} FROM ident"),
 )
 def identity_account(spark: SparkSession, sf_dir: str) -> DataFrame:
-    t = B.analytics(spark, sf_dir)
+    t = B.tables(spark, sf_dir)
     return identity.account(t["web_events"], t["web_params"], START, END, path=B.USER_ID_PATH)
 
 
@@ -107,27 +107,27 @@ PRESENCE_BODY = f"SELECT {PRESENCE_COLUMNS} FROM present"
 
 @query("presence_mobile_all", B.with_tables("mobile_events", present=PRESENT_MOBILE, body=PRESENCE_BODY))
 def presence_mobile_all(spark: SparkSession, sf_dir: str) -> DataFrame:
-    events = B.analytics(spark, sf_dir)["mobile_events"]
+    events = B.tables(spark, sf_dir)["mobile_events"]
     return presence.build(events, identity.mobile(events, START, END), presence.mobile_all(), START, END)
 
 
 @query("presence_allowlist", B.with_tables("mobile_events", "allowed", present=PRESENT_LISTED, body=PRESENCE_BODY))
 def presence_allowlist(spark: SparkSession, sf_dir: str) -> DataFrame:
-    t = B.analytics(spark, sf_dir)
+    t = B.tables(spark, sf_dir)
     known = identity.mobile(t["mobile_events"], START, END)
     return presence.build(t["mobile_events"], known, presence.mobile_listed(t["allowed"]), START, END)
 
 
 @query("presence_goal", B.with_tables("web_events", "web_params", present=PRESENT_GOAL, body=PRESENCE_BODY))
 def presence_goal(spark: SparkSession, sf_dir: str) -> DataFrame:
-    t = B.analytics(spark, sf_dir)
+    t = B.tables(spark, sf_dir)
     known = identity.booking(t["web_events"], t["web_params"], START, END, path=B.USER_ID_PATH)
     return presence.build(t["web_events"], known, presence.site_goals(B.GOAL_PREFIX), START, END)
 
 
 @query("presence_pageview", B.with_tables("web_events", "web_params", present=PRESENT_VIEW, body=PRESENCE_BODY))
 def presence_pageview(spark: SparkSession, sf_dir: str) -> DataFrame:
-    t = B.analytics(spark, sf_dir)
+    t = B.tables(spark, sf_dir)
     known = identity.account(t["web_events"], t["web_params"], START, END, path=B.USER_ID_PATH)
     return presence.build(t["web_events"], known, presence.site_page_views(), START, END)
 
@@ -159,7 +159,7 @@ BOOKING_USERS = f"""
     B.with_tables("history", spine=months_sql("1995-01-01", "2001-09-01"), body=monthly_sql(BOOKING_USERS)),
 )
 def mau_booking(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return mau.booking(B.history(spark, sf_dir), HISTORY_MONTHS)
+    return mau.booking(B.tables(spark, sf_dir)["history"], HISTORY_MONTHS)
 
 
 @query(
@@ -179,7 +179,7 @@ def mau_booking(spark: SparkSession, sf_dir: str) -> DataFrame:
     ),
 )
 def mau_account(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return mau.account(B.history(spark, sf_dir), HISTORY_MONTHS)
+    return mau.account(B.tables(spark, sf_dir)["history"], HISTORY_MONTHS)
 
 
 @query(
@@ -197,7 +197,7 @@ def mau_account(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def ytd_users(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Run on a leap day: years without one end on 28 February. 1994 has no data and gets 0."""
-    return mau.year_to_date(B.history(spark, sf_dir), date(2000, 2, 29), first_year=1994)
+    return mau.year_to_date(B.tables(spark, sf_dir)["history"], date(2000, 2, 29), first_year=1994)
 
 
 @query(
@@ -206,7 +206,7 @@ def ytd_users(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def recompute_months(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Stored up to March 2001: start a month earlier, and write 0 for the months still without data."""
-    history = B.history(spark, sf_dir)
+    history = B.tables(spark, sf_dir)["history"]
     stored = history.filter(F.col("activity_date") < F.lit(date(2001, 4, 1)))
     last = periods.last_value(stored, "activity_date")
     months = periods.trailing_months(last, as_of=date(2001, 12, 15), floor=False)
@@ -215,7 +215,7 @@ def recompute_months(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def users_from_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The whole chain on raw events: identity, presence of all four kinds, then monthly users."""
-    t = B.analytics(spark, sf_dir)
+    t = B.tables(spark, sf_dir)
     web, app = t["web_events"], t["mobile_events"]
     app_ids = identity.mobile(app, START, END)
     booking_ids = identity.booking(web, t["web_params"], START, END, path=B.USER_ID_PATH)
@@ -281,7 +281,7 @@ def identity_between(first: int, last: int) -> str:
     ),
 )
 def upsert_identity_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
-    events = B.analytics(spark, sf_dir)["mobile_events"]
+    events = B.tables(spark, sf_dir)["mobile_events"]
     stored = identity.mobile(events, date(2024, 1, 5), date(2024, 1, 7)).withColumn(
         "updated_at", F.lit(None).cast("timestamp_ntz")
     )
@@ -321,7 +321,7 @@ def presence_between(first: int, last: int) -> str:
     ),
 )
 def upsert_presence_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
-    events = B.analytics(spark, sf_dir)["mobile_events"]
+    events = B.tables(spark, sf_dir)["mobile_events"]
     old_ids = identity.mobile(events, date(2024, 1, 5), date(2024, 1, 7))
     new_ids = identity.mobile(events, date(2024, 1, 8), date(2024, 1, 12))
     stored = presence.build(events, old_ids, presence.mobile_all(), date(2024, 1, 5), date(2024, 1, 10)).withColumn(
