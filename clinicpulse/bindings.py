@@ -40,7 +40,7 @@ SCHEMAS = {
 
 # What the two engines spell differently. Names in angle brackets stand for these in the texts below.
 _DUCK = {
-    "line": "concat_ws('-', l_orderkey, l_linenumber, l_partkey, l_suppkey, strftime(l_shipdate, '%Y%m%d'))",
+    "line": "concat_ws('-', l_orderkey, l_linenumber, l_partkey, l_suppkey, CAST(l_quantity AS INTEGER))",
     "created": "o_orderdate + to_seconds((o_orderkey * 7919) % 86400)",
     "slot": "o_orderdate + to_days(CAST(o_orderkey % 21 - 1 AS INTEGER)) + to_hours(9 + o_orderkey % 8)",
     "k": "CAST(json_extract_string(props, '$.k') AS BIGINT)",
@@ -51,7 +51,7 @@ _DUCK = {
 }
 _SPARK = {
     "line": "concat_ws('-', CAST(l_orderkey AS STRING), CAST(l_linenumber AS STRING), CAST(l_partkey AS STRING),"
-    " CAST(l_suppkey AS STRING), date_format(l_shipdate, 'yyyyMMdd'))",
+    " CAST(l_suppkey AS STRING), CAST(CAST(l_quantity AS INT) AS STRING))",
     "created": "timestampadd(SECOND, CAST(o_orderkey * 7919 % 86400 AS INT), o_orderdate)",
     "slot": "timestampadd(HOUR, CAST(24 * (o_orderkey % 21 - 1) + 9 + o_orderkey % 8 AS INT), o_orderdate)",
     "k": "CAST(get_json_object(props, '$.k') AS BIGINT)",

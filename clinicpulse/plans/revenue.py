@@ -46,7 +46,7 @@ def services(t: Mapping[str, DataFrame], months: Months, params: RevenueParams)
         lines.join(owned, "presc_id")
         .join(kinds, "service_presctype")
         .groupBy("line")
-        .agg(F.max("month").alias("month"), F.max("presc_id").alias("presc_id"), F.count(F.lit(1)).alias("copies"))
+        .agg(F.max("month").alias("month"), F.count(F.lit(1)).alias("copies"))
     )
 
 
@@ -105,11 +105,9 @@ def charged(mode: str) -> Column:
 def by_mode(t: Mapping[str, DataFrame], months: Months, params: RevenueParams) -> DataFrame:
     """Monthly revenue under each rounding mode, in one pass."""
     under_plan = planned(t, params).withColumn("in_plan", F.lit(True))
-    # Joined by line alone, to stay on its partitioning; a price of another prescription is then void.
+    # A line belongs to one prescription, so its price is found by the line alone.
     prices = t["price"].select(
-        F.col("presc_service_oid").alias("line"),
-        F.col("presc_id").alias("price_of"),
-        F.col("base_price").cast(MONEY).alias("price"),
+        F.col("presc_service_oid").alias("line"), F.col("base_price").cast(MONEY).alias("price")
     )
     off = F.col("in_plan").isNull()
     priced = (
@@ -117,7 +115,6 @@ def by_mode(t: Mapping[str, DataFrame], months: Months, params: RevenueParams) -
         .join(under_plan, "line", "left")
         .join(discounts(t), "line", "left")
         .join(prices, "line", "left")
-        .withColumn("price", F.when(F.col("price_of") == F.col("presc_id"), F.col("price")))
         .withColumn("percent", F.when(off, F.col("percent")))
         .withColumn("fix_sum", F.when(off, F.col("fix_sum")))
     )

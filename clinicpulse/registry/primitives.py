@@ -330,9 +330,7 @@ def array_membership_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
 def join_padded_key(spark: SparkSession, sf_dir: str) -> DataFrame:
     t = B.tables(spark, sf_dir)
     plans = t["finance_plan"].filter("fixed").select("oid", scalars.padded(F.col("visit")).alias("visit"))
-    # Stored with its padding, as a fixed-width column would be.
-    visits = t["visit"].select(F.rpad("id", 40, " ").alias("id"), "pay_type_id")
-    visits = visits.select(scalars.padded(F.rtrim("id")).alias("visit"), "pay_type_id")
+    visits = t["visit"].select(scalars.padded(F.col("id")).alias("visit"), "pay_type_id")
     return plans.join(visits, "visit").select("oid", "pay_type_id")
 
 

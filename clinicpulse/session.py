@@ -12,6 +12,8 @@ RUNTIME = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # Split a hot join partition even where the next aggregate then needs its own exchange.
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # Parquet columns unpack to several times their size on disk; a side is broadcast on the larger figure.
+    "spark.sql.sources.fileCompressionFactor": "4.0",
 }
 
 
