@@ -7,11 +7,13 @@ from datetime import date
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from clinicpulse.functions import periods, scalars
+from clinicpulse.functions import scalars
 from clinicpulse.operators import rowid, staging, upsert
 from clinicpulse.sources import landing
 from clinicpulse.sources.specs import SPARK_TYPES, UUID, ExportSpec, Field
 
+# Partition column of the stored export tables: the day of the event.
+EVENT_DAY = "event_day"
 UUID_PATTERN = "^[0-9a-fA-F]{8}(-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}$"
 
 
@@ -39,22 +41,21 @@ def fan_out(wide: DataFrame, spec: ExportSpec) -> dict[str, DataFrame]:
     return {t.name: wide.select(*t.columns) for t in spec.tables}
 
 
-def new_rows(
-    wide: DataFrame,
-    spec: ExportSpec,
-    stored: Mapping[str, DataFrame],
-    start: date,
-    end: date,
-) -> dict[str, DataFrame]:
-    """Per table, the rows to append. Stored rows are looked at only within the loaded days."""
-    days = periods.within_days(spec.time, start, end)
-    loaded = fan_out(wide.filter(days), spec)
-    return {
-        t.name: upsert.insert_if_absent(
-            stored[t.name].filter(days), loaded[t.name], t.key, [c for c in t.columns if c not in t.key]
-        )
-        for t in spec.tables
-    }
+def new_rows(wide: DataFrame, spec: ExportSpec, stored: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
+    """Per table, the rows to append. Stored rows are looked at only within the batch's own time span."""
+    span = wide.agg(F.min(spec.time).alias("first"), F.max(spec.time).alias("last")).first()
+    first, last = F.lit(span["first"]), F.lit(span["last"])
+    overlap = F.col(spec.time).between(first, last)
+    on_days = F.col(EVENT_DAY).between(F.to_date(first), F.to_date(last))
+    loaded = fan_out(wide, spec)
+    rows = {}
+    for table in spec.tables:
+        old = stored[table.name].filter(overlap)
+        if EVENT_DAY in old.columns:
+            old = old.filter(on_days)
+        rest = [c for c in table.columns if c not in table.key]
+        rows[table.name] = upsert.insert_if_absent(old, loaded[table.name], table.key, rest)
+    return rows
 
 
 def run(
@@ -65,7 +66,10 @@ def run(
     start: date,
     end: date,
 ) -> dict[str, DataFrame]:
-    """Landed files to rows to append. The wide frame is written once; each table then reads its columns."""
-    raw = landing.read(spark, path, spec, start, end)
-    wide = staging.stage(normalise(raw, spec), f"export-{spec.name}")
-    return new_rows(wide, spec, stored, start, end)
+    """Landed files of the given days to rows to append."""
+    return load(landing.read(spark, path, spec, start, end), spec, stored)
+
+
+def load(raw: DataFrame, spec: ExportSpec, stored: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
+    """Raw rows to rows to append. The wide frame is written once; each table then reads its columns."""
+    return new_rows(staging.stage(normalise(raw, spec), f"export-{spec.name}"), spec, stored)
