@@ -37,9 +37,11 @@ class Months:
         return (time >= F.lit(self.start)) & (time < F.lit(self.end))
 
     def spine(self, spark: SparkSession) -> DataFrame:
-        """One row per month, computed on the cluster side; its size is the number of months."""
-        months = F.sequence(F.lit(self.start), F.lit(shift_month(self.end, -1)), F.expr("interval 1 month"))
-        return spark.range(1).select(F.explode(months).alias("month"))
+        """One row per month; none for an empty range."""
+        count = (self.end.year - self.start.year) * 12 + self.end.month - self.start.month
+        return spark.range(max(count, 0)).select(
+            F.add_months(F.lit(self.start), F.col("id").cast("int")).alias("month")
+        )
 
     def fill(self, monthly: DataFrame, column: str) -> DataFrame:
         """``monthly`` with a row for every month in range, 0 where it has none or NULL."""

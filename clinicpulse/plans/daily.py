@@ -66,15 +66,19 @@ def append_export(w: Warehouse, spec: ExportSpec, raw: DataFrame) -> None:
         w.export(spec, table).append(rows[table.name].select("*", day))
 
 
+def stored_export(w: Warehouse, spec: ExportSpec, table: str) -> DataFrame:
+    return w.export(spec, next(t for t in spec.tables if t.name == table)).read()
+
+
 def read_export(w: Warehouse, spec: ExportSpec, table: str, start: date, end: date) -> DataFrame:
-    stored = w.export(spec, next(t for t in spec.tables if t.name == table)).read()
-    return stored.filter(F.col(ingest.EVENT_DAY).between(F.lit(start), F.lit(end)))
+    """The stored rows of the given days; other partitions are not opened."""
+    return stored_export(w, spec, table).filter(F.col(ingest.EVENT_DAY).between(F.lit(start), F.lit(end)))
 
 
 def load_source(w: Warehouse, landed: str, spec: ExportSpec, as_of: date) -> tuple[date, date] | None:
     """Load the days not yet in the export's events table; None if yesterday is there already."""
-    events = w.export(spec, next(t for t in spec.tables if t.name == "events"))
-    days = periods.next_slice(periods.last_value(events.read(), ingest.EVENT_DAY), as_of)
+    last = periods.last_value(stored_export(w, spec, "events"), ingest.EVENT_DAY)
+    days = periods.next_slice(last, as_of)
     if days is not None:
         append_export(w, spec, landing.read(w.spark, landed, spec, *days))
     return days
@@ -114,7 +118,7 @@ def update_account(w: Warehouse, start: date, end: date, path: str) -> None:
     spec = specs.web("web_lk")
     events = read_export(w, spec, "events", start, end)
     # Params match by hit whatever their time, so they are not cut to the days.
-    extra = read_export(w, spec, "event_params", date.min, date.max)
+    extra = stored_export(w, spec, "event_params")
     known = _merge_identity(w, P.SOURCE_ACCOUNT, identity.account(events, extra, start, end, path=path))
     kind = presence.site_page_views()
     _merge_presence(w, kind, presence.build(events, known, kind, start, end), start, end)
