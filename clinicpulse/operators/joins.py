@@ -16,30 +16,39 @@ def _digest(keys: Sequence[str]) -> Column:
     return F.xxhash64(*[F.col(k) for k in keys])
 
 
-def hot_keys(df: DataFrame, keys: Sequence[str], share: float = HOT_SHARE) -> list[int]:
-    """Digests of the join keys holding at least ``share`` of the rows, as a list bounded by ``1 / share``.
+def hot_keys(df: DataFrame, *key_sets: Sequence[str], share: float = HOT_SHARE) -> list[list[int]]:
+    """For each set of join keys, digests of the keys holding at least ``share`` of the rows.
 
-    One pass over the key columns with a mergeable heavy-hitter sketch. Sketches are merged in parallel
-    groups, so no task sees all of them. The answer only steers salting: a key missed or listed in excess
-    costs balance, never correctness.
+    One pass over the key columns with mergeable heavy-hitter sketches, merged in parallel groups so that no
+    task sees all of them; each answer is bounded by ``1 / share``. It only steers salting: a key missed or
+    listed in excess costs balance, never correctness.
     """
     top = int(1 / share)
+    sketches = [
+        F.expr(f"approx_top_k(key{i}, {top}, {_TRACKED})").alias(f"top{i}") for i in range(len(key_sets))
+    ]
     part = (
-        df.select(_digest(keys).alias("key"), F.pmod(F.spark_partition_id(), F.lit(_REDUCERS)).alias("part"))
-        .groupBy("part")
-        .agg(
-            F.expr(f"approx_top_k(key, {top}, {_TRACKED})").alias("top"),
-            F.count(F.lit(1)).alias("n"),
+        df.select(
+            *[_digest(keys).alias(f"key{i}") for i, keys in enumerate(key_sets)],
+            F.pmod(F.spark_partition_id(), F.lit(_REDUCERS)).alias("part"),
         )
+        .groupBy("part")
+        .agg(F.count(F.lit(1)).alias("n"), *sketches)
     )
+    # At most _REDUCERS * top entries per set.
+    tops = [F.flatten(F.collect_list(f"top{i}")).alias(f"top{i}") for i in range(len(key_sets))]
     hits = (
-        part.agg(F.sum("n").alias("total"), F.flatten(F.collect_list("top")).alias("tops"))
-        .select("total", F.explode("tops").alias("hit"))
-        .groupBy(F.col("hit.item").alias("key"))
-        .agg(F.sum("hit.count").alias("n"), F.max("total").alias("total"))
+        part.agg(F.sum("n").alias("total"), F.array(*tops).alias("tops"))
+        .select("total", F.posexplode("tops").alias("set", "top"))
+        .select("total", "set", F.inline("top").alias("key", "n"))
+        .groupBy("set", "key")
+        .agg(F.sum("n").alias("n"), F.max("total").alias("total"))
         .filter(F.col("n") >= F.col("total") * share)
     )
-    return [row["key"] for row in hits.select("key").collect()]
+    found: list[list[int]] = [[] for _ in key_sets]
+    for row in hits.select("set", "key").collect():
+        found[row["set"]].append(row["key"])
+    return found
 
 
 def join_to_unique(
@@ -49,17 +58,18 @@ def join_to_unique(
     how: str,
     spread_by: Sequence[str],
     collapse: Callable[[DataFrame], DataFrame] | None = None,
+    hot: Sequence[int] | None = None,
     salts: int = 64,
 ) -> DataFrame:
     """Inner or left join where ``right`` has at most one row per key, so the output never fans out.
 
     Adaptive execution splits a hot partition only between two plain exchanges, not where one side is an
-    aggregate. So hot keys are looked up first. None: a plain join that reuses the aggregate's
+    aggregate. So hot keys are looked up first, unless given. None: a plain join that reuses the aggregate's
     partitioning. Some: ``collapse`` folds copies on the left, and just the hot keys are salted by
     ``spread_by`` on the left and repeated ``salts`` times on the right.
     """
-    hot = hot_keys(left, on)
     on = list(on)
+    hot = hot_keys(left, on)[0] if hot is None else list(hot)
     if not hot:
         return left.join(right, on, how)
     if collapse is not None:

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
-from datetime import date
+from datetime import date, timedelta
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -77,7 +77,10 @@ def read_export(w: Warehouse, spec: ExportSpec, table: str, start: date, end: da
 
 def load_source(w: Warehouse, landed: str, spec: ExportSpec, as_of: date) -> tuple[date, date] | None:
     """Load the days not yet in the export's events table; None if yesterday is there already."""
-    last = periods.last_value(stored_export(w, spec, "events"), ingest.EVENT_DAY)
+    stored = stored_export(w, spec, "events")
+    # The newest day is nearly always a recent one, so the partitions before are looked at only if it is not.
+    recent = stored.filter(F.col(ingest.EVENT_DAY) >= F.lit(as_of - timedelta(days=31)))
+    last = periods.last_value(recent, ingest.EVENT_DAY) or periods.last_value(stored, ingest.EVENT_DAY)
     days = periods.next_slice(last, as_of)
     if days is not None:
         append_export(w, spec, landing.read(w.spark, landed, spec, *days))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 from datetime import timedelta
 from functools import reduce
 
@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from clinicpulse import params as P
 from clinicpulse.functions import periods, scalars
-from clinicpulse.operators.joins import join_to_unique
+from clinicpulse.operators.joins import hot_keys, join_to_unique
 from clinicpulse.operators.staging import stage
 from clinicpulse.params import ReportParams
 
@@ -89,7 +89,12 @@ def base(t: Mapping[str, DataFrame], p: ReportParams) -> DataFrame:
     ).distinct()
 
 
-def alt_signed(visits: DataFrame, t: Mapping[str, DataFrame], p: ReportParams) -> DataFrame:
+FILE_DAY = ["mdoc_oid", "doc_sysuser_oid", "day"]
+
+
+def alt_signed(
+    visits: DataFrame, t: Mapping[str, DataFrame], p: ReportParams, hot: Sequence[int] | None = None
+) -> DataFrame:
     """Prescriptions whose visit was signed under another record: same patient file, day and doctor, later
     than the slot, and never booked itself.
 
@@ -109,17 +114,17 @@ def alt_signed(visits: DataFrame, t: Mapping[str, DataFrame], p: ReportParams) -
         .groupBy(F.col("mdoc_id").alias("mdoc_oid"), "doc_sysuser_oid", F.to_date("create_dt").alias("day"))
         .agg(F.max("create_dt").alias("signed_at"))
     )
-    key = ["mdoc_oid", "doc_sysuser_oid", "day"]
-    due = visits.select(
-        "presc_oid", "mdoc_oid", "doc_sysuser_oid", F.to_date("schedule_date_time").alias("day"),
-        "schedule_date_time",
-    )
+    due = by_day(visits).select("presc_oid", *FILE_DAY, "schedule_date_time")
     matched = join_to_unique(
-        due, latest, key, "inner", spread_by=["presc_oid"], collapse=lambda d: d.distinct()
+        due, latest, FILE_DAY, "inner", spread_by=["presc_oid"], collapse=lambda d: d.distinct(), hot=hot
     )
     return matched.filter(F.col("signed_at") > F.col("schedule_date_time")).select("presc_oid").distinct()
 
 
+def by_day(visits: DataFrame) -> DataFrame:
+    return visits.withColumn("day", F.to_date("schedule_date_time"))
+
+
 def seen_before(visits: DataFrame, t: Mapping[str, DataFrame], p: ReportParams) -> DataFrame:
     """People with a signed prescription outside the report's visits."""
     others = (
@@ -135,12 +140,12 @@ def seen_before(visits: DataFrame, t: Mapping[str, DataFrame], p: ReportParams)
 
 def flags(visits: DataFrame, t: Mapping[str, DataFrame], p: ReportParams) -> DataFrame:
     """Per booked visit: signed (NULL for an unknown state), lead time, and the patient's traits."""
-    alternates = alt_signed(visits, t, p).withColumn("alternate", F.lit(True))
+    hot_files, hot_people, hot_prescs = hot_keys(by_day(visits), FILE_DAY, ["people_oid"], ["presc_oid"])
+    alternates = alt_signed(visits, t, p, hot_files).withColumn("alternate", F.lit(True))
     known = seen_before(visits, t, p).withColumn("known", F.lit(True))
-    marked = join_to_unique(visits, known, ["people_oid"], "left", spread_by=["presc_oid", "create_date_time"])
-    marked = join_to_unique(
-        marked, alternates, ["presc_oid"], "left", spread_by=["sotr_oid", "create_date_time"]
-    )
+    logged = ["presc_oid", "sotr_oid", "create_date_time"]
+    marked = join_to_unique(visits, known, ["people_oid"], "left", spread_by=logged, hot=hot_people)
+    marked = join_to_unique(marked, alternates, ["presc_oid"], "left", spread_by=logged, hot=hot_prescs)
     state_signed = F.col("presc_state").isin(list(p.signed_states))
     return marked.select(
         F.to_date("schedule_date_time").alias("schedule_date"),

@@ -11,6 +11,8 @@ from clinicpulse.functions.periods import Months
 from clinicpulse.params import RevenueParams
 
 MONEY = "decimal(18,4)"
+# Narrow enough for its sum to stay a long inside the engine.
+PERCENT = "decimal(8,4)"
 # Rounding modes of the clinic setting; any other value rounds to cents.
 CEIL, TRUNC, INT, CENTS = "1", "2", "3", "cents"
 
@@ -79,7 +81,7 @@ def discounts(t: Mapping[str, DataFrame]) -> DataFrame:
         .join(card, "discount", "left")
         .groupBy(F.col("presc_service").alias("line"))
         .agg(
-            F.sum(F.coalesce("percent", "card_percent").cast(MONEY)).cast("decimal(9,4)").alias("percent"),
+            F.sum(F.coalesce("percent", "card_percent").cast(PERCENT)).cast("decimal(9,4)").alias("percent"),
             F.sum(F.col("fix_sum").cast(MONEY)).cast(MONEY).alias("fix_sum"),
         )
     )

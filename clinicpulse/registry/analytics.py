@@ -11,7 +11,7 @@ from clinicpulse.functions import periods
 from clinicpulse.functions.periods import Months
 from clinicpulse.operators import rowid, staging, upsert
 from clinicpulse.plans import identity, mau, presence
-from clinicpulse.registry.base import day, number, query, time
+from clinicpulse.registry.base import day, query, time
 from clinicpulse.sources import ingest, landing, specs
 
 START, END = B.EVENT_DAYS
@@ -217,7 +217,8 @@ def users_from_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The whole chain on raw events: identity, presence of all four kinds, then monthly users."""
     t = B.tables(spark, sf_dir)
     web, app = t["web_events"], t["mobile_events"]
-    app_ids = identity.mobile(app, START, END)
+    # Two kinds of presence look it up.
+    app_ids = staging.stage(identity.mobile(app, START, END), "identity-mobile")
     booking_ids = identity.booking(web, t["web_params"], START, END, path=B.USER_ID_PATH)
     account_ids = identity.account(web, t["web_params"], START, END, path=B.USER_ID_PATH)
     days = [
@@ -260,8 +261,7 @@ query(
 
 def identity_between(first: int, last: int) -> str:
     """Mobile identity of January days ``first`` to ``last``."""
-    inner = MOBILE_ID.replace("2024-01-05", f"2024-01-{first:02d}").replace("2024-01-26", f"2024-01-{last + 1:02d}")
-    return inner
+    return MOBILE_ID.replace("2024-01-05", f"2024-01-{first:02d}").replace("2024-01-26", f"2024-01-{last + 1:02d}")
 
 
 @query(
@@ -285,7 +285,8 @@ def upsert_identity_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
     stored = identity.mobile(events, date(2024, 1, 5), date(2024, 1, 7)).withColumn(
         "updated_at", F.lit(None).cast("timestamp_ntz")
     )
-    return identity.merge(stored, identity.mobile(events, date(2024, 1, 7), date(2024, 1, 9)), F.expr(f"{NOW.replace('TIMESTAMP', 'TIMESTAMP_NTZ')}"))
+    batch = identity.mobile(events, date(2024, 1, 7), date(2024, 1, 9))
+    return identity.merge(stored, batch, F.expr(NOW.replace("TIMESTAMP", "TIMESTAMP_NTZ")))
 
 
 def presence_between(first: int, last: int) -> str:
