@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 _FIELD_SEPARATOR = "\u001f"
 _NULL_MARK = "\u0000"
-COPIES_PER_TASK_ROW = 100_000
+COPIES_PER_BLOCK = 10_000
 
 
 def _as_uuid(digest: Column) -> Column:
@@ -14,7 +14,7 @@ def _as_uuid(digest: Column) -> Column:
     return F.concat_ws("-", *[F.substring(digest, start, size) for start, size in cuts])
 
 
-def with_row_id(df: DataFrame, name: str, block: int = COPIES_PER_TASK_ROW) -> DataFrame:
+def with_row_id(df: DataFrame, name: str, block: int = COPIES_PER_BLOCK) -> DataFrame:
     """Add a uuid-shaped id made of the row's content and its number among identical rows.
 
     The same export always yields the same ids, whatever its file layout, and identical rows get distinct
@@ -22,6 +22,8 @@ def with_row_id(df: DataFrame, name: str, block: int = COPIES_PER_TASK_ROW) -> D
     count above ``block`` is first cut into blocks that are spread over the cluster, then unfolded.
     """
     columns = df.columns
+    # A fixed number of partitions: block rows are tiny before they unfold, and would be coalesced otherwise.
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     folded = df.groupBy(*columns).agg(F.count(F.lit(1)).alias("_copies"))
     few = folded.filter(F.col("_copies") <= block).select(
         *columns, F.explode(F.sequence(F.lit(1).cast("long"), F.col("_copies"))).alias("_nth")
@@ -31,7 +33,7 @@ def with_row_id(df: DataFrame, name: str, block: int = COPIES_PER_TASK_ROW) -> D
     many = (
         folded.filter(F.col("_copies") > block)
         .select(*columns, "_copies", F.explode(blocks).alias("_block"))
-        .repartition("_block")
+        .repartition(parts, "_block")
         .select(*columns, F.explode(F.sequence(first, last)).alias("_nth"))
     )
     fields = [F.coalesce(F.col(f"`{c}`").cast("string"), F.lit(_NULL_MARK)) for c in columns]

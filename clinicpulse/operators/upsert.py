@@ -21,10 +21,13 @@ def first_per_key(df: DataFrame, key: Sequence[str], order_by: Sequence[str]) ->
 
 
 def insert_if_absent(
-    existing: DataFrame, incoming: DataFrame, key: Sequence[str], order_by: Sequence[str]
+    existing: DataFrame, incoming: DataFrame, key: Sequence[str], order_by: Sequence[str] | None = None
 ) -> DataFrame:
-    """The rows to append: one per new key. Pass ``existing`` already cut to the days being loaded."""
-    fresh = first_per_key(incoming, key, order_by)
+    """The rows to append: one per new key, the first in ``order_by``; None if keys are distinct already.
+
+    Pass ``existing`` already cut to the days being loaded.
+    """
+    fresh = incoming if order_by is None else first_per_key(incoming, key, order_by)
     return fresh.join(existing.select(*key), list(key), "left_anti").select(*incoming.columns)
 
 

@@ -102,7 +102,7 @@ def alt_signed(
     visit is compared with that, instead of pairing every visit with every record.
     """
     signers = t["sotr"].select(F.col("oid").alias("creator_id"), F.col("sysuser").alias("doc_sysuser_oid"))
-    booked = t["presc_schedule"].select(F.col("presc_id").alias("id"))
+    booked = t["presc_schedule"].select(F.col("presc_id").alias("id")).distinct()
     latest = (
         t["presc"]
         .filter(

@@ -224,7 +224,7 @@ def join_semi_exists(spark: SparkSession, sf_dir: str) -> DataFrame:
 def join_left_with_anti(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Prescriptions are counted per patient file first; only then are files joined."""
     t = B.tables(spark, sf_dir)
-    booked = t["presc_schedule"].select(F.col("presc_id").alias("id"))
+    booked = t["presc_schedule"].select(F.col("presc_id").alias("id")).distinct()
     unbooked = t["presc"].join(booked, "id", "left_anti").groupBy("mdoc_id").agg(F.count("id").alias("n"))
     files = t["mdoc"].select(F.col("id").alias("mdoc_id"), "people_id")
     return files.join(unbooked, "mdoc_id", "left").groupBy("people_id").agg(
@@ -255,7 +255,7 @@ def join_existence_flag(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def join_anti(spark: SparkSession, sf_dir: str) -> DataFrame:
     t = B.tables(spark, sf_dir)
-    booked = t["presc_schedule"].select(F.col("presc_id").alias("id"))
+    booked = t["presc_schedule"].select(F.col("presc_id").alias("id")).distinct()
     return t["presc"].join(booked, "id", "left_anti").select("id", "mdoc_id")
 
 

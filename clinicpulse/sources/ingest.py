@@ -30,10 +30,16 @@ def strip_prefix(raw: DataFrame, spec: ExportSpec) -> DataFrame:
 
 
 def normalise(raw: DataFrame, spec: ExportSpec) -> DataFrame:
-    """Every column any table of the spec needs, typed, one row per export row."""
+    """Every column any table of the spec needs, typed, one row per key of its tables.
+
+    Exports without a key get a row id, so every row is kept. Otherwise the tables share one key, and its
+    repeats are settled here once for all of them.
+    """
     raw = strip_prefix(raw, spec)
     if spec.row_id is None:
-        return raw.select(*[typed(f) for f in spec.fields])
+        wide = raw.select(*[typed(f) for f in spec.fields])
+        key = spec.tables[0].key
+        return upsert.first_per_key(wide, key, [c for c in wide.columns if c not in key])
     return rowid.with_row_id(raw, spec.row_id).select(spec.row_id, *[typed(f) for f in spec.fields])
 
 
@@ -53,8 +59,7 @@ def new_rows(wide: DataFrame, spec: ExportSpec, stored: Mapping[str, DataFrame])
         old = stored[table.name].filter(overlap)
         if EVENT_DAY in old.columns:
             old = old.filter(on_days)
-        rest = [c for c in table.columns if c not in table.key]
-        rows[table.name] = upsert.insert_if_absent(old, loaded[table.name], table.key, rest)
+        rows[table.name] = upsert.insert_if_absent(old, loaded[table.name], table.key)
     return rows
 
 
