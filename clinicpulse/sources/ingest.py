@@ -25,6 +25,11 @@ def typed(field: Field) -> Column:
     return value.try_cast(SPARK_TYPES[field.type]).alias(field.target)
 
 
+def required(field: Field) -> Column:
+    missing = F.raise_error(F.lit(f"row without a valid {field.target}")).cast(SPARK_TYPES[field.type])
+    return F.coalesce(typed(field), missing).alias(field.target)
+
+
 def strip_prefix(raw: DataFrame, spec: ExportSpec) -> DataFrame:
     return raw.toDF(*[c.removeprefix(spec.prefix) for c in raw.columns])
 
@@ -33,12 +38,13 @@ def normalise(raw: DataFrame, spec: ExportSpec) -> DataFrame:
     """Every column any table of the spec needs, typed, one row per key of its tables.
 
     Exports without a key get a row id, so every row is kept. Otherwise the tables share one key, and its
-    repeats are settled here once for all of them.
+    repeats are settled here once for all of them; a row whose key cannot be read fails the load, as a primary
+    key would.
     """
     raw = strip_prefix(raw, spec)
     if spec.row_id is None:
-        wide = raw.select(*[typed(f) for f in spec.fields])
         key = spec.tables[0].key
+        wide = raw.select(*[required(f) if f.target in key else typed(f) for f in spec.fields])
         return upsert.first_per_key(wide, key, [c for c in wide.columns if c not in key])
     return rowid.with_row_id(raw, spec.row_id).select(spec.row_id, *[typed(f) for f in spec.fields])
 

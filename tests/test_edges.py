@@ -346,6 +346,25 @@ def test_sentinels_and_bad_values(spark):
     assert [r[0] for r in raw.select(ingest.typed(spec.field("google_aid"))).collect()] == [None, None, None, good.lower()]
 
 
+def test_a_web_row_without_its_key_fails_the_load(spark):
+    spec = specs.web("booking")
+    columns = [c.removeprefix(spec.prefix) for c in spec.header]
+    known = {"watchID": "5", "dateTime": "2025-01-02 03:04:05", "isPageView": "1", "URL": "a"}
+
+    def load(*changes):
+        rows = [tuple({**known, **c}.get(name) for name in columns) for c in changes]
+        raw = spark.createDataFrame(rows, ", ".join(f"`{c}` string" for c in spec.header))
+        return ingest.normalise(raw, spec).collect()
+
+    # Two copies of a hit, and two versions of another: one row per hit, the smaller one wins.
+    kept = load({}, {}, {"watchID": "18446744073709551615", "URL": "c"}, {"watchID": "18446744073709551615", "URL": "b"})
+    assert sorted((int(r.watch_id), r.url, r.is_page_view) for r in kept) == [
+        (5, "a", True), (18446744073709551615, "b", True),
+    ]
+    with pytest.raises(Exception, match="row without a valid watch_id"):
+        load({}, {"watchID": "none"})
+
+
 def test_specs_cover_all_tables():
     found = {name: {t.name: len(t.columns) for t in s.tables} for name, s in specs.all_specs().items()}
     assert found["mobile"] == {"events": 12, "event_params": 6, "devices": 19, "location": 5}
