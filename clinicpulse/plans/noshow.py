@@ -164,22 +164,39 @@ def flags(visits: DataFrame, t: Mapping[str, DataFrame], p: ReportParams) -> Dat
 
 def totals(pivot: DataFrame, t: Mapping[str, DataFrame]) -> DataFrame:
     """Per day, site and booking operator. ``signed`` and ``no_show`` follow ``is_signed``, which knows
-    alternates; every detail follows the prescription's own state."""
+    alternates; every detail follows the prescription's own state.
+
+    Visits fold by the ids they carry before any name is joined, then by name: two operators of one name
+    share a row.
+    """
     staff = t["sotr"].select(F.col("oid").alias("sotr_oid"), "sysuser", "post")
     sites = t["lpu_geo"].select(F.col("oid").alias("lpu_oid"), F.col("fullname").alias("lpu"))
     posts = t["post"].select(F.col("oid").alias("post"), F.col("name").alias("post_name"))
     names = t["staff_name"].select("sysuser", F.col("full_name").alias("doctor_name"))
-    signed, missed = F.col("state_signed"), ~F.col("state_signed")
-
-    def depth(side: Column) -> list[Column]:
-        return [F.sum(F.when(side, F.col("depth"))), F.count(F.when(side, F.col("depth")))]
 
-    def mean(side: Column) -> Column:
-        days, visits = depth(side)
-        return F.round(F.when(visits > 0, scalars.quotient(days, visits)), 2).cast("decimal(12,2)")
-
-    return (
-        pivot.join(staff, "sotr_oid")
+    def of(side: str, rows: Column) -> dict[str, Column]:
+        depth = F.when(rows, F.col("depth"))
+        sums = {f"{side}_days": F.sum(depth), f"{side}_visits": F.count(depth)}
+        return sums | {f"{side}_{d}": F.count_if(rows & F.col(d)) for d in DETAILS}
+
+    measures = {
+        "total": F.count("presc_oid"),
+        "signed": F.count_if(F.col("is_signed")),
+        "no_show": F.count_if(~F.col("is_signed")),
+        **of("signed", F.col("state_signed")),
+        **of("no_show", ~F.col("state_signed")),
+    }
+
+    def mean(side: str) -> Column:
+        days, visits = F.col(f"{side}_days"), F.col(f"{side}_visits")
+        depth = F.round(F.when(visits > 0, scalars.quotient(days, visits)), 2)
+        return depth.cast("decimal(12,2)").alias(f"{side}_depth")
+
+    by_id = pivot.groupBy("schedule_date", "lpu_oid", "sotr_oid").agg(
+        *[m.alias(name) for name, m in measures.items()]
+    )
+    by_name = (
+        by_id.join(staff, "sotr_oid")
         .join(sites, "lpu_oid")
         .join(posts, "post")
         .join(names, "sysuser", "left")
@@ -187,15 +204,14 @@ def totals(pivot: DataFrame, t: Mapping[str, DataFrame]) -> DataFrame:
         .agg(
             # One entry per distinct post of people of that name, so its size is that of the post list.
             F.sort_array(F.collect_set("post_name")).alias("post_names"),
-            F.count("presc_oid").alias("total"),
-            F.count_if(F.col("is_signed")).alias("signed"),
-            F.count_if(~F.col("is_signed")).alias("no_show"),
-            mean(signed).alias("signed_depth"),
-            *[F.count_if(signed & F.col(d)).alias(f"signed_{d}") for d in DETAILS],
-            mean(missed).alias("no_show_depth"),
-            *[F.count_if(missed & F.col(d)).alias(f"no_show_{d}") for d in DETAILS],
+            *[F.sum(name).alias(name) for name in measures],
         )
     )
+    return by_name.select(
+        "schedule_date", "lpu", "doctor_name", "post_names", "total", "signed", "no_show",
+        mean("signed"), *[f"signed_{d}" for d in DETAILS],
+        mean("no_show"), *[f"no_show_{d}" for d in DETAILS],
+    )
 
 
 def post_class(post_names: Column) -> Column:
