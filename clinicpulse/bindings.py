@@ -96,7 +96,7 @@ TEXTS: dict[str, str] = {
         SELECT event_id AS watch_id, ts AS date_time,
                CASE k % 3 WHEN 0 THEN props WHEN 1 THEN '{bad' ELSE '{}' END AS params
         FROM (SELECT *, <k> AS k FROM events)
-        WHERE event_id % 4 <> 0""",
+        WHERE event_type <> 'signup'""",
     "allowed": "SELECT DISTINCT event_type FROM events WHERE event_type IN ('click', 'purchase')",
     # presence over several years
     "history": """
@@ -114,8 +114,9 @@ TEXTS: dict[str, str] = {
         FROM customer""",
     "pinfo": """
         SELECT 'p' || c_custkey AS oid,
-               CASE c_custkey % 4 WHEN 0 THEN true WHEN 1 THEN false END AS auto_notification
-        FROM customer WHERE c_custkey % 4 < 3""",
+               CASE c_mktsegment WHEN 'BUILDING' THEN true WHEN 'MACHINERY' THEN false
+                    WHEN 'HOUSEHOLD' THEN true END AS auto_notification
+        FROM customer WHERE c_mktsegment <> 'FURNITURE'""",
     "mdoc": "SELECT 'm' || c_custkey AS id, 'p' || (c_custkey - c_custkey % 2) AS people_id FROM customer",
     "sotr": """
         SELECT 's' || s_suppkey AS oid, 'u' || s_suppkey AS sysuser, 'po' || (s_suppkey % 9) AS post
@@ -137,7 +138,7 @@ TEXTS: dict[str, str] = {
         UNION ALL
         SELECT 'w' || o_orderkey, 'm' || o_custkey, 'v' || o_orderkey, 'sign', 'pt0',
                's' || ((o_orderkey + o_orderkey % 5 % 2) % 10), <slot + o_orderkey % 4 HOUR>, <slot>
-        FROM orders WHERE o_orderkey % 6 = 0""",
+        FROM orders WHERE o_orderpriority = '5-LOW'""",
     "visit": """
         SELECT 'v' || o_orderkey AS id,
                CASE o_orderpriority WHEN '1-URGENT' THEN 'cash' WHEN '5-LOW' THEN 'cash'
@@ -168,14 +169,14 @@ TEXTS: dict[str, str] = {
         UNION ALL
         SELECT 'sl' || o_orderkey, 'ps' || o_orderkey, 'pt' || (o_orderkey % 20),
                's' || (o_orderkey * 7 % 10), <created + 1 HOUR>, CAST(o_orderkey % 3 AS INTEGER), 'ДМС'
-        FROM orders WHERE o_orderkey % 7 = 0""",
+        FROM orders WHERE o_orderpriority = '2-HIGH'""",
     "presctype": """
-        SELECT DISTINCT 'pt' || (p_partkey % 20) AS oid, 'f' || (p_partkey % 4) AS presctypefolderid_parent,
+        SELECT DISTINCT 'pt' || (p_partkey % 20) AS oid, 'f' || (p_partkey % 5) AS presctypefolderid_parent,
                CASE WHEN p_partkey % 5 <> 0 THEN CAST(p_partkey % 5 AS INTEGER) END AS time_cells,
                CASE p_partkey % 20 % 4 WHEN 0 THEN <child> WHEN 1 THEN <adult>
                     WHEN 2 THEN <other> END AS tags
         FROM part""",
-    "presctypefolder": "SELECT DISTINCT 'f' || (p_partkey % 4) AS id FROM part WHERE p_partkey % 4 <> 3",
+    "presctypefolder": "SELECT DISTINCT 'f' || (p_partkey % 4) AS id FROM part",
     "schedule_work_time": """
         SELECT DISTINCT 'wt' || (p_partkey % 40) AS oid,
                concat('pt', p_partkey % 20, ',pt', (p_partkey % 20 + 5) % 20, ',pt', (p_partkey % 20 + 7) % 20,
@@ -204,16 +205,16 @@ TEXTS: dict[str, str] = {
                CASE WHEN l_discount <> 0 THEN CAST(CAST(l_discount * 100 AS DECIMAL(9,2)) AS DECIMAL(18,4)) END
                    AS percent,
                CASE WHEN l_tax <> 0 THEN CAST(l_tax * 10 AS DECIMAL(18,4)) END AS fix_sum
-        FROM lineitem WHERE l_linenumber <> 2
+        FROM lineitem WHERE l_returnflag <> 'A'
         UNION ALL
-        SELECT <line>, 'd' || (l_suppkey % 12), NULL, NULL FROM lineitem WHERE l_linenumber = 1""",
+        SELECT <line>, 'd' || (l_suppkey % 12), NULL, NULL FROM lineitem WHERE l_linestatus = 'F'""",
     "finance_plan": """
         SELECT 'fp' || o_orderkey AS oid, 'v' || o_orderkey AS visit, o_orderkey % 2 = 0 AS fixed,
                CAST(o_orderdate AS DATE) AS date_begin, CAST(o_orderdate + INTERVAL '800' DAY AS DATE) AS date_end
         FROM orders""",
     "finance_plan_presc_service": """
         SELECT <line> AS presc_service, 'fp' || l_orderkey AS finance_plan
-        FROM lineitem WHERE l_linenumber % 3 = 0""",
+        FROM lineitem WHERE l_returnflag = 'N'""",
     # channel log
     "appointment_record": """
         SELECT 'r' || (o_orderkey - o_orderkey % 3) AS appointment_oid,

@@ -69,6 +69,10 @@ def join_to_unique(
     ``spread_by`` on the left and repeated ``salts`` times on the right.
     """
     on = list(on)
+    for key in on:
+        # Digests of equal keys are equal only if their types are.
+        if left.schema[key].dataType != right.schema[key].dataType:
+            raise TypeError(f"join key {key} has different types on the two sides")
     hot = hot_keys(left, on)[0] if hot is None else list(hot)
     if not hot:
         return left.join(right, on, how)
