@@ -82,7 +82,7 @@ TEXTS: dict[str, str] = {
     # analytics
     "mobile_events": """
         SELECT CAST(event_id AS STRING) AS uuid,
-               CASE WHEN k % 3 = 0 THEN k END AS profile_id,
+               CASE WHEN k % 3 = 0 AND user_id % 5 <> 0 THEN k END AS profile_id,
                CASE WHEN event_id % 50 <> 0 THEN user_id END AS appmetrica_device_id,
                ts AS event_datetime, event_type AS event_name
         FROM (SELECT *, <k> AS k FROM events)""",
@@ -94,7 +94,7 @@ TEXTS: dict[str, str] = {
         FROM events""",
     "web_params": """
         SELECT event_id AS watch_id, ts AS date_time,
-               CASE k % 3 WHEN 0 THEN props WHEN 1 THEN '{bad' ELSE '{}' END AS params
+               CASE WHEN user_id % 5 = 0 OR k % 3 = 2 THEN '{}' WHEN k % 3 = 0 THEN props ELSE '{bad' END AS params
         FROM (SELECT *, <k> AS k FROM events)
         WHERE event_type <> 'signup'""",
     "allowed": "SELECT DISTINCT event_type FROM events WHERE event_type IN ('click', 'purchase')",
@@ -130,13 +130,14 @@ TEXTS: dict[str, str] = {
     # prescriptions: one per order, and a later unbooked one for some orders
     "presc": """
         SELECT 'r' || o_orderkey AS id, 'm' || o_custkey AS mdoc_id, 'v' || o_orderkey AS visit_id,
-               CASE o_orderstatus WHEN 'F' THEN 'sign' WHEN 'O' THEN 'new'
-                    ELSE CASE WHEN o_orderkey % 5 <> 0 THEN 'done_lab' END END AS presc_state_id,
+               CASE WHEN o_custkey % 8 < 2 OR o_orderstatus = 'O' THEN 'new' WHEN o_orderstatus = 'F' THEN 'sign'
+                    WHEN o_orderkey % 5 <> 0 THEN 'done_lab' END AS presc_state_id,
                'pt' || (o_orderkey % 20) AS presctype_id, 's' || (o_custkey % 10) AS creator_id,
                <created> AS create_dt, <created + o_orderkey % 40 DAY> AS upd_dt
         FROM orders
         UNION ALL
-        SELECT 'w' || o_orderkey, 'm' || o_custkey, 'v' || o_orderkey, 'sign', 'pt0',
+        SELECT 'w' || o_orderkey, 'm' || o_custkey, 'v' || o_orderkey,
+               CASE WHEN o_custkey % 8 < 2 THEN 'new' ELSE 'sign' END, 'pt0',
                's' || ((o_orderkey + o_orderkey % 5 % 2) % 10), <slot + o_orderkey % 4 HOUR>, <slot>
         FROM orders WHERE o_orderpriority = '5-LOW'""",
     "visit": """

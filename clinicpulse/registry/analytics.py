@@ -268,8 +268,8 @@ def identity_between(first: int, last: int) -> str:
     "upsert_identity_merge",
     B.with_tables(
         "mobile_events",
-        old=identity_between(5, 7),
-        new=identity_between(7, 9),
+        old=identity_between(5, 5),
+        new=identity_between(6, 6),
         body=f"""
             SELECT coalesce(o.source, n.source) AS source,
                    coalesce(o.external_user_id, n.external_user_id) AS external_user_id,
@@ -282,10 +282,10 @@ def identity_between(first: int, last: int) -> str:
 )
 def upsert_identity_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = B.tables(spark, sf_dir)["mobile_events"]
-    stored = identity.mobile(events, date(2024, 1, 5), date(2024, 1, 7)).withColumn(
+    stored = identity.mobile(events, date(2024, 1, 5), date(2024, 1, 5)).withColumn(
         "updated_at", F.lit(None).cast("timestamp_ntz")
     )
-    batch = identity.mobile(events, date(2024, 1, 7), date(2024, 1, 9))
+    batch = identity.mobile(events, date(2024, 1, 6), date(2024, 1, 6))
     return identity.merge(stored, batch, F.expr(NOW.replace("TIMESTAMP", "TIMESTAMP_NTZ")))
 
 
