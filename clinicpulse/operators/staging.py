@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -40,10 +42,25 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def _remove(spark: SparkSession, paths: list[str]) -> None:
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    for name in paths:
+        path = jvm.org.apache.hadoop.fs.Path(name)
+        path.getFileSystem(conf).delete(path, True)
+
+
+@contextmanager
+def scope(spark: SparkSession) -> Iterator[None]:
+    """Remove what is staged inside once the block ends; its results must be written by then."""
+    mark = len(_written)
+    try:
+        yield
+    finally:
+        _remove(spark, _written[mark:])
+        del _written[mark:]
+
+
 def release(spark: SparkSession) -> None:
     """Remove everything this process staged."""
-    jvm = spark._jvm
-    conf = spark._jsc.hadoopConfiguration()
-    while _written:
-        path = jvm.org.apache.hadoop.fs.Path(_written.pop())
-        path.getFileSystem(conf).delete(path, True)
+    _remove(spark, _written)
+    _written.clear()

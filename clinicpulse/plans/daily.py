@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from clinicpulse import params as P
 from clinicpulse.functions import periods
+from clinicpulse.operators import staging
 from clinicpulse.params import AppointmentParams, ReportParams, RevenueParams
 from clinicpulse.plans import appointments, identity, mau, noshow, presence, revenue, yoy
 from clinicpulse.sources import ingest, landing, specs
@@ -60,10 +61,11 @@ class Warehouse:
 def append_export(w: Warehouse, spec: ExportSpec, raw: DataFrame) -> None:
     """Add a raw batch to the export's tables; rows already there are left as they are."""
     stored = {t.name: w.export(spec, t).read() for t in spec.tables}
-    rows = ingest.load(raw, spec, stored)
-    for table in spec.tables:
-        day = F.to_date(spec.time).alias(ingest.EVENT_DAY)
-        w.export(spec, table).append(rows[table.name].select("*", day))
+    with staging.scope(w.spark):
+        rows = ingest.load(raw, spec, stored)
+        for table in spec.tables:
+            day = F.to_date(spec.time).alias(ingest.EVENT_DAY)
+            w.export(spec, table).append(rows[table.name].select("*", day))
 
 
 def stored_export(w: Warehouse, spec: ExportSpec, table: str) -> DataFrame:
@@ -195,4 +197,5 @@ def run_clinic(
 
 def run_report(w: Warehouse, t: Mapping[str, DataFrame], report_params: ReportParams) -> None:
     """Replace the no-show report. A failure raises, and the previous report stays."""
-    replace_table(noshow.report(t, report_params), f"{w.root}/no_show_dashboard")
+    with staging.scope(w.spark):
+        replace_table(noshow.report(t, report_params), f"{w.root}/no_show_dashboard")

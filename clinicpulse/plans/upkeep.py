@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from clinicpulse import params as P
 
@@ -30,6 +31,12 @@ def analyze(spark: SparkSession, table: str) -> None:
     spark.sql(f"ANALYZE TABLE {table} COMPUTE STATISTICS FOR ALL COLUMNS")
 
 
+def row_count(spark: SparkSession, table: str) -> int:
+    """The row count of the last ``analyze``, from the catalog."""
+    described = spark.sql(f"DESCRIBE TABLE EXTENDED {table}").filter(F.col("col_name") == "Statistics")
+    return int(re.search(r"(\d+) rows", described.first()["data_type"])[1])
+
+
 def compact(spark: SparkSession, source: str, target: str, partition_by: Sequence[str] = ()) -> DataFrame:
     """Rewrite a parquet table with few, even files into ``target`` and return it.
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -475,6 +476,29 @@ def classify_post(spark: SparkSession, sf_dir: str) -> DataFrame:
 UPKEEP_TABLES = ("customer", "orders", "lineitem", "events")
 
 
+@query(
+    "catalog_tables",
+    " UNION ALL ".join(f"SELECT '{n}' AS \"table\", count(*) AS rows FROM {n}" for n in UPKEEP_TABLES),
+)
+def catalog_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The test tables put into a catalog schema of their own, listed, analysed, and reported with the row
+    counts the catalog then has."""
+    schema, hidden = (f"upkeep_{uuid.uuid4().hex}" for _ in range(2))
+    for name in (schema, hidden):
+        spark.sql(f"CREATE DATABASE {name}")
+    try:
+        for name in UPKEEP_TABLES:
+            spark.catalog.createTable(f"{schema}.{name}", f"{sf_dir}/{name}.parquet", "parquet")
+        spark.catalog.createTable(f"{hidden}.left_out", f"{sf_dir}/nation.parquet", "parquet")
+        others = [d.name for d in spark.catalog.listDatabases() if d.name != schema]
+        listed = upkeep.sweep(spark, exclude=others)
+        rows = [(name.removeprefix(f"{schema}."), upkeep.row_count(spark, name)) for name in listed]
+    finally:
+        for name in (schema, hidden):
+            spark.sql(f"DROP DATABASE {name} CASCADE")
+    return spark.createDataFrame(rows, "table string, rows bigint")
+
+
 @query(
     "maintain_tables",
     " UNION ALL ".join(

@@ -13,7 +13,7 @@ from datetime import date
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from clinicpulse.operators.staging import stage
+from clinicpulse.operators import staging
 from clinicpulse.plans import daily
 from clinicpulse.sources import landing
 from clinicpulse.sources.specs import SPARK_TYPES, ExportSpec
@@ -48,11 +48,12 @@ def follow(
     files = reader.option("maxFilesPerTrigger", files_per_batch).load(landed)
 
     def load(batch: DataFrame, _: int) -> None:
-        raw = stage(batch.drop(landing.DAY), f"batch-{spec.name}")
-        days = touched_days(raw, spec)
-        if days is not None:
-            daily.append_export(w, spec, raw)
-            update(*days)
+        with staging.scope(spark):
+            raw = staging.stage(batch.drop(landing.DAY), f"batch-{spec.name}")
+            days = touched_days(raw, spec)
+            if days is not None:
+                daily.append_export(w, spec, raw)
+                update(*days)
 
     return (
         files.writeStream.foreachBatch(load)

@@ -346,6 +346,12 @@ def test_sentinels_and_bad_values(spark):
     assert [r[0] for r in raw.select(ingest.typed(spec.field("google_aid"))).collect()] == [None, None, None, good.lower()]
 
 
+def test_the_first_set_source_counts(spark):
+    field = specs.Field("n", ("a", "b"), specs.INTEGER, null_values=("-",))
+    raw = spark.createDataFrame([("1", "2"), (None, "3"), ("-", "4"), ("x", "5"), (None, None)], "a string, b string")
+    assert [r.n for r in raw.select(ingest.typed(field)).collect()] == [1, 3, 4, None, None]
+
+
 def test_a_web_row_without_its_key_fails_the_load(spark):
     spec = specs.web("booking")
     columns = [c.removeprefix(spec.prefix) for c in spec.header]

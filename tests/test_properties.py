@@ -1,5 +1,6 @@
 """What must hold whatever the data: repeatability, splitting of ranges, skew, plans."""
 
+from dataclasses import replace
 from datetime import date, datetime, timedelta
 
 import pytest
@@ -189,6 +190,14 @@ def test_landing_opens_only_the_days_asked_for(spark, tmp_path):
     assert rows(whole) == rows(raw.replace("", None))
 
 
+def test_landing_as_json(spark, tmp_path):
+    spec, path = replace(specs.web("booking"), format="json"), str(tmp_path / "landed")
+    raw = raw_web(spark, DATA, spec)
+    landing.write(raw.withColumn(landing.DAY, F.to_date(F.col("`ym:pv:dateTime`"))), path, spec)
+    whole = landing.read(spark, path, spec, date(2024, 1, 1), date(2024, 1, 31))
+    assert rows(ingest.normalise(whole, spec)) == rows(ingest.normalise(raw, spec))
+
+
 @pytest.fixture(scope="module")
 def landed(spark, tmp_path_factory):
     root = tmp_path_factory.mktemp("landed")
@@ -320,3 +329,9 @@ def test_staged_frames_live_in_the_shared_folder(spark):
     staged = staging.stage(spark.range(3), "probe")
     assert staging.shared_folder(spark) in staged.inputFiles()[0]
     assert staged.count() == 3
+    with staging.scope(spark):
+        inner = staging.stage(spark.range(2), "probe")
+        assert inner.count() == 2
+    assert staged.count() == 3
+    with pytest.raises(Exception, match="FAILED_READ_FILE|PATH_NOT_FOUND|does not exist"):
+        inner.collect()
