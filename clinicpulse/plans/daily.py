@@ -198,4 +198,5 @@ def run_clinic(
 def run_report(w: Warehouse, t: Mapping[str, DataFrame], report_params: ReportParams) -> None:
     """Replace the no-show report. A failure raises, and the previous report stays."""
     with staging.scope(w.spark):
-        replace_table(noshow.report(t, report_params), f"{w.root}/no_show_dashboard")
+        newest_first = noshow.report(t, report_params).orderBy(F.desc("date"))
+        replace_table(newest_first, f"{w.root}/no_show_dashboard")

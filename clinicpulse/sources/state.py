@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, types as T
 
 
 class StateTable:
@@ -28,7 +28,8 @@ class StateTable:
 
     def _balanced(self, df: DataFrame) -> DataFrame:
         """Few files per partition, and several tasks for a partition that holds much of the data."""
-        return df.select(*self.read().columns).hint("rebalance", *self.partition_by)
+        columns = T.StructType.fromDDL(self.schema).fieldNames()
+        return df.select(*columns).hint("rebalance", *self.partition_by)
 
     def append(self, df: DataFrame) -> None:
         self._balanced(df).write.mode("append").partitionBy(*self.partition_by).parquet(self.path)
