@@ -1,0 +1,96 @@
+import hashlib
+import random
+import re
+
+from pyspark.sql import functions as F
+
+from clinicpulse.llm import pii
+
+# The base patterns, as they are stated.
+BASE = {
+    "email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+",
+    "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)",
+    "card": r"[0-9]([\x20-]?[0-9])+",
+    "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
+}
+
+
+def luhn(digits):
+    total = 0
+    for i, d in enumerate(reversed(digits)):
+        n = int(d) * (1 + i % 2)
+        total += n - 9 if n > 9 else n
+    return total % 10 == 0
+
+
+def confirmed(kind, value):
+    digits = re.sub("[^0-9]", "", value)
+    return {
+        "email": lambda: True,
+        "ip": lambda: all(int(p) <= 255 for p in value.split(".")),
+        "card": lambda: 14 <= len(digits) <= 19 and luhn(digits),
+        "phone": lambda: 10 <= len(digits) <= 15,
+    }[kind]()
+
+
+def base(text):
+    out = []
+    for rank, (kind, pattern) in enumerate(BASE.items()):
+        out += [(m.start(), rank, kind, m.end()) for m in re.finditer(pattern, text or "") if confirmed(kind, m[0])]
+    return ",".join(f"{k}:{s}:{e}" for s, _, k, e in sorted(out))
+
+
+def found(spark, texts):
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "id int, text string")
+    got = df.select("id", pii.spans(F.col("text")).alias("found")).orderBy("id").collect()
+    return [r["found"] for r in got]
+
+
+def listed(spans, kinds=pii.BASE_KINDS):
+    return ",".join(f"{s['kind']}:{s['start']}:{s['end']}" for s in spans if s["kind"] in kinds)
+
+
+def test_base_spans_agree_with_the_plain_patterns(spark):
+    rng = random.Random(8)
+    signs = ["a", "b.", "@", "x@y.z", "_", "%", "1", "22", "255", "256", "000255", ".", "..", "1.2.3.4", "-", " ", "é", "🙂", "+", "+1",
+             "(555) ", "4111111111111111", "4111 1111 1111 1111", "5500-0000-0000-0004", "+49 30 1234567", "\n", "A", "z9@q-1.co.uk"]
+    texts = ["".join(rng.choices(signs, k=rng.randint(0, 25))) for _ in range(3000)] + [None, ""]
+    assert [listed(f) for f in found(spark, texts)] == [base(t) for t in texts]
+
+
+def test_whole_documents(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("text")
+    texts = [r["text"] for r in docs.collect()]
+    assert [listed(f) for f in found(spark, texts)] == [base(t) for t in texts]
+
+
+def test_added_kinds_context_and_overlap(spark):
+    iban, bad = "DE89 3704 0044 0532 0130 00", "DE88370400440532013000"
+    texts = [f"pay {iban} now", f"pay {bad} now", "code 123-45-6789", "his SSN is 123-45-6789", "SSN 000-45-6789", "ssn +1 123-45-6789",
+             "GB82WEST12345698765432", "mail me: a@b.co or b@c.de"]
+    got = found(spark, texts)
+    assert [listed(f, ("iban", "ssn")) for f in got] == ["iban:4:31", "", "", "ssn:11:22", "", "", "iban:0:22", ""]
+    assert listed(got[5]) == "phone:4:18"
+    assert [s["value"] for s in got[0] if s["kind"] == "iban"] == [iban]
+    assert [s["score"] for s in found(spark, ["contact a@b.co", "see a@b.co"])[0]][0] == 1.0
+    assert [s["score"] for s in found(spark, ["see 10.0.0.1"])[0]] == [0.6]
+
+
+def test_long_runs_take_time_in_proportion(spark):
+    texts = ["a" * 300_000, "1" * 300_000, "1 " * 150_000, "1." * 100_000, "a.b-" * 75_000 + "@", "+1" + " " * 200_000, "x@" + "y." * 50_000 + "z"]
+    assert [listed(f) for f in found(spark, texts)] == ["", "", "", "", "", "", "email:0:100003"]
+
+
+def test_many_spans_in_one_text(spark):
+    text = "a@b.co " * 3000
+    assert listed(found(spark, [text])[0]) == base(text)
+
+
+def test_empty_table(spark):
+    assert found(spark, []) == []
+
+
+def test_plan_has_no_python(spark):
+    df = spark.createDataFrame([(1, "a")], "id int, text string").select(pii.spans(F.col("text")))
+    assert "Python" not in df._jdf.queryExecution().executedPlan().toString()
+    assert hashlib.sha256(b"").hexdigest() == df.sparkSession.range(1).select(F.sha2(F.lit(""), 256)).first()[0]
