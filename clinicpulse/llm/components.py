@@ -27,21 +27,26 @@ def _stars(edges: DataFrame, small: bool) -> DataFrame:
     return moved.filter("a <> b").distinct()
 
 
+def _are_stars(edges: DataFrame) -> bool:
+    """Whether every node hangs on one root that hangs on nothing."""
+    ends = edges.select(F.col("a").alias("node"), F.lit(1).alias("up"), F.lit(0).alias("down")).unionByName(
+        edges.select(F.col("b").alias("node"), F.lit(0).alias("up"), F.lit(1).alias("down"))
+    )
+    counted = ends.groupBy("node").agg(F.sum("up").alias("up"), F.sum("down").alias("down"))
+    return counted.filter("up > 1 OR (up = 1 AND down > 0)").isEmpty()
+
+
 def components(links: DataFrame) -> DataFrame:
     """(node, component) for every node of ``links`` (a, b); the component is its smallest node.
 
     Only aggregates and joins on nodes, so no group is ever gathered; each round is written to the shared folder.
-    A few rounds do: the stars halve the depth of the trees. Self links and nulls are ignored.
+    A few rounds do, none if the links are stars already: the rounds halve the depth of the trees. Self links and
+    nulls are ignored.
     """
-    edges = stage(links.select("a", "b").filter("a <> b").distinct(), "edges")
-    seen = None
-    while True:
+    down = links.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
+    edges = stage(down.filter("a <> b").distinct(), "edges")
+    while not _are_stars(edges):
         edges = stage(_stars(_stars(edges, small=False), small=True), "stars")
-        digest = F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))
-        now = tuple(edges.agg(F.count(F.lit(1)), digest).first())
-        if now == seen:
-            break
-        seen = now
     inner = edges.select(F.col("a").alias("node"), F.col("b").alias("component"))
     roots = edges.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct()
     return inner.unionByName(roots)
