@@ -28,7 +28,7 @@ from clinicpulse.llm.hashing import mix, shingle_set
 from clinicpulse.operators.staging import stage
 
 _BORROWS = 1024
-_SKETCH_BINS = 256
+_SKETCH_BINS = 512
 _BLOCK = 128
 _FEW = 4
 
@@ -100,22 +100,21 @@ def sketch(hashes: np.ndarray) -> np.ndarray:
 
 
 def may_link(left: np.ndarray, right: np.ndarray, n_left: np.ndarray, n_right: np.ndarray, percent: int) -> tuple:
-    """Which of all pairs of two sketch blocks may reach the threshold, and how similar they look.
+    """Which pairs of sketch rows may reach the threshold, and how similar they look.
 
-    A pair is ruled out by its sizes, or by five standard errors of the sketch.
+    A pair is ruled out by its sizes, by a union that is too large already, or by five standard errors of the sketch;
+    the error shrinks with the part of the union that lies beyond the sketch.
     """
-    same = np.zeros((len(left), len(right)), dtype=np.int32)
-    full = np.zeros_like(same)
-    for at in range(0, len(left), 16):
-        a, b = left[at : at + 16, None, :], right[None, :, :]
-        some = (a != 0) | (b != 0)
-        full[at : at + 16] = some.sum(axis=2)
-        same[at : at + 16] = ((a == b) & some).sum(axis=2)
-    share, level = same / np.maximum(full, 1), percent / 100
-    unseen = np.maximum(0.02, 1 - full / np.maximum(n_left[:, None] + n_right[None, :], 1))
+    some = (left != 0) | (right != 0)
+    full = some.sum(axis=1)
+    share = ((left == right) & some).sum(axis=1) / np.maximum(full, 1)
+    level, both = percent / 100, n_left + n_right
+    # A pair at the threshold has a union of this size, one above it a smaller one.
+    union = both / (1 + level)
+    unseen = np.maximum(0.02, 1 - full / np.maximum(union, 1))
     error = np.sqrt(level * (1 - level) / np.maximum(full, 1) * unseen)
-    small, large = np.minimum(n_left[:, None], n_right[None, :]), np.maximum(n_left[:, None], n_right[None, :])
-    return (share >= level - 5 * error) & (100 * small >= percent * large), share
+    sizes = 100 * np.minimum(n_left, n_right) >= percent * np.maximum(n_left, n_right)
+    return sizes & (full <= union + 1e-9) & (share >= level - 5 * error), share
 
 
 def _signed(text: Column, settings: Settings) -> Column:
@@ -149,7 +148,7 @@ def _confirmed(edges: DataFrame, texts: DataFrame, settings: Settings) -> DataFr
         for a, b in zip(left.cast(pa.binary()).to_pylist(), right.cast(pa.binary()).to_pylist(), strict=True):
             x, y = sets(a), sets(b)
             common = len(np.intersect1d(x, y, assume_unique=True))
-            found.append(100 * common >= percent * (len(x) + len(y) - common))
+            found.append(common > 0 and 100 * common >= percent * (len(x) + len(y) - common))
         return pa.array(found, pa.bool_())
 
     first = edges.join(texts.select(F.col("node").alias("a"), F.col("text").alias("text_a")), "a")
@@ -158,7 +157,7 @@ def _confirmed(edges: DataFrame, texts: DataFrame, settings: Settings) -> DataFr
 
 
 def _blocks(members: DataFrame) -> DataFrame:
-    """Cut the open buckets (key, node, component, n, sketch) into blocks of about ``_BLOCK`` on either side."""
+    """Cut the open buckets (key, node, component, n, sketch, bands) into blocks of about ``_BLOCK`` on either side."""
     sizes = members.groupBy("key", "component").agg(F.count(F.lit(1)).alias("size"))
     per_key = sizes.groupBy("key").agg(
         F.sum("size").alias("total"), F.max(F.struct("size", "component")).alias("most")
@@ -170,22 +169,23 @@ def _blocks(members: DataFrame) -> DataFrame:
         F.ceil((F.col("total") - F.col("most.size")) / _BLOCK).alias("chunks"),
     )
     known = members.join(per_key, "key").withColumn("spread", F.xxhash64("node"))
-    block = F.pmod("spread", "blocks")
-    chunk = F.when(F.col("component") != F.col("main"), F.pmod("spread", "chunks")).otherwise(F.lit(-1))
+    every = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), F.col(n) - 1))
+    columns = ["node", "component", (F.col("component") == F.col("main")).alias("inside"), "n", "sketch", "bands"]
     # A target meets every chunk of askers, an asker every block of targets.
     targets = known.select(
-        "key", block.alias("block"), F.explode(F.sequence(F.lit(0).cast("long"), F.col("chunks") - 1)).alias("chunk"),
-        F.lit(False).alias("asks"), "node", "component", "n", "sketch",
+        "key", F.pmod("spread", "blocks").alias("block"), every("chunks").alias("chunk"), F.lit(False).alias("asks"), *columns
     )
     askers = known.filter("component <> main").select(
-        "key", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("block"), chunk.alias("chunk"),
-        F.lit(True).alias("asks"), "node", "component", "n", "sketch",
+        "key", every("blocks").alias("block"), F.pmod("spread", "chunks").alias("chunk"), F.lit(True).alias("asks"), *columns
     )
     return targets.unionByName(askers)
 
 
 def _likely_pairs(blocks: DataFrame, percent: int, most: int | None) -> DataFrame:
-    """For each asker of a block, the targets of other components it may be linked to; ``most`` of them if given."""
+    """For each asker of a block, the targets of other components it may be linked to; ``most`` of them if given.
+
+    Two documents meet in every bucket they share, but make a pair in the first of them only.
+    """
 
     def pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[dict] = []
@@ -195,16 +195,28 @@ def _likely_pairs(blocks: DataFrame, percent: int, most: int | None) -> DataFram
             ask, meet = [r for r in held if r["asks"]], [r for r in held if not r["asks"]]
             if not ask or not meet:
                 return
-            unpack = lambda rows: np.stack([np.frombuffer(r["sketch"], dtype=np.uint16) for r in rows])
-            column = lambda rows, name: np.array([r[name] for r in rows], dtype=np.int64)
-            ok, share = may_link(unpack(ask), unpack(meet), column(ask, "n"), column(meet, "n"), percent)
-            ok &= column(ask, "component")[:, None] != column(meet, "component")[None, :]
-            if most is not None and ok.shape[1] > most:
-                rank = np.argsort(np.argsort(np.where(ok, -share, 2.0), axis=1, kind="stable"), axis=1)
-                ok &= rank < most
-            x, y = np.nonzero(ok)
+            numbers = lambda rows, name: np.array([r[name] for r in rows], dtype=np.int64)
+            sketches = lambda rows: np.stack([np.frombuffer(r["sketch"], dtype=np.uint16) for r in rows])
+            a, b = numbers(ask, "node"), numbers(meet, "node")
+            fit = numbers(ask, "component")[:, None] != numbers(meet, "component")[None, :]
+            # Where either asks the other, one direction is enough.
+            fit &= (a[:, None] < b[None, :]) | np.array([r["inside"] for r in meet])[None, :]
+            bands = numbers(ask, "bands")
+            first = (bands[:, None, :] == numbers(meet, "bands")[None, :, :]).argmax(axis=2)
+            fit &= first == (bands == last[0]).argmax(axis=1)[:, None]
+            x, y = np.nonzero(fit)
+            left, right, n_left, n_right = sketches(ask), sketches(meet), numbers(ask, "n"), numbers(meet, "n")
+            shares = np.full(fit.shape, -1.0)
+            for at in range(0, len(x), 4096):
+                i, j = x[at : at + 4096], y[at : at + 4096]
+                ok, share = may_link(left[i], right[j], n_left[i], n_right[j], percent)
+                shares[i[ok], j[ok]] = share[ok]
+            fit = shares >= 0
+            if most is not None and fit.shape[1] > most:
+                fit &= np.argsort(np.argsort(-shares, axis=1, kind="stable"), axis=1) < most
+            x, y = np.nonzero(fit)
             if len(x):
-                a, b = column(ask, "node")[x], column(meet, "node")[y]
+                a, b = a[x], b[y]
                 yield pa.RecordBatch.from_arrays([pa.array(np.maximum(a, b)), pa.array(np.minimum(a, b))], ["a", "b"])
 
         for batch in batches:
@@ -218,7 +230,7 @@ def _likely_pairs(blocks: DataFrame, percent: int, most: int | None) -> DataFram
 
     order = ["key", "block", "chunk"]
     dealt = blocks.repartition(*order).sortWithinPartitions(*order)
-    return dealt.mapInArrow(pairs, "a bigint, b bigint").distinct()
+    return dealt.mapInArrow(pairs, "a bigint, b bigint")
 
 
 def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text: str = "text", settings: Settings = Settings()) -> DataFrame:
@@ -238,9 +250,10 @@ def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text: str = "tex
     classes = stage(
         full.groupBy("d0", "d1").agg(F.min("node").alias("node"), F.count(F.lit(1)).alias("rows")), "classes"
     )
-    keys = full.join(classes.select("node", "d0", "d1"), ["node", "d0", "d1"], "left_semi").select(
-        "node", F.explode(F.array_distinct("bands")).alias("key")
-    )
+    name = ["node", "d0", "d1"]
+    # Repeated rows are one member of their buckets.
+    heads = full.join(classes.select(*name), name, "left_semi").dropDuplicates(name)
+    keys = heads.select("node", F.explode(F.array_distinct("bands")).alias("key"))
     shared = stage(
         keys.groupBy("key").agg(F.min("node").alias("centre"), F.max("node").alias("last")).filter("centre < last"),
         "buckets",
@@ -259,14 +272,20 @@ def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text: str = "tex
     links = stage(_confirmed(tried, texts, settings).unionByName(tied), "links")
     groups = stage(components(links), "groups")
 
-    @F.arrow_udf("struct<n:bigint,sketch:binary>")
+    @F.arrow_udf("struct<n:bigint,sketch:binary,bands:array<bigint>>")
     def sketched(raw: pa.Array) -> pa.Array:
         sets = [shingle_set(t, settings.width) for t in raw.cast(pa.binary()).to_pylist()]
+        bands = [band_keys(signature(s, settings.bins), settings).astype(np.int64) if len(s) else [] for s in sets]
         return pa.StructArray.from_arrays(
-            [pa.array([len(s) for s in sets], pa.int64()), pa.array([sketch(s).tobytes() for s in sets], pa.binary())],
-            ["n", "sketch"],
+            [
+                pa.array([len(s) for s in sets], pa.int64()),
+                pa.array([sketch(s).tobytes() for s in sets], pa.binary()),
+                pa.array(bands, pa.list_(pa.int64())),
+            ],
+            ["n", "sketch", "bands"],
         )
 
+    marks = None
     for most in (_FEW, None):
         placed = met.select("key", "node").join(groups, "node", "left").select(
             "key", "node", F.coalesce("component", "node").alias("component")
@@ -275,18 +294,18 @@ def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text: str = "tex
         open_ = stage(placed.join(several.filter("low < high").select("key"), "key", "left_semi"), "open")
         if open_.isEmpty():
             break
-        marks = stage(
-            texts.join(open_.select("node").distinct(), "node", "left_semi")
-            .select("node", sketched("text").alias("s")).select("node", "s.n", "s.sketch"),
-            "sketches",
-        )
+        if marks is None:
+            # Buckets only ever close, so these serve the later round too.
+            marks = texts.join(open_.select("node").distinct(), "node", "left_semi")
+            marks = marks.select("node", sketched("text").alias("s")).select("node", "s.n", "s.sketch", "s.bands")
+            marks = stage(marks.filter("n > 0"), "sketches")
         pairs = _likely_pairs(_blocks(open_.join(marks, "node")), settings.percent, most)
         new = stage(pairs.join(tried, ["a", "b"], "left_anti"), "pairs")
         more = stage(_confirmed(new, texts, settings), "links")
         tried = tried.unionByName(new)
         if not more.isEmpty():
-            links = links.unionByName(more)
-            groups = stage(components(links), "groups")
+            known = groups.select(F.col("node").alias("a"), F.col("component").alias("b"))
+            groups = stage(components(known.unionByName(more)), "groups")
 
     whole = stage(
         of_class.distinct().join(groups.withColumnRenamed("node", "class"), "class", "left")
