@@ -6,10 +6,14 @@ import tempfile
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
+# Staged outside any scope: kept until ``release``.
 _written: list[str] = []
+# The paths of the scope a thread is in; a scope owns what is staged inside it and nothing else.
+_scope: ContextVar[list[str] | None] = ContextVar("staging_scope", default=None)
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -19,6 +23,8 @@ def shared_folder(spark: SparkSession) -> str:
         return folder.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
+    if spark.sparkContext.master.startswith("local-cluster"):
+        raise ValueError("set spark.checkpoint.dir: the executors have folders of their own")
     folder = tempfile.mkdtemp(prefix="clinicpulse-")
     spark.sparkContext.setCheckpointDir(folder)
     return folder
@@ -26,7 +32,8 @@ def shared_folder(spark: SparkSession) -> str:
 
 def new_folder(spark: SparkSession, label: str) -> str:
     path = f"{shared_folder(spark)}/clinicpulse/{label}-{uuid.uuid4().hex}"
-    _written.append(path)
+    owned = _scope.get()
+    (_written if owned is None else owned).append(path)
     return path
 
 
@@ -51,16 +58,18 @@ def _remove(spark: SparkSession, paths: list[str]) -> None:
 
 @contextmanager
 def scope(spark: SparkSession) -> Iterator[None]:
-    """Remove what is staged inside once the block ends; its results must be written by then."""
-    mark = len(_written)
+    """Remove what this thread stages inside once the block ends; its results must be written by then."""
+    owned: list[str] = []
+    token = _scope.set(owned)
     try:
         yield
     finally:
-        _remove(spark, _written[mark:])
-        del _written[mark:]
+        _scope.reset(token)
+        _remove(spark, owned)
 
 
 def release(spark: SparkSession) -> None:
-    """Remove everything this process staged."""
-    _remove(spark, _written)
-    _written.clear()
+    """Remove everything this process staged outside scopes."""
+    paths = list(_written)
+    _remove(spark, paths)
+    del _written[: len(paths)]
