@@ -8,20 +8,21 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from clinicpulse.functions import periods, scalars
 from clinicpulse.functions.periods import Months
+from clinicpulse.operators.staging import stage
 from clinicpulse.params import RevenueParams
 
 MONEY = "decimal(18,4)"
-# Narrow enough for its sum to stay a long inside the engine.
-PERCENT = "decimal(8,4)"
+# Percents are summed as they are; only the charge is rounded.
+PERCENT = "decimal(14,8)"
+COUNT = "decimal(18,0)"
 # Rounding modes of the clinic setting; any other value rounds to cents.
 CEIL, TRUNC, INT, CENTS = "1", "2", "3", "cents"
 
 
 def services(t: Mapping[str, DataFrame], months: Months, params: RevenueParams) -> DataFrame:
-    """Paid services in range, one row per service line.
+    """Paid services in range, one row per service line and prescription.
 
-    ``copies`` is how often the joins yield the line (1 unless a dimension repeats a key). Lines fold on
-    their id here; plans, discounts and prices are then joined on that same id without another exchange.
+    ``copies`` is how often the joins yield the line (1 unless a dimension repeats a key).
     """
     creators = t["sotr"].filter(F.col("sysuser") == params.sysuser).join(
         t["sysuser"].select(F.col("oid").alias("sysuser")), "sysuser", "left_semi"
@@ -47,13 +48,13 @@ def services(t: Mapping[str, DataFrame], months: Months, params: RevenueParams)
     return (
         lines.join(owned, "presc_id")
         .join(kinds, "service_presctype")
-        .groupBy("line")
+        .groupBy("line", "presc_id")
         .agg(F.max("month").alias("month"), F.count(F.lit(1)).alias("copies"))
     )
 
 
-def planned(t: Mapping[str, DataFrame], params: RevenueParams) -> DataFrame:
-    """Service lines under a fixed finance plan that is in force on the run date."""
+def planned(t: Mapping[str, DataFrame], lines: DataFrame, params: RevenueParams) -> DataFrame:
+    """Those of the lines that are under a fixed finance plan in force on the run date."""
     plans = (
         t["finance_plan"]
         .filter(F.col("fixed") & F.lit(params.as_of).between(F.col("date_begin"), F.col("date_end")))
@@ -67,26 +68,45 @@ def planned(t: Mapping[str, DataFrame], params: RevenueParams) -> DataFrame:
     valid = plans.join(cash, "visit", "left_semi")
     return (
         t["finance_plan_presc_service"]
+        .select("finance_plan", F.col("presc_service").alias("line"))
+        .join(lines, "line", "left_semi")
         .join(valid, "finance_plan", "left_semi")
-        .select(F.col("presc_service").alias("line"))
+        .select("line")
         .distinct()
     )
 
 
-def discounts(t: Mapping[str, DataFrame]) -> DataFrame:
-    """Percent (own, else the discount's) and fixed amount per service line; each may be NULL."""
+def discounts(t: Mapping[str, DataFrame], lines: DataFrame) -> DataFrame:
+    """Percent (own, else the discount's) and fixed amount of each of the lines; each may be NULL."""
     card = t["discount"].select(F.col("oid").alias("discount"), F.col("percent").alias("card_percent"))
     return (
         t["discount_presc"]
+        .withColumnRenamed("presc_service", "line")
+        .join(lines, "line", "left_semi")
         .join(card, "discount", "left")
-        .groupBy(F.col("presc_service").alias("line"))
+        .groupBy("line")
         .agg(
-            F.sum(F.coalesce("percent", "card_percent").cast(PERCENT)).cast("decimal(9,4)").alias("percent"),
+            F.sum(F.coalesce("percent", "card_percent").cast(PERCENT)).cast(PERCENT).alias("percent"),
             F.sum(F.col("fix_sum").cast(MONEY)).cast(MONEY).alias("fix_sum"),
         )
     )
 
 
+def prices(t: Mapping[str, DataFrame], lines: DataFrame) -> DataFrame:
+    """The price of each of the lines under its own prescription. A second one fails the run: it would count the
+    line twice."""
+    one = F.when(F.count(F.lit(1)) == 1, F.max("price")).otherwise(
+        F.raise_error(F.concat(F.lit("more than one price for line "), F.first("line"))).cast(MONEY)
+    )
+    return (
+        t["price"]
+        .select("presc_id", F.col("presc_service_oid").alias("line"), F.col("base_price").cast(MONEY).alias("price"))
+        .join(lines, "line", "left_semi")
+        .groupBy("line", "presc_id")
+        .agg(one.alias("price"))
+    )
+
+
 def rounded(amount: Column, mode: str) -> Column:
     if mode == CEIL:
         value = F.ceil(amount)
@@ -105,23 +125,23 @@ def charged(mode: str) -> Column:
 
 
 def by_mode(t: Mapping[str, DataFrame], months: Months, params: RevenueParams) -> DataFrame:
-    """Monthly revenue under each rounding mode, in one pass."""
-    under_plan = planned(t, params).withColumn("in_plan", F.lit(True))
-    # A line belongs to one prescription, so its price is found by the line alone.
-    prices = t["price"].select(
-        F.col("presc_service_oid").alias("line"), F.col("base_price").cast(MONEY).alias("price")
-    )
+    """Monthly revenue under each rounding mode, in one pass.
+
+    The lines in range are written once; plans, discounts and prices are cut to them before they are folded.
+    """
+    found = stage(services(t, months, params), "services")
+    lines = found.select("line").distinct()
+    under_plan = planned(t, lines, params).withColumn("in_plan", F.lit(True))
     off = F.col("in_plan").isNull()
     priced = (
-        services(t, months, params)
-        .join(under_plan, "line", "left")
-        .join(discounts(t), "line", "left")
-        .join(prices, "line", "left")
+        found.join(under_plan, "line", "left")
+        .join(discounts(t, lines), "line", "left")
+        .join(prices(t, lines), ["line", "presc_id"], "left")
         .withColumn("percent", F.when(off, F.col("percent")))
         .withColumn("fix_sum", F.when(off, F.col("fix_sum")))
     )
     # A line the joins yield n times meets its n discount rows n times.
-    weight = (F.col("copies") * F.col("copies")).cast("decimal(9,0)")
+    weight = (F.col("copies") * F.col("copies")).cast(COUNT)
     return priced.groupBy("month").agg(
         *[F.sum(charged(m) * weight).cast("decimal(28,4)").alias(f"m_{m}") for m in (CEIL, TRUNC, INT, CENTS)]
     )
@@ -139,7 +159,7 @@ def monthly(t: Mapping[str, DataFrame], months: Months, params: RevenueParams) -
     setting = (
         t["systemsettings"]
         .filter(F.col("param") == params.rounding_setting)
-        .select(F.struct(*[n.cast("decimal(9,0)").alias(m) for m, n in rows.items()]).alias("rows"))
+        .select(F.struct(*[n.cast(COUNT).alias(m) for m, n in rows.items()]).alias("rows"))
     )
     sums = by_mode(t, months, params).withColumn("rows", setting.scalar())
     revenue = sum((F.col(f"m_{m}") * F.col(f"rows.{m}") for m in rows), F.lit(0).cast("decimal(1,0)"))
