@@ -99,22 +99,24 @@ def alt_signed(
     than the slot, and never booked itself.
 
     Only the latest such record of a file, day and doctor matters, so these fold to one time each and a
-    visit is compared with that, instead of pairing every visit with every record.
+    visit is compared with that, instead of pairing every visit with every record. Records are cut to the
+    visits' files, days and doctors first, and only the few left are looked up among the bookings.
     """
     signers = t["sotr"].select(F.col("oid").alias("creator_id"), F.col("sysuser").alias("doc_sysuser_oid"))
-    booked = t["presc_schedule"].select(F.col("presc_id").alias("id")).distinct()
-    latest = (
+    due = by_day(visits).select("presc_oid", *FILE_DAY, "schedule_date_time")
+    signed = stage(
         t["presc"]
         .filter(
             F.col("presc_state_id").isin(list(p.signed_states))
             & periods.within_days("create_dt", p.date_start, p.date_end)
         )
-        .join(booked, "id", "left_anti")
         .join(signers, "creator_id")
-        .groupBy(F.col("mdoc_id").alias("mdoc_oid"), "doc_sysuser_oid", F.to_date("create_dt").alias("day"))
-        .agg(F.max("create_dt").alias("signed_at"))
+        .select("id", F.col("mdoc_id").alias("mdoc_oid"), "doc_sysuser_oid", F.to_date("create_dt").alias("day"), "create_dt")
+        .join(due.select(*FILE_DAY).distinct(), FILE_DAY, "left_semi"),
+        "no-show-signed",
     )
-    due = by_day(visits).select("presc_oid", *FILE_DAY, "schedule_date_time")
+    booked = t["presc_schedule"].select(F.col("presc_id").alias("id")).join(signed.select("id"), "id", "left_semi")
+    latest = signed.join(booked, "id", "left_anti").groupBy(*FILE_DAY).agg(F.max("create_dt").alias("signed_at"))
     matched = join_to_unique(
         due, latest, FILE_DAY, "inner", spread_by=["presc_oid"], collapse=lambda d: d.distinct(), hot=hot
     )
@@ -126,16 +128,25 @@ def by_day(visits: DataFrame) -> DataFrame:
 
 
 def seen_before(visits: DataFrame, t: Mapping[str, DataFrame], p: ReportParams) -> DataFrame:
-    """People with a signed prescription outside the report's visits."""
+    """The report's people with a signed prescription outside its visits.
+
+    Starts from those people and their files, so that a report of one day shuffles a day of prescriptions.
+    """
+    people = stage(visits.select("people_oid").distinct(), "no-show-people")
+    files = stage(
+        t["mdoc"]
+        .select(F.col("id").alias("mdoc_id"), F.col("people_id").alias("people_oid"))
+        .join(people, "people_oid", "left_semi"),
+        "no-show-files",
+    )
     others = (
         t["presc"]
         .filter(F.col("presc_state_id").isin(list(p.signed_states)))
         .select(F.col("id").alias("presc_oid"), "mdoc_id")
+        .join(files.select("mdoc_id").distinct(), "mdoc_id", "left_semi")
         .join(visits.select("presc_oid").distinct(), "presc_oid", "left_anti")
     )
-    files = others.select("mdoc_id").distinct()
-    owners = t["mdoc"].select(F.col("id").alias("mdoc_id"), F.col("people_id").alias("people_oid"))
-    return files.join(owners, "mdoc_id").select("people_oid").distinct()
+    return files.join(others.select("mdoc_id").distinct(), "mdoc_id").select("people_oid").distinct()
 
 
 def flags(visits: DataFrame, t: Mapping[str, DataFrame], p: ReportParams) -> DataFrame:
