@@ -5,7 +5,9 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
+
+_FIXED = (T.NumericType, T.DateType, T.TimestampType, T.TimestampNTZType, T.BooleanType)
 
 # What happens to a column of a row that exists on both sides; columns not named keep the stored value.
 NEW = "new"
@@ -13,11 +15,24 @@ NEW_IF_SET = "new if set"
 GREATEST = "greatest"
 
 
-def first_per_key(df: DataFrame, key: Sequence[str], order_by: Sequence[str]) -> DataFrame:
-    """One row per key, the first in ``order_by``; folds copies before the shuffle, sorts no group."""
-    rest = [c for c in df.columns if c not in key]
-    picked = F.min_by(F.struct(*rest), F.struct(*order_by)).alias("_row")
-    return df.groupBy(*key).agg(picked).select(*key, "_row.*").select(*df.columns)
+def first_per_key(df: DataFrame, key: Sequence[str], order_by: Sequence[str] = ()) -> DataFrame:
+    """One row per key: the first in ``order_by``, and of equally first ones that of the lowest digest.
+
+    Every step aggregates numbers by hash (``order_by`` takes columns of fixed width only), so no group is sorted and
+    no text is kept in an aggregate: the winner is found by number and met again by key. Nulls come first, equal
+    rows are one.
+    """
+    columns = df.columns
+    rows = df.distinct().withColumn("_digest", F.xxhash64(*columns))
+    for column in (*order_by, "_digest"):
+        if not isinstance(rows.schema[column].dataType, _FIXED):
+            raise TypeError(f"{column} cannot be ordered by hash aggregates")
+        first = F.when(F.count(F.lit(1)) == F.count(column), F.min(column)).alias("_first")
+        best = rows.groupBy(*key).agg(first).select(*[F.col(k).alias(f"_{k}") for k in key], "_first")
+        same = [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in key]
+        met = rows.join(best, reduce(lambda a, b: a & b, [*same, F.col(column).eqNullSafe(F.col("_first"))]), "left_semi")
+        rows = met
+    return rows.select(*columns)
 
 
 def insert_if_absent(
@@ -31,12 +46,6 @@ def insert_if_absent(
     return fresh.join(existing.select(*key), list(key), "left_anti").select(*incoming.columns)
 
 
-def replace(existing: DataFrame, incoming: DataFrame, key: Sequence[str]) -> DataFrame:
-    """Stored rows and new ones, a new row taking the place of the stored row of its key."""
-    kept = existing.join(incoming.select(*key), list(key), "left_anti").select(*existing.columns)
-    return kept.unionByName(incoming.select(*existing.columns))
-
-
 def merge(
     existing: DataFrame,
     incoming: DataFrame,

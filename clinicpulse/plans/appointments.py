@@ -14,6 +14,10 @@ from clinicpulse.operators import upsert
 from clinicpulse.params import AppointmentParams
 
 
+# Above any time in microseconds.
+_NO_TIME = 2**63 - 1
+
+
 def _slots(t: Mapping[str, DataFrame], months: Months, creators: DataFrame, slot_filter, hours_filter) -> DataFrame:
     """Booked slots with their prescription, type and working hours; prescriptions by ``creators`` in range."""
     prescriptions = (
@@ -72,18 +76,31 @@ def latest_source(log: DataFrame, after: date) -> DataFrame:
 
     A missing update time counts as newest. Equal times are settled by the channel name.
     """
-    order = F.struct(F.col("updated_at").isNull(), F.col("updated_at"), F.col("source"))
-    return (
+    # One row per appointment and channel first, with the time as a number, newest if missing.
+    newest = F.when(F.count("updated_at") == F.count(F.lit(1)), F.unix_micros(F.max("updated_at").cast("timestamp")))
+    per_channel = (
         log.filter(F.col("created_at") >= F.date_add(F.lit(after), 1))
-        .groupBy(F.col("appointment_oid").alias("appointment_id"))
-        .agg(F.max_by("source", order).alias("source"))
+        .groupBy(F.col("appointment_oid").alias("appointment_id"), "source")
+        .agg(F.coalesce(newest, F.lit(_NO_TIME)).alias("at"))
     )
+    last = per_channel.groupBy("appointment_id").agg(F.max("at").alias("at"))
+    tied = per_channel.join(last, ["appointment_id", "at"])
+    other = tied.select(F.col("appointment_id").alias("same"), F.col("source").alias("other"))
+    higher = (F.col("source") < F.col("other")) | (F.col("source").isNull() & F.col("other").isNotNull())
+    return tied.join(other, (F.col("appointment_id") == F.col("same")) & higher, "left_anti").select(
+        "appointment_id", "source"
+    )
+
+
+def with_channel(appointments: DataFrame, sources: DataFrame) -> DataFrame:
+    """Online appointments with their channel; one the log has nothing about has none and is in no count."""
+    return appointments.join(sources, "appointment_id", "left")
 
 
-def by_channel(appointments: DataFrame, sources: DataFrame) -> DataFrame:
+def by_channel(appointments: DataFrame) -> DataFrame:
     """Online appointments per month and channel."""
     return (
-        appointments.join(sources, "appointment_id")
+        appointments.filter(F.col("source").isNotNull())
         .groupBy(periods.month_of("create_dt").alias("month"), "source")
         .agg(F.count(F.lit(1)).alias("count"))
     )
