@@ -17,8 +17,9 @@ def _as_uuid(digest: Column) -> Column:
 def with_row_id(df: DataFrame, name: str, block: int = COPIES_PER_BLOCK) -> DataFrame:
     """Add a uuid-shaped id made of the row's content and its number among identical rows.
 
-    The same export always yields the same ids, whatever its file layout, and identical rows get distinct
-    ids. Copies are folded into a count before the shuffle, so no window ever holds a group of copies; a
+    Identical rows get distinct ids, and the same rows always yield the same ids. A frame that is loaded in
+    batches must say where a row came from (its export day and file), so that copies are numbered within one
+    file and never within a batch. Copies are folded into a count before the shuffle, so no window ever holds a group of copies; a
     count above ``block`` is first cut into blocks that are spread over the cluster, then unfolded.
     """
     columns = df.columns
@@ -33,7 +34,7 @@ def with_row_id(df: DataFrame, name: str, block: int = COPIES_PER_BLOCK) -> Data
     many = (
         folded.filter(F.col("_copies") > block)
         .select(*columns, "_copies", F.explode(blocks).alias("_block"))
-        .repartition(parts, "_block")
+        .repartition(parts, *columns, "_block")
         .select(*columns, F.explode(F.sequence(first, last)).alias("_nth"))
     )
     fields = [F.coalesce(F.col(f"`{c}`").cast("string"), F.lit(_NULL_MARK)) for c in columns]

@@ -45,7 +45,7 @@ def normalise(raw: DataFrame, spec: ExportSpec) -> DataFrame:
     if spec.row_id is None:
         key = spec.tables[0].key
         wide = raw.select(*[required(f) if f.target in key else typed(f) for f in spec.fields])
-        return upsert.first_per_key(wide, key, [c for c in wide.columns if c not in key])
+        return upsert.first_per_key(wide, key)
     return rowid.with_row_id(raw, spec.row_id).select(spec.row_id, *[typed(f) for f in spec.fields])
 
 
@@ -54,11 +54,12 @@ def fan_out(wide: DataFrame, spec: ExportSpec) -> dict[str, DataFrame]:
 
 
 def new_rows(wide: DataFrame, spec: ExportSpec, stored: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
-    """Per table, the rows to append. Stored rows are looked at only within the batch's own time span."""
+    """Per table, the rows to append. Stored rows are looked at only within the batch's own time span, and those
+    without a readable time always: they have a partition of their own."""
     span = wide.agg(F.min(spec.time).alias("first"), F.max(spec.time).alias("last")).first()
     first, last = F.lit(span["first"]), F.lit(span["last"])
-    overlap = F.col(spec.time).between(first, last)
-    on_days = F.col(EVENT_DAY).between(F.to_date(first), F.to_date(last))
+    overlap = F.col(spec.time).between(first, last) | F.col(spec.time).isNull()
+    on_days = F.col(EVENT_DAY).between(F.to_date(first), F.to_date(last)) | F.col(EVENT_DAY).isNull()
     loaded = fan_out(wide, spec)
     rows = {}
     for table in spec.tables:
@@ -69,6 +70,11 @@ def new_rows(wide: DataFrame, spec: ExportSpec, stored: Mapping[str, DataFrame])
     return rows
 
 
+def unreadable(wide: DataFrame, spec: ExportSpec) -> int:
+    """How many rows have no readable time; they are stored, but belong to no day."""
+    return wide.filter(F.col(spec.time).isNull()).count()
+
+
 def run(
     spark: SparkSession,
     path: str,

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from clinicpulse.sources.specs import ExportSpec
 
 DAY = "export_date"
+FILE = "landed_file"
 
 
 def raw_schema(spec: ExportSpec) -> T.StructType:
@@ -16,22 +17,26 @@ def raw_schema(spec: ExportSpec) -> T.StructType:
     return T.StructType([T.StructField(c, T.StringType()) for c in spec.header])
 
 
-def reader_options(spec: ExportSpec, multiline: bool = False) -> dict[str, object]:
-    """``multiline`` is for exports whose texts hold line breaks; such a file is read by one task."""
-    options: dict[str, object] = {"multiLine": multiline}
+def reader_options(spec: ExportSpec) -> dict[str, object]:
+    options: dict[str, object] = {"multiLine": spec.multiline}
     if spec.format == "csv":
         options |= {"header": True, "quote": '"', "escape": '"', "enforceSchema": False, "emptyValue": ""}
     return options
 
 
-def read(
-    spark: SparkSession, path: str, spec: ExportSpec, start: date, end: date, multiline: bool = False
-) -> DataFrame:
-    """Rows of the landed days ``start`` to ``end``; other days' folders are not opened."""
-    schema = T.StructType(raw_schema(spec).fields + [T.StructField(DAY, T.DateType())])
-    reader = spark.read.format(spec.format).schema(schema)
-    files = reader.options(**reader_options(spec, multiline)).load(path)
-    return files.filter(F.col(DAY).between(F.lit(start), F.lit(end))).drop(DAY)
+def landed_schema(spec: ExportSpec) -> T.StructType:
+    return T.StructType([*raw_schema(spec).fields, T.StructField(DAY, T.DateType())])
+
+
+def with_file(files: DataFrame) -> DataFrame:
+    """Name the file each row landed in: equal rows of two files are two rows, whatever batch reads them."""
+    return files.select("*", F.col("_metadata.file_name").alias(FILE))
+
+
+def read(spark: SparkSession, path: str, spec: ExportSpec, start: date, end: date) -> DataFrame:
+    """Rows of the landed days ``start`` to ``end`` with their day and file; other days' folders are not opened."""
+    reader = spark.read.format(spec.format).schema(landed_schema(spec)).options(**reader_options(spec))
+    return with_file(reader.load(path)).filter(F.col(DAY).between(F.lit(start), F.lit(end)))
 
 
 def write(df: DataFrame, path: str, spec: ExportSpec, day: str = DAY) -> None:

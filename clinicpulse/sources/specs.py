@@ -51,6 +51,8 @@ class ExportSpec:
     time: str
     row_id: str | None = None
     header: tuple[str, ...] = field(default=())
+    # Texts, addresses and JSON hold line breaks. Such a CSV file is read by one task, so land large days as several.
+    multiline: bool = True
 
     def field(self, target: str) -> Field:
         return next(f for f in self.fields if f.target == target)

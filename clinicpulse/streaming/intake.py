@@ -8,9 +8,9 @@ touches older days.
 from __future__ import annotations
 
 from collections.abc import Callable
-from datetime import date
+from datetime import date, timedelta
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from clinicpulse.operators import staging
@@ -21,12 +21,23 @@ from clinicpulse.sources.specs import SPARK_TYPES, ExportSpec
 Update = Callable[[date, date], None]
 
 
-def touched_days(raw: DataFrame, spec: ExportSpec) -> tuple[date, date] | None:
-    """First and last event day of a raw batch."""
+def touched_days(raw: DataFrame, spec: ExportSpec) -> list[date]:
+    """The distinct event days of a raw batch, in order; rows without a readable time touch none."""
     source = spec.prefix + spec.field(spec.time).sources[0]
-    time = F.col(f"`{source}`").try_cast(SPARK_TYPES[spec.field(spec.time).type])
-    days = raw.agg(F.min(F.to_date(time)).alias("first"), F.max(F.to_date(time)).alias("last")).first()
-    return (days["first"], days["last"]) if days["first"] else None
+    day = F.to_date(F.col(f"`{source}`").try_cast(SPARK_TYPES[spec.field(spec.time).type]))
+    found = raw.select(day.alias("day")).filter("day IS NOT NULL").distinct().orderBy("day")
+    return [r["day"] for r in found.collect()]
+
+
+def stretches(days: list[date]) -> list[tuple[date, date]]:
+    """Runs of days without a gap, so that one stray date renews only itself."""
+    runs: list[tuple[date, date]] = []
+    for day in days:
+        if runs and day - runs[-1][1] == timedelta(days=1):
+            runs[-1] = (runs[-1][0], day)
+        else:
+            runs.append((day, day))
+    return runs
 
 
 def follow(
@@ -40,20 +51,20 @@ def follow(
 ) -> StreamingQuery:
     """Process all files not seen yet, in batches, then stop. ``checkpoint`` must be a shared folder.
 
-    A batch may be run again after a failure: row ids are the same each time, so nothing is appended twice,
-    and the merges give the same result.
+    ``update`` is called for each run of event days the batch touches. A batch may be run again after a failure, or
+    cut differently: row ids depend on the landed file alone, so nothing is appended twice, and the merges give the
+    same result.
     """
-    schema = T.StructType(landing.raw_schema(spec).fields + [T.StructField(landing.DAY, T.DateType())])
-    reader = spark.readStream.format(spec.format).schema(schema).options(**landing.reader_options(spec))
-    files = reader.option("maxFilesPerTrigger", files_per_batch).load(landed)
+    reader = spark.readStream.format(spec.format).schema(landing.landed_schema(spec))
+    reader = reader.options(**landing.reader_options(spec)).option("maxFilesPerTrigger", files_per_batch)
+    files = landing.with_file(reader.load(landed))
 
     def load(batch: DataFrame, _: int) -> None:
         with staging.scope(spark):
-            raw = staging.stage(batch.drop(landing.DAY), f"batch-{spec.name}")
-            days = touched_days(raw, spec)
-            if days is not None:
-                daily.append_export(w, spec, raw)
-                update(*days)
+            raw = staging.stage(batch, f"batch-{spec.name}")
+            daily.append_export(w, spec, raw)
+            for stretch in stretches(touched_days(raw, spec)):
+                update(*stretch)
 
     return (
         files.writeStream.foreachBatch(load)
