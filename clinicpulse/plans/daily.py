@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping, Sequence
 from datetime import date, timedelta
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from clinicpulse import params as P
 from clinicpulse.functions import periods
@@ -41,7 +41,13 @@ class Warehouse:
 
     @property
     def identity(self) -> StateTable:
-        return StateTable(self.spark, f"{self.root}/user_identity", identity.SCHEMA, ["source"])
+        by = ["source", "bucket"]
+        return StateTable(self.spark, f"{self.root}/user_identity", f"{identity.SCHEMA}, bucket int", by)
+
+    @property
+    def progress(self) -> StateTable:
+        """How far each step of each source has come."""
+        return StateTable(self.spark, f"{self.root}/progress", "source string, step string, done_to date", ["source", "step"])
 
     @property
     def presence(self) -> StateTable:
@@ -53,19 +59,31 @@ class Warehouse:
         schema = "create_dt timestamp_ntz, appointment_id string, month date"
         return StateTable(self.spark, f"{self.root}/appointments", schema, ["month"])
 
+    @property
+    def channels(self) -> StateTable:
+        """Online appointments with the channel they were last written under."""
+        schema = "create_dt timestamp_ntz, appointment_id string, source string, month date"
+        return StateTable(self.spark, f"{self.root}/online_appointments", schema, ["month"])
+
     def figure(self, name: str) -> StateTable:
         schema, key = FIGURES[name]
         return StateTable(self.spark, f"{self.root}/{name}", schema, key)
 
 
-def append_export(w: Warehouse, spec: ExportSpec, raw: DataFrame) -> None:
-    """Add a raw batch to the export's tables; rows already there are left as they are."""
+def append_export(w: Warehouse, spec: ExportSpec, raw: DataFrame) -> int:
+    """Add a raw batch to the export's tables; rows already there are left as they are.
+
+    Returns how many rows have no readable time. A failure between two tables is made good by running the batch
+    again; ``events`` comes last, so a row there has its rows in the others.
+    """
     stored = {t.name: w.export(spec, t).read() for t in spec.tables}
     with staging.scope(w.spark):
-        rows = ingest.load(raw, spec, stored)
-        for table in spec.tables:
+        wide = staging.stage(ingest.normalise(raw, spec), f"export-{spec.name}")
+        rows = ingest.new_rows(wide, spec, stored)
+        for table in sorted(spec.tables, key=lambda t: t.name == "events"):
             day = F.to_date(spec.time).alias(ingest.EVENT_DAY)
             w.export(spec, table).append(rows[table.name].select("*", day))
+        return ingest.unreadable(wide, spec)
 
 
 def stored_export(w: Warehouse, spec: ExportSpec, table: str) -> DataFrame:
@@ -77,22 +95,58 @@ def read_export(w: Warehouse, spec: ExportSpec, table: str, start: date, end: da
     return stored_export(w, spec, table).filter(F.col(ingest.EVENT_DAY).between(F.lit(start), F.lit(end)))
 
 
+# The steps of a source, each done up to a day of its own.
+LOAD, IDENTITY, PRESENCE = "load", "identity", "presence"
+CLINIC, CHANNELS = "clinic", "channels"
+
+
+def done_to(w: Warehouse, source: str, step: str) -> date | None:
+    found = w.progress.read().filter((F.col("source") == source) & (F.col("step") == step))
+    return periods.last_value(found, "done_to")
+
+
+def mark_done(w: Warehouse, source: str, step: str, day: date) -> None:
+    """Written after the step's results, so a step that failed is run again, for all the days it missed."""
+    w.progress.replace_partitions(w.spark.createDataFrame([(source, step, day)], "source string, step string, done_to date"))
+
+
 def load_source(w: Warehouse, landed: str, spec: ExportSpec, as_of: date) -> tuple[date, date] | None:
-    """Load the days not yet in the export's events table; None if yesterday is there already."""
-    stored = stored_export(w, spec, "events")
-    # The newest day is nearly always a recent one, so the partitions before are looked at only if it is not.
-    recent = stored.filter(F.col(ingest.EVENT_DAY) >= F.lit(as_of - timedelta(days=31)))
-    last = periods.last_value(recent, ingest.EVENT_DAY) or periods.last_value(stored, ingest.EVENT_DAY)
-    days = periods.next_slice(last, as_of)
+    """Load the days the source has not been loaded for; None if yesterday is there already."""
+    days = periods.next_slice(done_to(w, spec.name, LOAD), as_of)
     if days is not None:
         append_export(w, spec, landing.read(w.spark, landed, spec, *days))
+        mark_done(w, spec.name, LOAD, days[1])
     return days
 
 
-def _merge_identity(w: Warehouse, source: str, batch: DataFrame) -> DataFrame:
-    stored = w.identity.read().filter(F.col("source") == source)
-    w.identity.replace_partitions(identity.merge(stored, batch))
-    return w.identity.read()
+def pending(w: Warehouse, spec: ExportSpec, step: str) -> tuple[date, date] | None:
+    """The loaded days a step has not covered yet; None if there are none."""
+    loaded, done = done_to(w, spec.name, LOAD), done_to(w, spec.name, step)
+    if loaded is None:
+        return None
+    if done is None:
+        first = stored_export(w, spec, "events").agg(F.min(ingest.EVENT_DAY).alias("first")).first()["first"]
+        done = (first or loaded) - timedelta(days=1)
+    return None if done >= loaded else (done + timedelta(days=1), loaded)
+
+
+def catch_up(w: Warehouse, spec: ExportSpec, step: str, run: Callable[[date, date], None]) -> None:
+    """Run a step over the loaded days it has not covered. All steps are merges, so a day may come twice."""
+    days = pending(w, spec, step)
+    if days is not None:
+        run(*days)
+        mark_done(w, spec.name, step, days[1])
+
+
+def _merge_identity(w: Warehouse, source: str, batch: DataFrame) -> None:
+    """Only the hash buckets that hold a device of the batch are read and rewritten."""
+    with staging.scope(w.spark):
+        batch = staging.stage(batch.withColumn("bucket", identity.bucket("external_user_id")), "identity-batch")
+        # At most ``identity.BUCKETS`` numbers.
+        touched = [r["bucket"] for r in batch.select("bucket").distinct().collect()]
+        stored = w.identity.read().filter((F.col("source") == source) & F.col("bucket").isin(touched))
+        merged = identity.merge(stored.drop("bucket"), batch.drop("bucket"))
+        w.identity.replace_partitions(merged.withColumn("bucket", identity.bucket("external_user_id")))
 
 
 def _merge_presence(w: Warehouse, kind: presence.Presence, batch: DataFrame, start: date, end: date) -> None:
@@ -104,29 +158,57 @@ def _merge_presence(w: Warehouse, kind: presence.Presence, batch: DataFrame, sta
     w.presence.replace_partitions(presence.merge(stored, batch))
 
 
-def update_mobile(w: Warehouse, allowed: DataFrame, start: date, end: date) -> None:
+def _present(w: Warehouse, spec: ExportSpec, kinds: Sequence[presence.Presence], start: date, end: date) -> None:
+    events = read_export(w, spec, "events", start, end)
+    for kind in kinds:
+        _merge_presence(w, kind, presence.build(events, w.identity.read(), kind, start, end), start, end)
+
+
+def identify_mobile(w: Warehouse, start: date, end: date) -> None:
     events = read_export(w, specs.mobile(), "events", start, end)
-    known = _merge_identity(w, P.SOURCE_MOBILE, identity.mobile(events, start, end))
-    for kind in (presence.mobile_listed(allowed), presence.mobile_all()):
-        _merge_presence(w, kind, presence.build(events, known, kind, start, end), start, end)
+    _merge_identity(w, P.SOURCE_MOBILE, identity.mobile(events, start, end))
 
 
-def update_booking(w: Warehouse, goal_prefix: str, start: date, end: date, path: str) -> None:
-    spec = specs.web("booking")
-    events, extra = (read_export(w, spec, t, start, end) for t in ("events", "event_params"))
-    known = _merge_identity(w, P.SOURCE_BOOKING, identity.booking(events, extra, start, end, path=path))
-    kind = presence.site_goals(goal_prefix)
-    _merge_presence(w, kind, presence.build(events, known, kind, start, end), start, end)
+def attend_mobile(w: Warehouse, allowed: DataFrame, start: date, end: date) -> None:
+    with staging.scope(w.spark):
+        # Written first, so that the planner sees how small it is and leaves the events where they are.
+        listed = presence.mobile_listed(staging.stage(allowed.select("event_type").distinct(), "allowed"))
+        _present(w, specs.mobile(), (listed, presence.mobile_all()), start, end)
 
 
-def update_account(w: Warehouse, start: date, end: date, path: str) -> None:
+def identify_booking(w: Warehouse, start: date, end: date, path: str) -> None:
+    events, extra = (read_export(w, specs.web("booking"), t, start, end) for t in ("events", "event_params"))
+    _merge_identity(w, P.SOURCE_BOOKING, identity.booking(events, extra, start, end, path=path))
+
+
+def attend_booking(w: Warehouse, goal_prefix: str, start: date, end: date) -> None:
+    _present(w, specs.web("booking"), (presence.site_goals(goal_prefix),), start, end)
+
+
+def identify_account(w: Warehouse, start: date, end: date, path: str) -> None:
+    """Params match by hit whatever their time, so they are not cut to the days."""
     spec = specs.web("web_lk")
     events = read_export(w, spec, "events", start, end)
-    # Params match by hit whatever their time, so they are not cut to the days.
-    extra = stored_export(w, spec, "event_params")
-    known = _merge_identity(w, P.SOURCE_ACCOUNT, identity.account(events, extra, start, end, path=path))
-    kind = presence.site_page_views()
-    _merge_presence(w, kind, presence.build(events, known, kind, start, end), start, end)
+    _merge_identity(w, P.SOURCE_ACCOUNT, identity.account(events, stored_export(w, spec, "event_params"), start, end, path=path))
+
+
+def attend_account(w: Warehouse, start: date, end: date) -> None:
+    _present(w, specs.web("web_lk"), (presence.site_page_views(),), start, end)
+
+
+def update_mobile(w: Warehouse, allowed: DataFrame, start: date, end: date) -> None:
+    identify_mobile(w, start, end)
+    attend_mobile(w, allowed, start, end)
+
+
+def update_booking(w: Warehouse, goal_prefix: str, start: date, end: date, path: str) -> None:
+    identify_booking(w, start, end, path)
+    attend_booking(w, goal_prefix, start, end)
+
+
+def update_account(w: Warehouse, start: date, end: date, path: str) -> None:
+    identify_account(w, start, end, path)
+    attend_account(w, start, end)
 
 
 def update_users(w: Warehouse, as_of: date) -> None:
@@ -147,19 +229,28 @@ def run_analytics(
     w: Warehouse, landed: Mapping[str, str], allowed: DataFrame, goal_prefix: str, as_of: date,
     path: str = identity.USER_ID_PATH,
 ) -> None:
-    """The whole chain for one day. A source that is up to date is skipped, the figures are always renewed."""
-    days = load_source(w, landed["mobile"], specs.mobile(), as_of)
-    if days:
-        update_mobile(w, allowed, *days)
-    days = load_source(w, landed["booking"], specs.web("booking"), as_of)
-    if days:
-        update_booking(w, goal_prefix, *days, path)
-    days = load_source(w, landed["web_lk"], specs.web("web_lk"), as_of)
-    if days:
-        update_account(w, *days, path)
+    """The whole chain for one day. A step that is up to date is skipped, one that failed before covers the days it
+    missed, and the figures are always renewed."""
+    mobile, booking, account = specs.mobile(), specs.web("booking"), specs.web("web_lk")
+    load_source(w, landed["mobile"], mobile, as_of)
+    catch_up(w, mobile, IDENTITY, lambda start, end: identify_mobile(w, start, end))
+    catch_up(w, mobile, PRESENCE, lambda start, end: attend_mobile(w, allowed, start, end))
+    load_source(w, landed["booking"], booking, as_of)
+    catch_up(w, booking, IDENTITY, lambda start, end: identify_booking(w, start, end, path))
+    catch_up(w, booking, PRESENCE, lambda start, end: attend_booking(w, goal_prefix, start, end))
+    load_source(w, landed["web_lk"], account, as_of)
+    catch_up(w, account, IDENTITY, lambda start, end: identify_account(w, start, end, path))
+    catch_up(w, account, PRESENCE, lambda start, end: attend_account(w, start, end))
     update_users(w, as_of)
 
 
+def _touched(log: DataFrame, since: date) -> Column:
+    """Entries written or changed since a day, or at an unknown time."""
+    return (
+        (F.col("created_at") >= F.lit(since)) | (F.col("updated_at") >= F.lit(since)) | F.col("updated_at").isNull()
+    )
+
+
 def run_clinic(
     w: Warehouse, t: Mapping[str, DataFrame], as_of: date, revenue_params: RevenueParams,
     visit_params: AppointmentParams,
@@ -171,7 +262,8 @@ def run_clinic(
 
     stored = w.figure("revenue_kpi")
     span = months(periods.last_value(stored.read(), "month"))
-    stored.replace_partitions(revenue.monthly(t, span, revenue_params))
+    with staging.scope(w.spark):
+        stored.replace_partitions(revenue.monthly(t, span, revenue_params))
 
     rates = w.figure("rate_kpi")
     calls = rates.read().filter(F.col("source") == P.CHANNEL_CALL_CENTER)
@@ -184,9 +276,24 @@ def run_clinic(
     recent = loaded.read().filter(span.of("month"))
     loaded.append(appointments.new_online(recent, found))
 
-    channels = appointments.by_channel(
-        loaded.read(), appointments.latest_source(t["appointment_record"], periods.FIRST_MONTH)
-    )
+    # A log entry may come at any later time, so the months renewed are those of the appointments in range and those
+    # the log has written about since the last run.
+    marked = done_to(w, CLINIC, CHANNELS)
+    log = t["appointment_record"]
+    with staging.scope(w.spark):
+        since = log if marked is None else log.filter(_touched(log, marked - timedelta(days=1)))
+        written = since.select(F.col("appointment_oid").alias("appointment_id")).distinct()
+        touched = loaded.read().join(written, "appointment_id", "left_semi").select("month").distinct()
+        # One date per month of the clinic's life.
+        months_due = {r["month"] for r in touched.collect()} | {r["month"] for r in span.spine(w.spark).collect()}
+        due = loaded.read().filter(F.col("month").isin(sorted(months_due)))
+        entries = log.join(
+            due.select(F.col("appointment_id").alias("appointment_oid")).distinct(), "appointment_oid", "left_semi"
+        )
+        split = appointments.with_channel(due, appointments.latest_source(entries, periods.FIRST_MONTH))
+        w.channels.replace_partitions(split)
+    mark_done(w, CLINIC, CHANNELS, as_of)
+    channels = appointments.by_channel(w.channels.read().filter(F.col("month").isin(sorted(months_due))))
     rates.replace_partitions(channels.filter(F.col("source") == P.CHANNEL_ONLINE))
     w.figure("ob_to_call_centre_kpi").replace_partitions(appointments.online_ratio(rates.read()))
 

@@ -18,6 +18,12 @@ SCHEMA = (
 KEY = ("source", "external_user_id")
 RULES = {"internal_user_id": upsert.NEW_IF_SET, "last_seen_at": upsert.GREATEST}
 USER_ID_PATH = "$.user_id"
+# The stored table is cut by hash of the external id, so that a day rewrites only the buckets it touches.
+BUCKETS = 64
+
+
+def bucket(external_id: str) -> Column:
+    return F.pmod(F.xxhash64(external_id), F.lit(BUCKETS)).cast("int")
 
 
 def _summarise(hits: DataFrame, source: str, first: Column, last: Column) -> DataFrame:
@@ -41,15 +47,20 @@ def mobile(events: DataFrame, start: date, end: date, source: str = P.SOURCE_MOB
 def _web(events: DataFrame, params: DataFrame, on: list[str], how: str, source: str, path: str) -> DataFrame:
     """Only the highest user id and the time bounds are kept, so params fold to one row per key first and
     copies of a hit fold to its time bounds; the join then never multiplies rows."""
-    users = params.groupBy(*on).agg(
-        F.max(scalars.user_id_from_json(F.col("params"), path)).alias("internal")
-    )
     bounds = [F.min("first").alias("first"), F.max("last").alias("last")]
     keys = [*on, "external"]
     hits = events.filter(F.col("client_id").isNotNull()).select(
         *on, F.col("client_id").alias("external"),
         F.col("date_time").alias("first"), F.col("date_time").alias("last"),
     )
+    if how == "left":
+        # The params are all there ever were: only those of the hits at hand are parsed, and one without a user id
+        # says no more than a hit without params.
+        params = params.join(hits.select(*on).distinct(), on, "left_semi")
+    users = params.select(*on, scalars.user_id_from_json(F.col("params"), path).alias("internal"))
+    if how == "left":
+        users = users.filter("internal IS NOT NULL")
+    users = users.groupBy(*on).agg(F.max("internal").alias("internal"))
     joined = join_to_unique(
         hits, users, on, how, spread_by=["external"], collapse=lambda h: h.groupBy(*keys).agg(*bounds)
     )
