@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -53,9 +54,27 @@ def compact(spark: SparkSession, source: str, target: str, partition_by: Sequenc
     return spark.read.schema(stored.schema).parquet(target)
 
 
-def sweep(spark: SparkSession, exclude: Sequence[str] = P.EXCLUDED_SCHEMAS) -> list[str]:
-    """Refresh the statistics of every table; a failure stops the sweep."""
+def merge_files(spark: SparkSession, table: str, folder: str) -> None:
+    """Rewrite a catalog table's files under ``folder`` and point the catalog to the copy.
+
+    Readers see the old files until the switch and the new ones after it; the old ones are left to whoever owns them.
+    """
+    facts = {r["col_name"]: r["data_type"] for r in spark.sql(f"DESCRIBE TABLE EXTENDED {table}").collect()}
+    parts = [c.name for c in spark.catalog.listColumns(table) if c.isPartition]
+    target = f"{folder}/{table}-{uuid.uuid4().hex}"
+    compact(spark, facts["Location"], target, parts)
+    spark.sql(f"ALTER TABLE {table} SET LOCATION '{target}'")
+    if parts:
+        spark.catalog.recoverPartitions(table)
+    spark.catalog.refreshTable(table)
+
+
+def sweep(spark: SparkSession, exclude: Sequence[str] = P.EXCLUDED_SCHEMAS, merge_into: str | None = None) -> list[str]:
+    """Maintain every table: merge its files into the folder ``merge_into``, if given, and refresh its statistics.
+    A failure stops the sweep."""
     names = tables(spark, exclude)
     for name in names:
+        if merge_into is not None:
+            merge_files(spark, name, merge_into)
         analyze(spark, name)
     return names
