@@ -237,7 +237,13 @@ TEXTS: dict[str, str] = {
         FROM orders GROUP BY 1""",
 }
 
-SQL = {name: _spell(text, _DUCK) for name, text in TEXTS.items()}
+
+
+def in_duckdb(text: str) -> str:
+    return _spell(text, _DUCK)
+
+
+SQL = {name: in_duckdb(text) for name, text in TEXTS.items()}
 
 
 def setting_text(value: str) -> str:

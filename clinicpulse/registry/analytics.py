@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from datetime import date
+from collections.abc import Sequence
+from datetime import date, timedelta
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -13,6 +14,7 @@ from clinicpulse.operators import rowid, staging, upsert
 from clinicpulse.plans import identity, mau, presence
 from clinicpulse.registry.base import day, query, time
 from clinicpulse.sources import ingest, landing, specs
+from clinicpulse.sources.state import StateTable, replace_table
 
 START, END = B.EVENT_DAYS
 IN_RANGE = "{0} >= DATE '2024-01-05' AND {0} < DATE '2024-01-26'"
@@ -115,7 +117,9 @@ def presence_mobile_all(spark: SparkSession, sf_dir: str) -> DataFrame:
 def presence_allowlist(spark: SparkSession, sf_dir: str) -> DataFrame:
     t = B.tables(spark, sf_dir)
     known = identity.mobile(t["mobile_events"], START, END)
-    return presence.build(t["mobile_events"], known, presence.mobile_listed(t["allowed"]), START, END)
+    # Written first: its true size keeps the events from being exchanged by their name.
+    allowed = staging.stage(t["allowed"], "allowed")
+    return presence.build(t["mobile_events"], known, presence.mobile_listed(allowed), START, END)
 
 
 @query("presence_goal", B.with_tables("web_events", "web_params", present=PRESENT_GOAL, body=PRESENCE_BODY))
@@ -213,19 +217,25 @@ def recompute_months(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mau.booking(history, months)
 
 
+def whole_month(sql: str) -> str:
+    return sql.replace("2024-01-05", "2024-01-01").replace("2024-01-26", "2024-02-01")
+
+
 def users_from_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The whole chain on raw events: identity, presence of all four kinds, then monthly users."""
     t = B.tables(spark, sf_dir)
     web, app = t["web_events"], t["mobile_events"]
     # Two kinds of presence look it up.
-    app_ids = staging.stage(identity.mobile(app, START, END), "identity-mobile")
-    booking_ids = identity.booking(web, t["web_params"], START, END, path=B.USER_ID_PATH)
-    account_ids = identity.account(web, t["web_params"], START, END, path=B.USER_ID_PATH)
+    start, end = date(2024, 1, 1), date(2024, 1, 31)
+    app_ids = staging.stage(identity.mobile(app, start, end), "identity-mobile")
+    allowed = staging.stage(t["allowed"], "allowed")
+    booking_ids = identity.booking(web, t["web_params"], start, end, path=B.USER_ID_PATH)
+    account_ids = identity.account(web, t["web_params"], start, end, path=B.USER_ID_PATH)
     days = [
-        presence.build(app, app_ids, presence.mobile_listed(t["allowed"]), START, END),
-        presence.build(app, app_ids, presence.mobile_all(), START, END),
-        presence.build(web, booking_ids, presence.site_goals(B.GOAL_PREFIX), START, END),
-        presence.build(web, account_ids, presence.site_page_views(), START, END),
+        presence.build(app, app_ids, presence.mobile_listed(allowed), start, end),
+        presence.build(app, app_ids, presence.mobile_all(), start, end),
+        presence.build(web, booking_ids, presence.site_goals(B.GOAL_PREFIX), start, end),
+        presence.build(web, account_ids, presence.site_page_views(), start, end),
     ]
     present = staging.stage(days[0].unionByName(days[1]).unionByName(days[2]).unionByName(days[3]), "presence")
     months = Months(date(2024, 1, 1), date(2024, 3, 1))
@@ -237,7 +247,7 @@ query(
     "mau_from_events",
     B.with_tables(
         "mobile_events", "web_events", "web_params", "allowed",
-        present=f"{PRESENT_LISTED} UNION ALL {PRESENT_MOBILE} UNION ALL {PRESENT_GOAL} UNION ALL {PRESENT_VIEW}",
+        present=whole_month(" UNION ALL ".join((PRESENT_LISTED, PRESENT_MOBILE, PRESENT_GOAL, PRESENT_VIEW))),
         spine=months_sql("2024-01-01", "2024-03-01"),
         body=f"""
             SELECT {day('spine.month', 'month')}, kpi, count(DISTINCT who) AS count
@@ -261,15 +271,16 @@ query(
 
 def identity_between(first: int, last: int) -> str:
     """Mobile identity of January days ``first`` to ``last``."""
-    return MOBILE_ID.replace("2024-01-05", f"2024-01-{first:02d}").replace("2024-01-26", f"2024-01-{last + 1:02d}")
+    after = date(2024, 1, last) + timedelta(days=1)
+    return MOBILE_ID.replace("2024-01-05", f"2024-01-{first:02d}").replace("2024-01-26", after.isoformat())
 
 
 @query(
     "upsert_identity_merge",
     B.with_tables(
         "mobile_events",
-        old=identity_between(5, 5),
-        new=identity_between(6, 6),
+        old=identity_between(1, 18),
+        new=identity_between(12, 31),
         body=f"""
             SELECT coalesce(o.source, n.source) AS source,
                    coalesce(o.external_user_id, n.external_user_id) AS external_user_id,
@@ -281,11 +292,12 @@ def identity_between(first: int, last: int) -> str:
     ),
 )
 def upsert_identity_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two batches that overlap and together cover the table."""
     events = B.tables(spark, sf_dir)["mobile_events"]
-    stored = identity.mobile(events, date(2024, 1, 5), date(2024, 1, 5)).withColumn(
+    stored = identity.mobile(events, date(2024, 1, 1), date(2024, 1, 18)).withColumn(
         "updated_at", F.lit(None).cast("timestamp_ntz")
     )
-    batch = identity.mobile(events, date(2024, 1, 6), date(2024, 1, 6))
+    batch = identity.mobile(events, date(2024, 1, 12), date(2024, 1, 31))
     return identity.merge(stored, batch, F.expr(NOW.replace("TIMESTAMP", "TIMESTAMP_NTZ")))
 
 
@@ -295,7 +307,7 @@ def presence_between(first: int, last: int) -> str:
                'mobile' AS platform, CAST(appmetrica_device_id AS VARCHAR) AS external_user_id,
                min(event_datetime) AS first_event_time
         FROM mobile_events
-        WHERE event_datetime >= DATE '2024-01-{first:02d}' AND event_datetime < DATE '2024-01-{last + 1:02d}'
+        WHERE event_datetime >= DATE '2024-01-{first:02d}' AND event_datetime < DATE '2024-01-{last:02d}' + 1
         GROUP BY 1, appmetrica_device_id"""
 
 
@@ -303,10 +315,10 @@ def presence_between(first: int, last: int) -> str:
     "upsert_presence_merge",
     B.with_tables(
         "mobile_events",
-        old_ids=identity_between(5, 7),
-        new_ids=identity_between(8, 12),
-        old=presence_between(5, 10),
-        new=presence_between(9, 12),
+        old_ids=identity_between(1, 7),
+        new_ids=identity_between(8, 31),
+        old=presence_between(1, 18),
+        new=presence_between(12, 31),
         body=f"""
             SELECT {day('coalesce(o.activity_date, n.activity_date)', 'activity_date')},
                    'appmetrica' AS source, 'lk' AS product, 'mobile' AS platform,
@@ -323,12 +335,12 @@ def presence_between(first: int, last: int) -> str:
 )
 def upsert_presence_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = B.tables(spark, sf_dir)["mobile_events"]
-    old_ids = identity.mobile(events, date(2024, 1, 5), date(2024, 1, 7))
-    new_ids = identity.mobile(events, date(2024, 1, 8), date(2024, 1, 12))
-    stored = presence.build(events, old_ids, presence.mobile_all(), date(2024, 1, 5), date(2024, 1, 10)).withColumn(
+    old_ids = identity.mobile(events, date(2024, 1, 1), date(2024, 1, 7))
+    new_ids = identity.mobile(events, date(2024, 1, 8), date(2024, 1, 31))
+    stored = presence.build(events, old_ids, presence.mobile_all(), date(2024, 1, 1), date(2024, 1, 18)).withColumn(
         "updated_at", F.lit(None).cast("timestamp_ntz")
     )
-    batch = presence.build(events, new_ids, presence.mobile_all(), date(2024, 1, 9), date(2024, 1, 12))
+    batch = presence.build(events, new_ids, presence.mobile_all(), date(2024, 1, 12), date(2024, 1, 31))
     return presence.merge(stored, batch, F.expr(NOW.replace("TIMESTAMP", "TIMESTAMP_NTZ")))
 
 
@@ -347,7 +359,23 @@ def upsert_replace(spark: SparkSession, sf_dir: str) -> DataFrame:
     fresh = monthly.agg(F.count_distinct("o_custkey").alias("count")).filter(
         F.col("month") >= F.lit(date(1999, 7, 1))
     )
-    return upsert.replace(stored, fresh, ["month"])
+    table = StateTable(spark, staging.new_folder(spark, "figure"), "month date, count bigint", ["month"])
+    table.append(stored.select(F.col("month").cast("date").alias("month"), "count"))
+    table.replace_partitions(fresh.select(F.col("month").cast("date").alias("month"), "count"))
+    return table.read()
+
+
+@query(
+    "report_replace",
+    """
+    SELECT o_orderstatus AS status, count(*) AS orders FROM orders GROUP BY o_orderstatus""",
+)
+def report_replace(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A report table written as a whole, then replaced as a whole."""
+    orders, path = B.table(spark, sf_dir, "orders"), staging.new_folder(spark, "report")
+    replace_table(orders.groupBy(F.col("o_orderpriority").alias("status")).agg(F.count(F.lit(1)).alias("orders")), path)
+    replace_table(orders.groupBy(F.col("o_orderstatus").alias("status")).agg(F.count(F.lit(1)).alias("orders")), path)
+    return spark.read.schema("status string, orders bigint").parquet(path)
 
 
 @query(
@@ -386,14 +414,15 @@ def incremental_slice(spark: SparkSession, sf_dir: str) -> DataFrame:
     return events.filter(periods.within_days("ts", *days) if days else F.lit(False))
 
 
-def raw_mobile(spark: SparkSession, sf_dir: str) -> DataFrame:
+def raw_mobile(spark: SparkSession, sf_dir: str, also: Sequence[str] = ()) -> DataFrame:
     """The events as a mobile export would write them: text columns, ids above 2^63, some bad values."""
     number_ = F.col("event_id")
     known = {
         "profile_id": F.when(number_ % 3 == 0, F.col("user_id").cast("string")),
         "application_id": F.lit("4777504"),
         "event_name": F.col("event_type"),
-        "event_json": F.col("props"),
+        # A line break inside a text.
+        "event_json": F.replace("props", F.lit("{"), F.lit("{\n")),
         "event_datetime": F.date_format("ts", "yyyy-MM-dd HH:mm:ss"),
         "appmetrica_device_id": F.concat(F.lit("18000000000000"), F.lpad(F.col("user_id").cast("string"), 6, "0")),
         "session_id": F.when(number_ % 7 != 0, number_.cast("string")).otherwise("none"),
@@ -402,7 +431,7 @@ def raw_mobile(spark: SparkSession, sf_dir: str) -> DataFrame:
         ).otherwise(F.concat(F.lit("ABCDEF01-0000-4000-8000-"), F.lpad(number_.cast("string"), 12, "0"))),
     }
     columns = [known.get(c, F.lit(None).cast("string")).alias(c) for c in specs.MOBILE_COLUMNS]
-    return B.table(spark, sf_dir, "events").select(*columns)
+    return B.table(spark, sf_dir, "events").select(*columns, *also)
 
 
 def raw_web(spark: SparkSession, sf_dir: str, spec: specs.ExportSpec) -> DataFrame:
@@ -412,7 +441,7 @@ def raw_web(spark: SparkSession, sf_dir: str, spec: specs.ExportSpec) -> DataFra
         "dateTime": F.date_format("ts", "yyyy-MM-dd HH:mm:ss"),
         "URL": F.concat(F.lit(B.GOAL_PREFIX), F.col("event_type")),
         "isPageView": F.when(F.col("event_type") == "view", "1").otherwise("0"),
-        "params": F.col("props"),
+        "params": F.replace("props", F.lit("{"), F.lit("{\n")),
     }
     columns = [
         known.get(c.removeprefix(spec.prefix), F.lit(None).cast("string")).alias(c) for c in spec.header

@@ -85,7 +85,43 @@ query("revenue_month", revenue_sql("round(reduced, 2)"))(monthly_revenue("exact"
 query("revenue_rounding_ceil", revenue_sql("ceil(reduced)"))(monthly_revenue("1"))
 query("revenue_rounding_trunc", revenue_sql("trunc(reduced)"))(monthly_revenue("2"))
 query("revenue_rounding_int", revenue_sql("round(reduced, 0)"))(monthly_revenue("3"))
-query("revenue_rounding_cents", revenue_sql("round(reduced, 2)"))(monthly_revenue("0"))
+
+
+# Percents of eight decimals, and two setting rows that both round to cents, so every month counts twice.
+LONG_PERCENTS = """
+    SELECT <line> AS presc_service, 'd' || (l_partkey % 12) AS discount,
+           CAST(CAST(l_discount * 100 AS DECIMAL(9,2)) AS DECIMAL(18,8)) + CAST(0.33333333 AS DECIMAL(18,8)) AS percent,
+           CASE WHEN l_tax <> 0 THEN CAST(l_tax * 10 AS DECIMAL(18,4)) END AS fix_sum
+    FROM lineitem WHERE l_returnflag <> 'A'"""
+TWO_SETTINGS = """
+    SELECT CASE WHEN r_regionkey < 2 THEN 'DiscountAmountRounding' ELSE r_name END AS param,
+           CASE r_regionkey WHEN 0 THEN '0' ELSE 'exact' END AS valuepar
+    FROM region"""
+
+
+@query(
+    "revenue_rounding_cents",
+    B.with_tables(
+        *[n for n in REVENUE_TABLES if n != "discount_presc"],
+        discount_presc=B.in_duckdb(LONG_PERCENTS),
+        settings=TWO_SETTINGS,
+        lines=LINES,
+        in_plan=IN_PLAN,
+        off=OFF.replace("DECIMAL(9,4)", "DECIMAL(14,8)"),
+        cost=COST,
+        spine=months_sql("1995-01-01", "2002-01-01"),
+        per_month="""
+            SELECT month, sum(CASE WHEN pct IS NULL THEN base_price
+                                   ELSE CAST(round(reduced, 2) AS DECIMAL(18,4)) END) AS total
+            FROM cost, settings WHERE param = 'DiscountAmountRounding' GROUP BY month""",
+        body=f"""
+            SELECT {day('spine.month', 'month')}, {number('coalesce(total, 0)', 'revenue')}
+            FROM spine LEFT JOIN per_month USING (month)""",
+    ),
+)
+def revenue_rounding_cents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    t = B.Tables(spark, sf_dir, discount_presc=LONG_PERCENTS, systemsettings=TWO_SETTINGS)
+    return revenue.monthly(t, REVENUE_MONTHS, REVENUE_PARAMS)
 
 
 # --- appointments ---------------------------------------------------------------------------------
@@ -180,7 +216,7 @@ def online_ratio(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = appointments.online(t, VISIT_MONTHS, VISIT_PARAMS)
     loaded = upsert.first_per_key(found, ["appointment_id"], ["create_dt"])
     channels = appointments.by_channel(
-        loaded, appointments.latest_source(t["appointment_record"], date(1995, 6, 1))
+        appointments.with_channel(loaded, appointments.latest_source(t["appointment_record"], date(1995, 6, 1)))
     )
     calls = appointments.call_center(t, VISIT_MONTHS, VISIT_PARAMS)
     return appointments.online_ratio(channels.unionByName(calls))
@@ -506,18 +542,26 @@ def catalog_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     ),
 )
 def maintain_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Tables scattered over many small files, then merged: nothing is lost and there are fewer files."""
-    parts = []
-    for name in UPKEEP_TABLES:
-        scattered, merged = (staging.new_folder(spark, f"{kind}-{name}") for kind in ("scattered", "merged"))
-        B.table(spark, sf_dir, name).repartition(32).write.parquet(scattered)
-        stored = upkeep.compact(spark, scattered, merged)
-        files = stored.select(F.col("_metadata.file_name").alias("file"))
-        parts.append(
-            files.groupBy(F.lit(name).alias("table"), "file").agg(F.count(F.lit(1)).alias("n")).groupBy("table").agg(
-                F.sum("n").alias("rows"), (F.count(F.lit(1)) < 32).alias("fewer_files")
+    """Tables scattered over many small files, swept: the catalog then points to fewer files and lost no row."""
+    schema, parts = f"upkeep_{uuid.uuid4().hex}", []
+    spark.sql(f"CREATE DATABASE {schema}")
+    try:
+        for name in UPKEEP_TABLES:
+            scattered = staging.new_folder(spark, f"scattered-{name}")
+            B.table(spark, sf_dir, name).repartition(32).write.parquet(scattered)
+            spark.catalog.createTable(f"{schema}.{name}", scattered, "parquet")
+        others = [d.name for d in spark.catalog.listDatabases() if d.name != schema]
+        for name in upkeep.sweep(spark, exclude=others, merge_into=staging.new_folder(spark, "merged")):
+            place = spark.sql(f"DESCRIBE TABLE EXTENDED {name}").filter("col_name = 'Location'").first()["data_type"]
+            files = spark.read.parquet(place).select(F.col("_metadata.file_name").alias("file"))
+            table = F.lit(name.removeprefix(f"{schema}.")).alias("table")
+            parts.append(
+                files.groupBy(table, "file").agg(F.count(F.lit(1)).alias("n")).groupBy("table").agg(
+                    F.sum("n").alias("rows"), (F.count(F.lit(1)) < 32).alias("fewer_files")
+                )
             )
-        )
+    finally:
+        spark.sql(f"DROP DATABASE {schema} CASCADE")
     result = parts[0]
     for part in parts[1:]:
         result = result.unionByName(part)

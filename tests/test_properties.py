@@ -172,9 +172,11 @@ def test_state_table_replaces_only_touched_partitions(spark, tmp_path):
     assert rows(table.read()) == ["('a', 1)", "('b', 20)"]
 
 
-def test_replace(spark):
-    old = spark.createDataFrame([("a", 1), ("b", 2)], "k string, v int")
-    assert rows(upsert.replace(old, spark.createDataFrame([("b", 9), ("c", 3)], "k string, v int"), ["k"])) == [
+def test_replace(spark, tmp_path):
+    table = StateTable(spark, str(tmp_path / "t"), "v int, k string", ["k"])
+    table.append(spark.createDataFrame([("a", 1), ("b", 2)], "k string, v int"))
+    table.replace_partitions(spark.createDataFrame([("b", 9), ("c", 3)], "k string, v int"))
+    assert rows(table.read().select("k", "v")) == [
         "('a', 1)", "('b', 9)", "('c', 3)",
     ]
 
