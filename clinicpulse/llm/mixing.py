@@ -25,13 +25,13 @@ class Settings:
     """``evidence``: a text's words count like this many independent ones at most, which keeps posteriors soft.
 
     ``total`` is the wanted number of tokens as a share of what is there. Steps end once the largest difference from
-    a target is under ``close`` of the total, or after ``steps``.
+    a target is under ``close`` of the total, or after ``steps`` of them.
     """
 
     slots: int = 1 << 14
     evidence: float = 2.0
     total: float = 1.0
-    close: float = 1e-6
+    close: float = 1e-5
     steps: int = 60
 
 
@@ -84,51 +84,73 @@ def train(labelled: DataFrame, text: str, domain: str, domains: tuple[str, ...],
     return Classifier(domains, prior, (likely - likely.mean(axis=0)).astype(np.float64), settings.evidence)
 
 
-def rates(posteriors: np.ndarray, steps: list[np.ndarray]) -> np.ndarray:
-    """The rates of documents after these steps, from 1 on; never negative."""
-    rate = np.ones(len(posteriors))
+@dataclass(frozen=True)
+class Step:
+    """A step of the projected gradient: how far to lean on the last change first, then what to take off by domain."""
+
+    lean: float
+    off: np.ndarray
+
+
+def rates(posteriors: np.ndarray, steps: list[Step], lean: float = 0.0) -> tuple[np.ndarray, np.ndarray]:
+    """The rates of documents after these steps, from 1 on and never negative; and the point the next step leaves from
+    if it leans by ``lean``."""
+    rate = before = np.ones(len(posteriors))
     for step in steps:
-        rate = np.maximum(0.0, rate - posteriors @ step)
-    return rate
+        leaving = rate + step.lean * (rate - before)
+        before, rate = rate, np.maximum(0.0, leaving - posteriors @ step.off)
+    return rate, rate + lean * (rate - before)
 
 
-def _sums(members: DataFrame, steps: list[np.ndarray], k: int) -> tuple[np.ndarray, np.ndarray, float]:
-    """Expected tokens by domain at the current rates; the domains' cross products; all tokens."""
+def _sums(members: DataFrame, steps: list[Step], lean: float, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, float]:
+    """Expected tokens by domain at the rates and where the next step leaves from; the domains' cross products; all
+    tokens."""
 
     def part(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sums, cross, total = np.zeros(k), np.zeros((k, k)), 0.0
+        sums, leaving, cross, total = np.zeros(k), np.zeros(k), np.zeros((k, k)), 0.0
         for batch in batches:
             n = batch.column(0).to_numpy(zero_copy_only=False).astype(float)
             p = batch.column(1).flatten().to_numpy(zero_copy_only=False).reshape(-1, k)
             weighted = p * n[:, None]
-            sums += (weighted * rates(p, steps)[:, None]).sum(axis=0)
+            at, ahead = rates(p, steps, lean)
+            sums += weighted.T @ at
+            leaving += weighted.T @ ahead
             cross += p.T @ weighted
             total += n.sum()
-        place = np.arange(k * k + k + 1)
-        values = np.r_[sums, cross.ravel(), total]
+        values = np.r_[sums, leaving, cross.ravel(), total]
+        place = np.arange(len(values))
         yield pa.RecordBatch.from_arrays([pa.array(place, pa.int32()), pa.array(values)], ["place", "value"])
 
     added = members.select("tokens", "posterior").mapInArrow(part, "place int, value double")
-    found = np.zeros(k * k + k + 1)
+    found = np.zeros(k * k + 2 * k + 1)
     for row in added.groupBy("place").agg(F.sum("value").alias("value")).collect():
         found[row["place"]] = row["value"]
-    return found[:k], found[k:-1].reshape(k, k), found[-1]
+    return found[:k], found[k : 2 * k], found[2 * k : -1].reshape(k, k), found[-1]
 
 
-def fit(members: DataFrame, weights: np.ndarray, settings: Settings) -> list[np.ndarray]:
-    """Steps of the projected gradient on (tokens, posterior) rows towards ``weights`` of the wanted tokens.
+def fit(members: DataFrame, weights: np.ndarray, settings: Settings) -> list[Step]:
+    """Steps of an accelerated projected gradient on (tokens, posterior) rows towards ``weights`` of the wanted tokens.
 
     The gradient is taken in the metric of the documents' tokens and the domains' cross products, in which its
-    steepness is 1: a step of that size neither stalls on a rare domain nor overshoots.
+    steepness is 1: a step of that size neither stalls on a rare domain nor overshoots. Momentum starts anew whenever
+    the squares grow.
     """
     k, steps = len(weights), []
+    momentum, lean, last = 1.0, 0.0, np.inf
     while True:
-        sums, cross, total = _sums(members, steps, k)
-        missing = sums - weights * settings.total * total
+        sums, leaving, cross, total = _sums(members, steps, lean, k)
+        wanted = weights * settings.total * total
+        missing = sums - wanted
         if total == 0 or np.abs(missing).max() <= settings.close * total or len(steps) >= settings.steps:
             return steps
-        ridge = cross + 1e-9 * total * np.eye(k)
-        steps.append(np.linalg.solve(ridge, missing))
+        metric = cross + 1e-9 * total * np.eye(k)
+        squares = float(missing @ np.linalg.solve(metric, missing))
+        if squares > last:
+            momentum, lean, leaving = 1.0, 0.0, sums
+        last = squares
+        steps.append(Step(lean, np.linalg.solve(metric, leaving - wanted)))
+        grown = (1 + (1 + 4 * momentum**2) ** 0.5) / 2
+        momentum, lean = grown, (momentum - 1) / grown
 
 
 def mix(
@@ -175,6 +197,6 @@ def mix(
 
     @F.arrow_udf("double")
     def rated(p: pa.Array) -> pa.Array:
-        return pa.array(rates(p.flatten().to_numpy(zero_copy_only=False).reshape(-1, len(domains)), steps))
+        return pa.array(rates(p.flatten().to_numpy(zero_copy_only=False).reshape(-1, len(domains)), steps)[0])
 
     return found.withColumn(rate, rated(quoted(posterior))), tokens, posterior, rate
