@@ -26,12 +26,14 @@ _BLOCK = 512
 
 @dataclass(frozen=True)
 class Settings:
-    """``sample`` bounds the numbers the codebooks are fitted on (rows times length), ``per_cell`` sets the grid's
-    size: about that many vectors to a cell, with at most ``codewords`` per half."""
+    """``sample`` bounds the numbers the codebooks are fitted on (rows times length), ``pairs`` the vectors of it whose
+    links are looked at; ``per_cell`` sets the grid's size: about that many vectors to a cell, with at most
+    ``codewords`` per half."""
 
     threshold: float = 0.93
     recall: float = 0.999
     sample: int = 2_000_000
+    pairs: int = 4_000
     per_cell: int = 512
     codewords: int = 256
     rounds: int = 10
@@ -109,7 +111,20 @@ def learn(sample: np.ndarray, rows: int, settings: Settings) -> Grid:
     aside /= np.maximum(np.linalg.norm(aside, axis=1), 1e-12)[:, None]
     partners = settings.threshold * sample + (1 - settings.threshold**2) ** 0.5 * aside
     reach = float(np.quantile(grid.excess(sample, grid.cells(partners)), settings.recall))
-    return Grid(halves[0], halves[1], reach)
+    return Grid(halves[0], halves[1], max(reach, _farthest_link(grid, distinct[: settings.pairs], settings.threshold)))
+
+
+def _farthest_link(grid: Grid, vectors: np.ndarray, threshold: float) -> float:
+    """The largest excess over all links among some vectors; groups of copies lie otherwise than planted partners."""
+    a, b = grid._distances(vectors)
+    own, (row, column) = a.min(1) + b.min(1), np.divmod(grid.cells(vectors), len(grid.second))
+    farthest = 0.0
+    for at in range(0, len(vectors), 256):
+        part = slice(at, at + 256)
+        excess = a[part][:, row] + b[part][:, column] - own[part, None]
+        linked = vectors[part] @ vectors.T >= threshold
+        farthest = max(farthest, float(excess[linked].max(initial=0.0)))
+    return farthest
 
 
 def _matrix(vectors: pa.Array) -> np.ndarray:
