@@ -30,3 +30,11 @@ def fresh(df: DataFrame, name: str) -> str:
 
 def quoted(name: str) -> Column:
     return F.col(f"`{name}`")
+
+
+def by_id(docs: DataFrame, ids: DataFrame, on: str | list[str], how: str) -> DataFrame:
+    """A semi or anti join of documents with a list of ids that grows with them.
+
+    Both sides are dealt by id at every size, and a task holds the ids of its part only; texts are not sorted.
+    """
+    return docs.join(ids.hint("shuffle_hash"), on, how)

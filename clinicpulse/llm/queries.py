@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from clinicpulse.llm import chat, lines, minhash, mixing, multiindex, pii, quality, tiling, tokens, warc
-from clinicpulse.llm.frames import table
+from clinicpulse.llm.frames import by_id, table
 from clinicpulse.operators.staging import stage
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -104,7 +104,8 @@ def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     marked = table(spark, sf_dir, "labels").select("doc_id").distinct()
-    labelled = docs.join(marked, "doc_id", "left_semi").select("text", F.col("lang").alias("domain"))
+    labelled = by_id(docs.select("doc_id", "text", "lang"), marked, "doc_id", "left_semi")
+    labelled = labelled.select("text", F.col("lang").alias("domain"))
     mixed, tokens, posterior, rate = mixing.mix(docs.select("doc_id", "text"), labelled, MIX)
     return mixed.select(
         "doc_id", F.col(tokens).alias("tokens"), F.col(posterior).alias("posterior"), F.col(rate).alias("rate")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from clinicpulse.llm import lines, minhash, mixing, quality, tiling
-from clinicpulse.llm.frames import quoted, table
+from clinicpulse.llm.frames import by_id, quoted, table
 from clinicpulse.operators.staging import stage
 
 MIN_SCORE = 0.3
@@ -30,20 +30,21 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     """One document of each group of near duplicates; rows without an id stay."""
     found = minhash.near_duplicates(docs)
     gone = found.filter(~F.col("kept")).select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+    return by_id(docs, gone, "doc_id", "left_anti").select(*docs.columns)
 
 
 def drop_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that do not hold a benchmark item."""
     gone = tiling.coverage(docs, table(spark, sf_dir, "benchmark")).filter("contaminated").select("row_a", "row_b")
     keys = tiling.row_key("doc_id", "text")
-    return docs.select("*", *keys).join(gone, ["row_a", "row_b"], "left_anti").select(*docs.columns)
+    return by_id(docs.select("*", *keys), gone, ["row_a", "row_b"], "left_anti").select(*docs.columns)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every document with its tokens, its posterior over the target domains and the rate that meets ``TARGETS``."""
     marked = table(spark, sf_dir, "labels").select("doc_id").distinct()
-    labelled = docs.join(marked, "doc_id", "left_semi").select("text", F.col("lang").alias("domain"))
+    labelled = by_id(docs.select("doc_id", "text", "lang"), marked, "doc_id", "left_semi")
+    labelled = labelled.select("text", F.col("lang").alias("domain"))
     mixed, tokens, posterior, rate = mixing.mix(docs, labelled, TARGETS)
     return mixed.select(
         "doc_id", "lang", "source", F.col(tokens).alias("tokens"), F.col(posterior).alias("posterior"), F.col(rate).alias("rate")
