@@ -51,7 +51,7 @@ def test_expected_tokens_meet_the_targets(spark):
 def test_agrees_with_a_plain_projected_gradient(spark):
     """The same least squares, by many plain steps over all documents at once; here no rates meet the targets."""
     docs, labelled = corpus(2)
-    rows = mixed(spark, docs, labelled, {"a": 0.001, "b": 0.001, "c": 0.998}, steps=300)
+    rows = mixed(spark, docs, labelled, {"a": 0.001, "b": 0.001, "c": 0.998}, steps=100)
     n, p, got = (np.array([x[i] for x in rows], dtype=float) for i in (1, 2, 3))
     wanted = np.array([0.001, 0.001, 0.998]) * n.sum()
     inverse = np.linalg.inv((p * n[:, None]).T @ p)
