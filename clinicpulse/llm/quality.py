@@ -22,14 +22,17 @@ _SLOTS = np.random.Generator(np.random.PCG64(21)).integers(1, 1 << 63, 8, dtype=
 
 @dataclass(frozen=True)
 class Settings:
-    """``rows`` bounds the labelled rows that are learnt from, ``features`` the distinct features kept of each."""
+    """``rows`` bounds the labelled rows that are learnt from, ``features`` the distinct features kept of each.
+
+    ``steps`` counts single documents: few labelled rows are gone over again until it is reached.
+    """
 
     bits: int = 17
     dim: int = 8
     rows: int = 4000
     features: int = 2048
-    epochs: int = 5
-    rate: float = 0.3
+    steps: int = 12_000
+    rate: float = 1.0
     seed: int = 5
 
 
@@ -75,7 +78,7 @@ class Model:
 
 
 def descend(rows: list[tuple[np.ndarray, np.ndarray, int]], settings: Settings) -> Model:
-    """Stochastic gradient descent over (slots, counts, label) rows, in one fixed order per epoch."""
+    """Stochastic gradient descent over (slots, counts, label) rows, in a new but repeatable order each time round."""
     share = np.mean([y for _, _, y in rows]) if rows else 0.5
     share = float(np.clip(share, 1e-3, 1 - 1e-3))
     prior = np.array([np.log(1 - share), np.log(share)])
@@ -85,11 +88,11 @@ def descend(rows: list[tuple[np.ndarray, np.ndarray, int]], settings: Settings)
     table = rng.uniform(-1, 1, (1 << settings.bits, settings.dim)) / settings.dim
     out = np.zeros((settings.dim, 2))
     bias = prior.copy()
-    steps, done = settings.epochs * len(rows), 0
-    for _ in range(settings.epochs):
-        for at in rng.permutation(len(rows)):
+    done = 0
+    while done < settings.steps:
+        for at in rng.permutation(len(rows))[: settings.steps - done]:
             slots, counts, label = rows[at]
-            rate = settings.rate * (1 - done / steps)
+            rate = settings.rate * (1 - done / settings.steps)
             done += 1
             if not len(slots):
                 continue

@@ -63,7 +63,7 @@ def test_no_labels_and_one_label(spark):
 
 def test_bounds_hold_and_training_repeats(spark):
     docs, labels = small()
-    a, b = (trained(spark, docs, labels, rows=60, features=20, epochs=3) for _ in range(2))
+    a, b = (trained(spark, docs, labels, rows=60, features=20, steps=180) for _ in range(2))
     assert (a.weights == b.weights).all() and a.bias == b.bias
     assert a.score(b"stone cloud") > a.score(b"BUY!! $$$")
 
