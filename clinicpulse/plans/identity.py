@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from datetime import date
 
 from pyspark.sql import Column, DataFrame, functions as F
@@ -44,7 +45,9 @@ def mobile(events: DataFrame, start: date, end: date, source: str = P.SOURCE_MOB
     return _summarise(hits, source, F.col("event_datetime"), F.col("event_datetime"))
 
 
-def _web(events: DataFrame, params: DataFrame, on: list[str], how: str, source: str, path: str) -> DataFrame:
+def _web(
+    events: DataFrame, params: DataFrame, on: list[str], how: str, source: str, path: str, hot: Sequence[int] | None
+) -> DataFrame:
     """Only the highest user id and the time bounds are kept, so params fold to one row per key first and
     copies of a hit fold to its time bounds; the join then never multiplies rows."""
     bounds = [F.min("first").alias("first"), F.max("last").alias("last")]
@@ -62,27 +65,33 @@ def _web(events: DataFrame, params: DataFrame, on: list[str], how: str, source:
         users = users.filter("internal IS NOT NULL")
     users = users.groupBy(*on).agg(F.max("internal").alias("internal"))
     joined = join_to_unique(
-        hits, users, on, how, spread_by=["external"], collapse=lambda h: h.groupBy(*keys).agg(*bounds)
+        hits, users, on, how, spread_by=["external"], collapse=lambda h: h.groupBy(*keys).agg(*bounds), hot=hot
     )
     return _summarise(joined, source, F.col("first"), F.col("last"))
 
 
 def booking(
     events: DataFrame, params: DataFrame, start: date, end: date,
-    source: str = P.SOURCE_BOOKING, path: str = USER_ID_PATH,
+    source: str = P.SOURCE_BOOKING, path: str = USER_ID_PATH, hot: Sequence[int] | None = None,
 ) -> DataFrame:
-    """Per browser; only hits that have a params row of the same hit and time."""
+    """Per browser; only hits that have a params row of the same hit and time.
+
+    Looks hot hits up at once, with a job of its own, unless ``hot`` gives them.
+    """
     days = periods.within_days("date_time", start, end)
-    return _web(events.filter(days), params.filter(days), ["watch_id", "date_time"], "inner", source, path)
+    return _web(events.filter(days), params.filter(days), ["watch_id", "date_time"], "inner", source, path, hot)
 
 
 def account(
     events: DataFrame, params: DataFrame, start: date, end: date,
-    source: str = P.SOURCE_ACCOUNT, path: str = USER_ID_PATH,
+    source: str = P.SOURCE_ACCOUNT, path: str = USER_ID_PATH, hot: Sequence[int] | None = None,
 ) -> DataFrame:
-    """Per browser; hits without params count too, and params match by hit whatever their time."""
+    """Per browser; hits without params count too, and params match by hit whatever their time.
+
+    Looks hot hits up at once, with a job of its own, unless ``hot`` gives them.
+    """
     days = periods.within_days("date_time", start, end)
-    return _web(events.filter(days), params, ["watch_id"], "left", source, path)
+    return _web(events.filter(days), params, ["watch_id"], "left", source, path, hot)
 
 
 def merge(stored: DataFrame, batch: DataFrame, now: Column | None = None) -> DataFrame:

@@ -363,16 +363,19 @@ def details_sql(side: str) -> str:
     )
 
 
+# The words that tell the class of a post, in the order they are tried.
+CLASS_WORDS = [
+    ("Онлайн-запись", ["медицинский регистратор", "самозапись"]), ("врач", ["врач"]),
+    ("оператор", ["оператор"]), ("администратор", ["администратор"]), ("медсестра/брат", ["сестра", "брат"]),
+    ("менеджер", ["менеджер"]), ("лаборант", ["лаборант"]), ("акушер", ["акушер"]),
+]
+
+
 def class_sql(names: str) -> str:
     text = f"lower(list_aggregate({names}, 'string_agg', '|'))"
-    words = [
-        ("Онлайн-запись", ["медицинский регистратор", "самозапись"]), ("врач", ["врач"]),
-        ("оператор", ["оператор"]), ("администратор", ["администратор"]), ("медсестра/брат", ["сестра", "брат"]),
-        ("менеджер", ["менеджер"]), ("лаборант", ["лаборант"]), ("акушер", ["акушер"]),
-    ]
     cases = " ".join(
         f"WHEN {' OR '.join(f'contains({text}, {chr(39)}{w}{chr(39)})' for w in ws)} THEN '{label}'"
-        for label, ws in words
+        for label, ws in CLASS_WORDS
     )
     return f"CASE {cases} ELSE 'остальные' END"
 
