@@ -82,6 +82,12 @@ class LineRuns:
         runs = [name for level in self.levels for name in level]
         return self._merge(runs) if runs else None
 
+    def drop(self) -> None:
+        """Take the runs out of the catalog; their files go with the shared folder."""
+        for name in [name for level in self.levels for name in level]:
+            self.spark.sql(f"DROP TABLE {name}")
+        self.levels = []
+
 
 def without_frequent_lines(
     docs: DataFrame,
@@ -117,6 +123,7 @@ def without_frequent_lines(
         once = hashed.filter(F.col("batch") == batch).select(F.explode(F.array_distinct("hashes")).alias("hash"))
         runs.add(once.filter("hash IS NOT NULL"))
     frequent = stage(runs.totals().filter(F.col("documents") >= min_documents), "frequent")
+    runs.drop()
 
     size = hashed.agg(F.sum(F.size("hashes"))).first()[0] or 0
     # Fewer than _HOT rows, whatever the input.
