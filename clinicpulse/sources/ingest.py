@@ -41,7 +41,7 @@ def normalise(raw: DataFrame, spec: ExportSpec) -> DataFrame:
     repeats are settled here once for all of them; a row whose key cannot be read fails the load, as a primary
     key would.
     """
-    raw = strip_prefix(raw, spec)
+    raw = strip_prefix(landing.with_file(raw), spec)
     if spec.row_id is None:
         key = spec.tables[0].key
         wide = raw.select(*[required(f) if f.target in key else typed(f) for f in spec.fields])

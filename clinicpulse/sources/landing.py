@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from datetime import date
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from clinicpulse.sources.specs import ExportSpec
@@ -18,10 +19,12 @@ def raw_schema(spec: ExportSpec) -> T.StructType:
 
 
 def reader_options(spec: ExportSpec) -> dict[str, object]:
-    options: dict[str, object] = {"multiLine": spec.multiline}
-    if spec.format == "csv":
-        options |= {"header": True, "quote": '"', "escape": '"', "enforceSchema": False, "emptyValue": ""}
-    return options
+    """JSON lines spell line breaks out, so only CSV needs to be told of them."""
+    if spec.format != "csv":
+        return {}
+    return {
+        "multiLine": spec.multiline, "header": True, "quote": '"', "escape": '"', "enforceSchema": False, "emptyValue": "",
+    }
 
 
 def landed_schema(spec: ExportSpec) -> T.StructType:
@@ -29,14 +32,26 @@ def landed_schema(spec: ExportSpec) -> T.StructType:
 
 
 def with_file(files: DataFrame) -> DataFrame:
-    """Name the file each row landed in: equal rows of two files are two rows, whatever batch reads them."""
-    return files.select("*", F.col("_metadata.file_name").alias(FILE))
+    """Name the day and file each row landed in: equal rows of two files are two rows, whatever batch reads them.
+
+    A frame that names them already keeps its names, and rows that were not read from files have none. Files read
+    back after staging would give other names, so a batch is named before it is staged.
+    """
+    if FILE in files.columns:
+        return files
+    place = F.regexp_extract(F.col("_metadata.file_path"), "[^/]+/[^/]+$", 0)
+    try:
+        return files.select("*", place.alias(FILE))
+    except AnalysisException as missing:
+        if not missing.getCondition().startswith("UNRESOLVED_COLUMN"):
+            raise
+        return files
 
 
 def read(spark: SparkSession, path: str, spec: ExportSpec, start: date, end: date) -> DataFrame:
-    """Rows of the landed days ``start`` to ``end`` with their day and file; other days' folders are not opened."""
+    """Rows of the landed days ``start`` to ``end``; other days' folders are not opened."""
     reader = spark.read.format(spec.format).schema(landed_schema(spec)).options(**reader_options(spec))
-    return with_file(reader.load(path)).filter(F.col(DAY).between(F.lit(start), F.lit(end)))
+    return reader.load(path).filter(F.col(DAY).between(F.lit(start), F.lit(end))).drop(DAY)
 
 
 def write(df: DataFrame, path: str, spec: ExportSpec, day: str = DAY) -> None:

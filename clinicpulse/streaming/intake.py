@@ -57,7 +57,7 @@ def follow(
     """
     reader = spark.readStream.format(spec.format).schema(landing.landed_schema(spec))
     reader = reader.options(**landing.reader_options(spec)).option("maxFilesPerTrigger", files_per_batch)
-    files = landing.with_file(reader.load(landed))
+    files = landing.with_file(reader.load(landed)).drop(landing.DAY)
 
     def load(batch: DataFrame, _: int) -> None:
         with staging.scope(spark):
