@@ -108,7 +108,8 @@ TWO_SETTINGS = """
         lines=LINES,
         in_plan=IN_PLAN,
         off=OFF.replace("DECIMAL(9,4)", "DECIMAL(14,8)"),
-        cost=COST,
+        # Wide enough for the longer product.
+        cost=COST.replace("p.base_price * o.pct", "CAST(p.base_price AS DECIMAL(24,4)) * o.pct"),
         spine=months_sql("1995-01-01", "2002-01-01"),
         per_month="""
             SELECT month, sum(CASE WHEN pct IS NULL THEN base_price
