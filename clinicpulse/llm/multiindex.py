@@ -2,8 +2,9 @@
 
 Two codebooks, learnt apart on the halves of a bounded sample of unit vectors, span a grid of cells. A vector lies in
 the cell of its nearest pair of codewords, and visits cells in the order of its distance to them (the multi-sequence
-order) until the target recall: the reach of a visit is set on partners planted at the threshold itself, the hardest
-there are. A pair is looked for once, from the cell that comes first. Vectors meet in blocks of bounded size and every
+order) until the target recall: the reach of a visit is set on the farthest of the true links that a hashed set of
+vectors has with all rows, and on partners planted at the threshold itself; if that set has too few links, also on
+partners displaced along the differences of vectors. A pair is looked for once, from the cell that comes first. Vectors meet in blocks of bounded size and every
 link is verified in double precision. A block returns each vector's number of links and the smallest vector it hangs
 together with, so results grow with the vectors and not with the pairs. Exact copies are one vector with a weight.
 """
@@ -11,7 +12,7 @@ together with, so results grow with the vectors and not with the pairs. Exact co
 from __future__ import annotations
 
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
@@ -27,7 +28,7 @@ _BLOCK = 512
 @dataclass(frozen=True)
 class Settings:
     """``sample`` bounds the numbers the codebooks are fitted on (rows times length), ``pairs`` the vectors of it whose
-    links are looked at; ``per_cell`` sets the grid's size: about that many vectors to a cell, with at most
+    links with all rows are looked at; ``per_cell`` sets the grid's size: about that many vectors to a cell, with at most
     ``codewords`` per half."""
 
     threshold: float = 0.93
@@ -106,25 +107,69 @@ def learn(sample: np.ndarray, rows: int, settings: Settings) -> Grid:
     cut = (sample.shape[1] + 1) // 2
     halves = [_codewords(half, k, settings.rounds, rng) for half in (distinct[:, :cut], distinct[:, cut:])]
     grid = Grid(halves[0], halves[1], 0.0)
-    aside = rng.normal(size=sample.shape)
-    aside -= (aside * sample).sum(1)[:, None] * sample
+    return replace(grid, reach=_planted(grid, sample, rng.normal(size=sample.shape), settings))
+
+
+def _planted(grid: Grid, sample: np.ndarray, aside: np.ndarray, settings: Settings) -> float:
+    """The reach that meets partners planted at the threshold, each vector's displaced towards its row of ``aside``."""
+    aside = aside - (aside * sample).sum(1)[:, None] * sample
     aside /= np.maximum(np.linalg.norm(aside, axis=1), 1e-12)[:, None]
     partners = settings.threshold * sample + (1 - settings.threshold**2) ** 0.5 * aside
-    reach = float(np.quantile(grid.excess(sample, grid.cells(partners)), settings.recall))
-    return Grid(halves[0], halves[1], max(reach, _farthest_link(grid, distinct[: settings.pairs], settings.threshold)))
+    return float(np.quantile(grid.excess(sample, grid.cells(partners)), settings.recall))
+
 
+def _farthest_links(chosen: DataFrame, grid: Grid, asking: pa.Table, settings: Settings) -> tuple[int, float]:
+    """How many of the asking vectors have links among all rows of their label, and the farthest excess of one.
 
-def _farthest_link(grid: Grid, vectors: np.ndarray, threshold: float) -> float:
-    """The largest excess over all links among some vectors; groups of copies lie otherwise than planted partners."""
-    a, b = grid._distances(vectors)
-    own, (row, column) = a.min(1) + b.min(1), np.divmod(grid.cells(vectors), len(grid.second))
-    farthest = 0.0
-    for at in range(0, len(vectors), 256):
-        part = slice(at, at + 256)
-        excess = a[part][:, row] + b[part][:, column] - own[part, None]
-        linked = vectors[part] @ vectors.T >= threshold
-        farthest = max(farthest, float(excess[linked].max(initial=0.0)))
-    return farthest
+    A pair is looked for from the lower cell, so its excess is taken from there. A task sends a row for each asking
+    vector with links.
+    """
+    units, nodes = _matrix(asking["vector"].combine_chunks()), asking["node"].to_numpy()
+    labels = np.array(asking["label"].to_pylist(), dtype=object)
+    by_label = {label: np.flatnonzero(labels == label) for label in set(labels)}
+    held = chosen.sparkSession.sparkContext.broadcast((grid, units, nodes, by_label))
+
+    def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        grid, units, nodes, by_label = held.value
+        far = np.full(len(units), -1.0)
+        cells, (a, b) = grid.cells(units), grid._distances(units)
+        own, (row, column) = a.min(1) + b.min(1), np.divmod(cells, len(grid.second))
+        for batch in batches:
+            of = np.array(batch.column(1).to_pylist(), dtype=object)
+            for label in set(of) & by_label.keys():
+                q = by_label[label]
+                at = np.flatnonzero(of == label)
+                for start in range(0, len(at), 256):
+                    some = pa.array(at[start : start + 256])
+                    x, names = _matrix(batch.column(2).take(some)), batch.column(0).take(some).to_numpy()
+                    i, j = np.nonzero((x @ units[q].T >= settings.threshold) & (names[:, None] != nodes[q][None, :]))
+                    j, (c, d), its = q[j], grid._distances(x), grid.cells(x)
+                    up, over = np.divmod(its, len(grid.second))
+                    forth = c[i, row[j]] + d[i, column[j]] - (c.min(1) + d.min(1))[i]
+                    back = a[j, up[i]] + b[j, over[i]] - own[j]
+                    np.maximum.at(far, j, np.maximum(np.where(its[i] <= cells[j], forth, back), 0.0))
+        hit = np.flatnonzero(far >= 0)
+        yield pa.RecordBatch.from_arrays([pa.array(hit, pa.int32()), pa.array(far[hit])], ["asking", "far"])
+
+    found = chosen.select("node", "label", "vector").mapInArrow(measure, "asking int, far double")
+    row = found.groupBy("asking").agg(F.max("far").alias("far")).agg(F.count(F.lit(1)).alias("n"), F.max("far").alias("far")).first()
+    held.unpersist()
+    return row["n"], row["far"] or 0.0
+
+
+def _reaching(chosen: DataFrame, grid: Grid, sample: pa.Table, settings: Settings) -> Grid:
+    """The grid with its reach set on true links too: all those of a hashed set of vectors.
+
+    The share of links missed can be told from these only if ``1 / (1 - recall)`` of the set have some. With fewer,
+    partners displaced towards other vectors count as well: they leave their cells straight for the next ones.
+    """
+    asking, far = _farthest_links(chosen, grid, sample.slice(0, settings.pairs), settings)
+    reach = max(grid.reach, far)
+    if asking * (1 - settings.recall) < 1 - 1e-9:
+        units = _matrix(sample["vector"].combine_chunks())
+        towards = units[np.random.default_rng(settings.seed).permutation(len(units))] - units
+        reach = max(reach, _planted(grid, units, towards, settings))
+    return replace(grid, reach=reach)
 
 
 def _matrix(vectors: pa.Array) -> np.ndarray:
@@ -232,9 +277,10 @@ def near_duplicates(
 
     count = chosen.count()
     most = max(settings.sample // max(length, 1), 1)
-    sample = chosen.orderBy(F.xxhash64("node", "label"), "node", "label").limit(most).select("vector").toArrow()
+    sample = chosen.orderBy(F.xxhash64("node", "label"), "node", "label").limit(most).select("node", "label", "vector").toArrow()
     if count:
-        grid = spark.sparkContext.broadcast(learn(_matrix(sample.column(0).combine_chunks()), count, settings))
+        grid = learn(_matrix(sample["vector"].combine_chunks()), count, settings)
+        grid = spark.sparkContext.broadcast(_reaching(chosen, grid, sample, settings))
         linked = _linked(chosen, grid, settings)
     else:
         linked = spark.createDataFrame([], "node bigint, links bigint, low bigint")

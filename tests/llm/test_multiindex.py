@@ -63,6 +63,21 @@ def test_recall_at_the_threshold_itself():
         assert (np.diff(excess) >= -1e-9).all() and (excess <= grid.reach + 1e-9).all()
 
 
+def test_links_along_strong_directions(spark):
+    """Links lie along four of 24 axes, and the vectors that sort first have none."""
+    rng = np.random.default_rng(4)
+    alone = rng.normal(size=(120, 24))
+    alone[:, 0] = -2 * np.abs(alone[:, 0]) - 2
+    flat = 0.02 * rng.normal(size=(1500, 24))
+    flat[:, [1, 2, 13, 14]] += rng.normal(size=(1500, 4))
+    flat[:, 0] = np.abs(flat[:, 0])
+    rows = [(i, x.tolist(), 0) for i, x in enumerate(np.r_[alone, flat].astype(np.float32))]
+    wanted = sum(r[1] for r in expected(rows))
+    assert wanted > 20_000
+    for recall, pairs in ((0.999, 100), (0.99, 400)):
+        assert sum(r[1] for r in found(spark, rows, per_cell=10, recall=recall, pairs=pairs)) >= recall * wanted
+
+
 def test_a_large_group_of_copies_and_near_copies(spark):
     rng = np.random.default_rng(3)
     base = rng.normal(size=16)
