@@ -146,18 +146,21 @@ def coverage(
     bounded_batches(spark)
     width, percent = settings.width, settings.percent
 
-    @F.arrow_udf("struct<words:int,seeds:array<bigint>>")
+    @F.arrow_udf("struct<words:int,seeds:array<struct<seed:bigint,places:int>>>")
     def seeded(texts: pa.Array) -> pa.Array:
         words = [word_hashes(t or b"") for t in texts.cast(pa.binary()).to_pylist()]
-        seeds = [np.unique(shingles(w, width)).astype(np.int64) if len(w) >= width else [] for w in words]
-        return pa.StructArray.from_arrays(
-            [pa.array([len(w) for w in words], pa.int32()), pa.array(seeds, pa.list_(pa.int64()))], ["words", "seeds"]
-        )
+        seeds = [np.unique(shingles(w, width), return_counts=True) if len(w) >= width else (w[:0], []) for w in words]
+        ends = np.cumsum([0, *(len(x) for x, _ in seeds)])
+        flat = np.concatenate([np.zeros(0, np.uint64), *(x for x, _ in seeds)]).astype(np.int64)
+        places = np.concatenate([np.zeros(0, np.int64), *(n for _, n in seeds)]).astype(np.int32)
+        pairs = pa.StructArray.from_arrays([pa.array(flat), pa.array(places)], ["seed", "places"])
+        listed = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pairs)
+        return pa.StructArray.from_arrays([pa.array([len(w) for w in words], pa.int32()), listed], ["words", "seeds"])
 
     items = benchmark.select(F.col(item_id).alias("item_id"), F.col(item_text).alias("item_text")).distinct()
     items = items.withColumn("item", F.xxhash64("item_id", "item_text"))
     items = stage(items.select("*", seeded("item_text").alias("s")).select("item", "item_id", "item_text", "s.*"), "items")
-    seeds = items.select("item", "words", F.explode("seeds").alias("seed"))
+    seeds = items.select("item", "words", F.inline("seeds"))
     count = seeds.count()
     bits = min(max(1 << math.ceil(math.log2(_BITS_PER_SEED * count + 1)), 1 << 16), _MAX_BITS)
     bitmap = spark.sparkContext.broadcast(_bitmap(seeds, bits))
@@ -182,13 +185,15 @@ def coverage(
     source = docs.select(*row_key(id_column, text), quoted(text).alias("text"))
     near = stage(source.withColumn("hits", hits("text")).filter("hits IS NOT NULL"), "hits")
     rows = ["row_a", "row_b"]
-    # Tiles of ``width`` words have a seed each, longer ones more: fewer seeds cannot cover enough.
+    # Tiles of ``width`` words hold a seed's place each, longer ones more, and no two the same place: seeds with fewer
+    # places in the item cannot cover enough. A seed that the item repeats counts with all its places.
     least = F.ceil(F.col("words") * percent / (100.0 * width) - F.lit(1e-9))
     pairs = (
         near.select(*rows, F.explode("hits").alias("seed"))
+        .distinct()
         .join(seeds, "seed")
         .groupBy(*rows, "item")
-        .agg(F.count_distinct("seed").alias("common"), F.first("words").alias("words"))
+        .agg(F.sum("places").alias("common"), F.first("words").alias("words"))
         .filter(F.col("common") >= least)
         .select(*rows, "item")
     )

@@ -91,6 +91,14 @@ def test_whole_reordered_and_partial_passages(spark):
     assert out[1][3] == 1.0 and out[2][3] == 1.0 and out[4][3] == 33 / 40 and out[6][2] == 9
 
 
+def test_items_that_repeat_themselves(spark):
+    item = " ".join(["the cat sat on the mat"] * 10)
+    docs = [(1, f"before {item} after"), (2, "the cat sat on the mat the cat sat"), (3, "the cat sat on a mat"), (1, f"before {item} after")]
+    out = found(spark, wide(docs), [(4, item, 0), (5, "7 " * 50, 0)])
+    assert [(r[0], r[2], r[4]) for r in out] == [(1, 4, True), (1, 4, True), (2, 4, False), (3, None, False)]
+    assert [r[3] for r in out[:3]] == [1.0, 1.0, 9 / 60]
+
+
 def test_nulls_ties_repeats_and_empty_tables(spark):
     passage = "one two three four five six seven"
     docs = [(None, passage), (1, passage), (1, passage), (2, None), (3, ""), (4, "  "), (5, "one two three four")]
