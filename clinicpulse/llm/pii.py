@@ -20,6 +20,33 @@ _BOOST = 0.35
 ACCEPT = 0.5
 
 
+# The length of an account number by its country code.
+_IBAN_CODES = {
+    15: "NO", 16: "BE", 18: "DK FI FK FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK", 21: "CH HR LI LV",
+    22: "BG BH CR DE GB GE IE ME RS VA", 23: "AE GI IL IQ OM SO TL", 24: "AD CZ ES MD PK RO SA SE SK TN VG",
+    25: "LY PT ST", 26: "IS TR", 27: "BI DJ FR GR IT MC MR SM", 28: "AL AZ BY CY DO GT HN HU LB NI PL SV",
+    29: "BR EG PS QA UA", 30: "JO KW MU YE", 31: "MT SC", 32: "LC", 33: "RU",
+}
+
+
+def _iban_pattern() -> str:
+    """Account numbers in one piece or in groups of four, as long as their country has them, so that no word after one
+    is taken in. Codes of no such country take as many groups as there are, up to where a number of known length begins.
+    """
+    end = "(?![A-Za-z0-9])"
+
+    def long(length: int) -> str:
+        groups, rest = divmod(length - 4, 4)
+        last = rf"\x20?[A-Z0-9]{{{rest}}}" if rest else ""
+        return rf"[0-9]{{2}}(?:\x20?[A-Z0-9]{{4}}){{{groups}}}{last}{end}"
+
+    known = "|".join(f"(?:{codes.replace(' ', '|')}){long(length)}" for length, codes in _IBAN_CODES.items())
+    codes = "|".join(_IBAN_CODES.values()).replace(" ", "|")
+    apart = rf"(?!\x20(?:{known}))\x20?[A-Z0-9]"
+    other = rf"(?!{codes})[A-Z]{{2}}[0-9]{{2}}(?:{apart}{{4}}){{2,7}}(?:{apart}{{1,3}})?{end}"
+    return rf"(?<![A-Za-z0-9])(?=[A-Z]{{2}}[0-9]{{2}})(?:{known}|{other})"
+
+
 def _digits(value: Column) -> Column:
     return F.regexp_replace(value, "[^0-9]", "")
 
@@ -98,7 +125,7 @@ DETECTORS = (
     Detector(
         "iban",
         _has_digit,
-        r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]{4}){2,7}(?:\x20?[A-Z0-9]{1,3})?(?![A-Za-z0-9])",
+        _iban_pattern(),
         _mod97,
         0.9,
         "iban|account|bank",

@@ -76,6 +76,14 @@ def test_added_kinds_context_and_overlap(spark):
     assert [s["score"] for s in found(spark, ["see 10.0.0.1"])[0]] == [0.6]
 
 
+def test_account_numbers_end_where_their_country_ends_them(spark):
+    es, at, be = "ES91 2100 0418 4502 0005 1332", "AT61 1904 3002 3457 3201", "BE68 5390 0754 7034"
+    texts = [f"IBAN {es} BIC CAIXESBB", f"{at} EUR 50", f"pay {be} PLEASE", f"{be} {at} AND", f"AB12 {es}.", f"{be.replace(' ', '')} 2024",
+             "PL61109010140000071219812874 A", "HU42 1177 3016 1111 1018 0000 0000 OK", "NO93 8601 1117 947 NOK", f"{be}1"]
+    got = [[s["value"] for s in f if s["kind"] == "iban"] for f in found(spark, texts)]
+    assert got == [[es], [at], [be], [be, at], [es], [be.replace(" ", "")], [texts[6][:-2]], [texts[7][:-3]], [texts[8][:-4]], []]
+
+
 def test_long_runs_take_time_in_proportion(spark):
     texts = ["a" * 300_000, "1" * 300_000, "1 " * 150_000, "1." * 10_000, "a.b-" * 75_000 + "@", "+1" + " " * 200_000, "x@" + "y." * 50_000 + "z"]
     assert [listed(f) for f in found(spark, texts)] == ["", "", "", base(texts[3]), "", "", "email:0:100003"]
