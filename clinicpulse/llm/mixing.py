@@ -1,6 +1,7 @@
 """Mixing documents to target domain weights by soft membership.
 
 A naive Bayes classifier, counted over all rows of a labelled table, gives each document a posterior over the domains.
+How much a text's words count, and how that grows with their number, is fitted to the log loss of held-out rows.
 Non-negative rates are then fitted by least squares so that the expected tokens of each domain meet their targets: a
 projected gradient whose step sums a few numbers over all documents and sends a few back. A rate depends on the
 document's posterior and the steps so far, so it is recomputed where it is needed and no state is kept between steps.
@@ -22,14 +23,14 @@ from clinicpulse.operators.staging import stage
 
 @dataclass(frozen=True)
 class Settings:
-    """``evidence``: a text's words count like this many independent ones at most, which keeps posteriors soft.
+    """``evidence``: a text's words count like this many independent ones at most; fitted on held-out rows if None.
 
     ``total`` is the wanted number of tokens as a share of what is there. Steps end once the largest difference from
     a target is under ``close`` of the total, or after ``steps`` of them.
     """
 
     slots: int = 1 << 14
-    evidence: float = 2.0
+    evidence: float | None = None
     total: float = 1.0
     close: float = 1e-5
     steps: int = 60
@@ -41,47 +42,87 @@ class Classifier:
     prior: np.ndarray
     log_odds: np.ndarray
     evidence: float
+    growth: float = 0.0
 
     def posterior(self, words: np.ndarray) -> np.ndarray:
-        """The prior for a text without words."""
+        """The prior for a text without words; n words count like ``evidence * n**growth`` independent ones, or n."""
         logits = self.prior
         if len(words):
             seen = self.log_odds[:, words % np.uint64(self.log_odds.shape[1])]
-            logits = logits + min(len(words), self.evidence) * seen.mean(axis=1)
+            logits = logits + min(len(words), self.evidence * len(words) ** self.growth) * seen.mean(axis=1)
         p = np.exp(logits - logits.max())
         return p / p.sum()
 
 
+# What is tried for ``evidence`` and ``growth``; the first is taken if no rows are held out.
+_SOFTNESS = [(2.0, 0.0)] + [(2.0**e, g / 4) for g in range(5) for e in range(-4, 7) if (e, g) != (1, 0)]
+# A text in so many is held out, copies with it.
+_ASIDE = 5
+
+
 def train(labelled: DataFrame, text: str, domain: str, domains: tuple[str, ...], settings: Settings) -> Classifier:
     """Count words by domain over every labelled row; rows of other or null domains teach nothing.
 
-    Words are hashed into ``slots``, so what reaches the driver is slots times domains. Without rows the posterior is
-    even.
+    Words are hashed into ``slots``, so what reaches the driver is twice slots times domains. The softness is fitted on
+    the rows held out, by a model of the others. Without rows the posterior is even.
     """
     bounded_batches(labelled.sparkSession)
     slots, known = settings.slots, list(domains)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen = np.zeros((len(known), slots + 1), dtype=np.int64)
+        seen = np.zeros((2, len(known), slots + 1), dtype=np.int64)
         for batch in batches:
-            for name, raw in zip(batch.column(0).to_pylist(), batch.column(1).cast(pa.binary()).to_pylist(), strict=True):
+            texts = batch.column(1).cast(pa.binary()).to_pylist()
+            for name, raw, aside in zip(batch.column(0).to_pylist(), texts, batch.column(2).to_pylist(), strict=True):
                 k = known.index(name)
-                seen[k, slots] += 1
+                seen[int(aside), k, slots] += 1
                 words = word_hashes(raw or b"") % np.uint64(slots)
-                seen[k, :slots] += np.bincount(words.astype(np.int64), minlength=slots)
-        k, slot = np.nonzero(seen)
+                seen[int(aside), k, :slots] += np.bincount(words.astype(np.int64), minlength=slots)
+        aside, k, slot = np.nonzero(seen)
         yield pa.RecordBatch.from_arrays(
-            [pa.array(k, pa.int32()), pa.array(slot, pa.int32()), pa.array(seen[k, slot])], ["k", "slot", "n"]
+            [*(pa.array(x, pa.int32()) for x in (aside, k, slot)), pa.array(seen[aside, k, slot])], ["aside", "k", "slot", "n"]
         )
 
-    rows = labelled.filter(quoted(domain).isin(known)).select(quoted(domain).alias("d"), quoted(text).alias("t"))
-    counts = np.zeros((len(known), slots + 1))
-    for row in rows.mapInArrow(count, "k int, slot int, n bigint").groupBy("k", "slot").agg(F.sum("n").alias("n")).collect():
-        counts[row["k"], row["slot"]] = row["n"]
-    prior = np.log((counts[:, slots] + 1) / (counts[:, slots].sum() + len(known)))
-    smooth = counts[:, :slots] + 0.1
-    likely = np.log(smooth / smooth.sum(axis=1, keepdims=True))
-    return Classifier(domains, prior, (likely - likely.mean(axis=0)).astype(np.float64), settings.evidence)
+    rows = labelled.filter(quoted(domain).isin(known)).select(
+        quoted(domain).alias("d"), quoted(text).alias("t"), (F.pmod(F.xxhash64(quoted(text)), F.lit(_ASIDE)) == 0).alias("aside")
+    )
+    counts = np.zeros((2, len(known), slots + 1))
+    for row in rows.mapInArrow(count, "aside int, k int, slot int, n bigint").groupBy("aside", "k", "slot").agg(F.sum("n").alias("n")).collect():
+        counts[row["aside"], row["k"], row["slot"]] = row["n"]
+
+    def counted(n: np.ndarray, evidence: float, growth: float = 0.0) -> Classifier:
+        prior = np.log((n[:, slots] + 1) / (n[:, slots].sum() + len(known)))
+        smooth = n[:, :slots] + 0.1
+        likely = np.log(smooth / smooth.sum(axis=1, keepdims=True))
+        return Classifier(domains, prior, (likely - likely.mean(axis=0)).astype(np.float64), evidence, growth)
+
+    if settings.evidence is not None:
+        return counted(counts.sum(axis=0), settings.evidence)
+    softness = _softness(rows.filter("aside").select("d", "t"), counted(counts[0], 1.0), known)
+    return counted(counts.sum(axis=0), *softness)
+
+
+def _softness(aside: DataFrame, model: Classifier, known: list[str]) -> tuple[float, float]:
+    """The evidence and growth with the least log loss over the held-out rows; a task sends one row for each choice."""
+
+    def lose(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        loss = np.zeros(len(_SOFTNESS))
+        for batch in batches:
+            for name, raw in zip(batch.column(0).to_pylist(), batch.column(1).cast(pa.binary()).to_pylist(), strict=True):
+                words = word_hashes(raw or b"")
+                if not len(words):
+                    continue
+                seen = model.log_odds[:, words % np.uint64(model.log_odds.shape[1])].mean(axis=1)
+                much = np.array([min(len(words), e * len(words) ** g) for e, g in _SOFTNESS])
+                logits = model.prior + much[:, None] * seen
+                logits -= logits.max(axis=1, keepdims=True)
+                loss += np.log(np.exp(logits).sum(axis=1)) - logits[:, known.index(name)]
+        yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(loss)), pa.int32()), pa.array(loss)], ["choice", "loss"])
+
+    total = np.zeros(len(_SOFTNESS))
+    for row in aside.mapInArrow(lose, "choice int, loss double").groupBy("choice").agg(F.sum("loss").alias("loss")).collect():
+        total[row["choice"]] = row["loss"]
+    return _SOFTNESS[int(total.argmin())]
 
 
 @dataclass(frozen=True)

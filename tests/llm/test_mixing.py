@@ -48,6 +48,23 @@ def test_expected_tokens_meet_the_targets(spark):
         assert min(r[3] for r in rows) >= 0 and len(rows) == len(docs)
 
 
+def test_production_settings_meet_the_targets(spark):
+    """Long texts of one domain with words all domains share; short ones stay soft."""
+    rng = random.Random(7)
+    shared, docs, labelled = [f"s{i}" for i in range(40)], [], []
+    for i in range(300):
+        main = rng.choices("abc", weights=[7, 2, 1])[0]
+        docs.append((i, " ".join(rng.choices(shared * 2 + WORDS[main] * 5, k=rng.choice([3, 40, 2000]))), "x", 5))
+        labelled.append((docs[-1][1], main))
+    targets = {"a": 0.2, "b": 0.2, "c": 0.6}
+    rows = mixed(spark, docs, labelled, targets)
+    got, tokens = totals(rows)
+    assert got / tokens == pytest.approx([0.2, 0.2, 0.6], abs=1e-4)
+    own = {i: "abc".index(label) for i, (_, label) in enumerate(labelled)}
+    assert min(r[2][own[r[0]]] for r in rows if r[1] == 2000) > 0.95
+    assert any(max(r[2]) < 0.95 for r in rows if r[1] == 3)
+
+
 def test_agrees_with_a_plain_projected_gradient(spark):
     """The same least squares, by many plain steps over all documents at once; here no rates meet the targets."""
     docs, labelled = corpus(2)
