@@ -358,7 +358,8 @@ def agg_min_max(spark: SparkSession, sf_dir: str) -> DataFrame:
     ),
 )
 def agg_discounts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return revenue.discounts(B.tables(spark, sf_dir))
+    t = B.tables(spark, sf_dir)
+    return revenue.discounts(t, t["discount_presc"].select(F.col("presc_service").alias("line")).distinct())
 
 
 @query(
