@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from clinicpulse.llm import chat, lines, minhash, mixing, multiindex, pii, quality, tiling, tokens, warc
+from clinicpulse.llm import chat, infill, lines, minhash, mixing, multiindex, pii, quality, tiling, tokens, warc
 from clinicpulse.llm.frames import by_id, table
 from clinicpulse.operators.staging import stage
 
@@ -183,3 +183,46 @@ SELECT conv_id, count(*) AS n_turns,
        CAST(sum(length(formatted)) AS BIGINT) AS formatted_chars
 FROM formatted GROUP BY conv_id
 """
+
+
+@_query
+def op13_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows, added = infill.transformed(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    output, form = F.col(added["output"]), F.col(added["form"])
+    return rows.select(
+        "doc_id",
+        F.col(added["n"]).alias("n"),
+        form.alias("form"),
+        F.col(added["prefix_chars"]).alias("prefix_chars"),
+        F.col(added["middle_chars"]).alias("middle_chars"),
+        F.sha2(output, 256).alias("output_sha256"),
+        F.sha2(infill.restored(output, form), 256).alias("restored_sha256"),
+    )
+
+
+CHECKS["op13_fill_in_middle"] = r"""
+WITH unit AS (
+    SELECT doc_id, coalesce(text, '') AS text, sha256('42:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS h,
+           regexp_extract_all(coalesce(text, ''), '[\x20\x09-\x0D]*[^\x20\x09-\x0D]+|[\x20\x09-\x0D]+') AS units
+    FROM documents
+), drawn AS (
+    SELECT *, len(units) AS n, CAST('0x' || h[1:8] AS BIGINT) AS h1, CAST('0x' || h[9:16] AS BIGINT) AS h2,
+           CAST('0x' || h[17:24] AS BIGINT) AS h3, CAST('0x' || h[25:32] AS BIGINT) AS h4
+    FROM unit
+), cut AS (
+    SELECT *, least(h1 % (n + 1), h2 % (n + 1)) AS a, greatest(h1 % (n + 1), h2 % (n + 1)) AS b,
+           CASE WHEN text = '' OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>') OR h3 % 100 >= 50
+                THEN 'plain' WHEN h4 % 100 < 80 THEN 'spm' ELSE 'psm' END AS form
+    FROM drawn
+), part AS (
+    SELECT *, array_to_string(units[1:a], '') AS p, array_to_string(units[a + 1:b], '') AS m,
+           array_to_string(units[b + 1:], '') AS s
+    FROM cut
+)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN length(p) END AS prefix_chars,
+       CASE WHEN form <> 'plain' THEN length(m) END AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN text WHEN 'psm' THEN '<P>' || p || '<S>' || s || '<M>' || m
+                        ELSE '<S>' || s || '<P>' || p || '<M>' || m END) AS output_sha256,
+       sha256(p || m || s) AS restored_sha256
+FROM part
+"""
