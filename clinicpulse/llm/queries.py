@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from clinicpulse.llm import chat, infill, lines, minhash, mixing, multiindex, pii, quality, tiling, tokens, warc
+from clinicpulse.llm import chat, infill, lines, minhash, mixing, multiindex, packing, pii, quality, tiling, tokens, warc
 from clinicpulse.llm.frames import by_id, table
 from clinicpulse.operators.staging import stage
 
@@ -226,3 +226,9 @@ SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN length(p) END AS prefix_c
        sha256(p || m || s) AS restored_sha256
 FROM part
 """
+
+
+@_query
+def op12_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    placed = packing.packed(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+    return placed.withColumn("ids_crc32", F.crc32("ids")).drop("ids")
