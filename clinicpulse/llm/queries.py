@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from clinicpulse.llm import chat, infill, lines, minhash, mixing, multiindex, packing, pii, quality, tiling, tokens, warc
+from clinicpulse.llm import chat, infill, lines, minhash, mixing, multiindex, packing, pii, quality, repair, tiling, tokens, warc
 from clinicpulse.llm.frames import by_id, table
 from clinicpulse.operators.staging import stage
 
@@ -232,3 +232,31 @@ FROM part
 def op12_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     placed = packing.packed(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
     return placed.withColumn("ids_crc32", F.crc32("ids")).drop("ids")
+
+
+def damaged(conversations: DataFrame) -> DataFrame:
+    """Rows lost, emptied, cut off, repeated or given to the user, by a hash of conversation and turn."""
+    rows = conversations.select("conv_id", "turn", *[F.coalesce(c, F.lit(" ")).alias(c) for c in ("role", "text")])
+    key = F.concat_ws(":", *[F.coalesce(F.col(c).cast("string"), F.lit(" ")) for c in ("conv_id", "turn")])
+    fault = F.crc32(key.cast("binary")) % 20
+    text = F.when(fault == 1, "").when(fault == 2, F.translate("text", ".!?", "")).otherwise(F.col("text"))
+    return rows.filter(fault != 0).select(
+        "conv_id", "turn", F.when(fault == 4, "user").otherwise(F.col("role")).alias("role"), text.alias("text"),
+        F.explode(F.when(fault == 3, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))).alias("copy"),
+    ).drop("copy")
+
+
+@_query
+def op11_structure_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    conversations = table(spark, sf_dir, "conversations")
+    rows = damaged(conversations)
+    found = stage(repair.repairs(rows), "repairs")
+    written = repair.digests(repair.repaired_turns(rows, found))
+    every = repair.met(repair.met(conversations.select("conv_id").distinct(), found), written)
+    counts = ["gaps", "blank", "duplicate", "truncated", "illegal", "cost"]
+    return every.select(
+        "conv_id",
+        *[F.coalesce(c, F.lit(0)).alias(c) for c in counts],
+        F.coalesce("audit", F.lit("")).alias("audit"),
+        F.coalesce("repaired_sha256", F.sha2(F.lit(""), 256)).alias("repaired_sha256"),
+    )
