@@ -260,3 +260,101 @@ def op11_structure_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.coalesce("audit", F.lit("")).alias("audit"),
         F.coalesce("repaired_sha256", F.sha2(F.lit(""), 256)).alias("repaired_sha256"),
     )
+
+
+def _priced(entry: str, cost: str, letters: str) -> str:
+    """A least entry, written as its cost in nine digits and its audit, after one more edit."""
+    return f"lpad(CAST(CAST({entry}[1:9] AS INTEGER) + {cost} AS VARCHAR), 9, '0') || {entry}[10:] || '{letters}'"
+
+
+def _closed(entries: list[str]) -> str:
+    """Entries of the four states k0 to k3 after any insertions."""
+    s0, s1, s2, s3 = (f"({e})" for e in entries)
+    one = lambda e: _priced(e, "2", "I")
+    two = lambda e: _priced(e, "4", "II")
+    return (
+        f"{s0} AS k0, {s1} AS k1, least({s2}, {one(s0)}, {one(s1)}, {one(s3)}) AS k2, "
+        f"least({s3}, {one(s2)}, {two(s0)}, {two(s1)}) AS k3"
+    )
+
+
+def _after_row() -> list[str]:
+    """Entries of the four states once row r is deleted, kept or given a role."""
+    gone = [_priced(f"p.k{i}", "3", "D") for i in range(4)]
+    keep = lambda role, i: f"CASE WHEN NOT r.gone AND r.initial = '{role}' THEN {_priced(f'p.k{i}', 'r.cut', 'K')} END"
+    give = lambda i: f"CASE WHEN NOT r.gone THEN {_priced(f'p.k{i}', '2 + r.cut', 'R')} END"
+    to_user = ", ".join(f"{keep('u', i)}, {give(i)}" for i in (0, 1, 3))
+    return [
+        gone[0], f"least({gone[1]}, {keep('s', 0)})", f"least({gone[2]}, {to_user})", f"least({gone[3]}, {keep('a', 2)}, {give(2)})"
+    ]
+
+
+# Row by row with four states, where the operator combines spans.
+CHECKS["op11_structure_repair"] = rf"""
+WITH RECURSIVE keyed AS (
+    SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+           coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' ') AS key
+    FROM conversations
+), hashed AS (
+    SELECT *, xor(list_reduce(
+               list_prepend(4294967295, list_transform(range(1, length(key) + 1), lambda i: CAST(ord(key[i]) AS BIGINT))),
+               lambda c, b: list_reduce(list_prepend(xor(c, b), CAST(range(8) AS BIGINT[])),
+                                        lambda x, y: CASE WHEN x & 1 = 1 THEN xor(x >> 1, 3988292384) ELSE x >> 1 END)
+           ), 4294967295) % 20 AS fault
+    FROM keyed
+), damaged AS (
+    SELECT conv_id, turn, CASE fault WHEN 4 THEN 'user' ELSE role END AS role,
+           CASE fault WHEN 1 THEN '' WHEN 2 THEN translate(text, '.!?', '') ELSE text END AS text,
+           unnest(CASE fault WHEN 0 THEN [] WHEN 3 THEN [0, 1] ELSE [0] END) AS copy
+    FROM hashed
+), described AS (
+    SELECT *, rtrim(text, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS body, role[1] AS initial,
+           row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text, copy) AS place
+    FROM damaged
+), faced AS (
+    SELECT *, body = '' AS blank,
+           body <> '' AND row_number() OVER (PARTITION BY conv_id, role, text ORDER BY place) > 1 AS duplicate,
+           lag(initial) OVER (PARTITION BY conv_id ORDER BY place) AS before
+    FROM described
+), judged AS (
+    SELECT *, blank OR duplicate AS gone,
+           CAST(NOT blank AND NOT duplicate AND body[-1] NOT IN ('.', '!', '?') AS INTEGER) AS cut
+    FROM faced
+), counted AS (
+    SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps,
+           count(*) FILTER (blank) AS blank, count(*) FILTER (duplicate) AS duplicate, CAST(sum(cut) AS BIGINT) AS truncated,
+           count(*) FILTER (before IS NOT NULL AND before || initial NOT IN ('su', 'ua', 'au')) AS illegal, count(*) AS rows
+    FROM judged GROUP BY conv_id
+), parsed AS (
+    SELECT conv_id, CAST(0 AS BIGINT) AS place, rows, {_closed(["'000000000'", "CAST(NULL AS VARCHAR)", "CAST(NULL AS VARCHAR)", "CAST(NULL AS VARCHAR)"])}
+    FROM counted
+    UNION ALL
+    SELECT conv_id, place, rows, {_closed(["s0", "s1", "s2", "s3"])}
+    FROM (SELECT p.conv_id, r.place, p.rows, {", ".join(f"{e} AS s{i}" for i, e in enumerate(_after_row()))}
+          FROM parsed p JOIN judged r ON r.conv_id IS NOT DISTINCT FROM p.conv_id AND r.place = p.place + 1) step
+), settled AS (
+    SELECT conv_id, CAST(least(k0, k3)[1:9] AS BIGINT) AS cost, least(k0, k3)[10:] AS audit FROM parsed WHERE place = rows
+), letter AS (
+    SELECT conv_id, unnest(range(1, length(audit) + 1)) AS pos, audit FROM settled
+), edit AS (
+    SELECT conv_id, pos, audit[pos] AS edit, count(*) FILTER (audit[pos] <> 'I') OVER upto AS place,
+           count(*) FILTER (audit[pos] <> 'D') OVER upto AS written
+    FROM letter WINDOW upto AS (PARTITION BY conv_id ORDER BY pos)
+), met AS (
+    SELECT e.*, j.role, j.text,
+           max(CASE WHEN e.written = 1 AND e.edit = 'K' AND j.initial = 's' THEN 1 ELSE 0 END) OVER (PARTITION BY e.conv_id) AS opened
+    FROM edit e LEFT JOIN judged j ON j.conv_id IS NOT DISTINCT FROM e.conv_id AND j.place = e.place
+), repaired AS (
+    SELECT conv_id, sha256(string_agg(
+               CASE WHEN edit = 'K' THEN role WHEN (written - opened) % 2 = 1 THEN 'user' ELSE 'assistant' END || ':' ||
+               CASE WHEN edit = 'I' THEN '' ELSE text END, chr(10) ORDER BY pos)) AS repaired_sha256
+    FROM met WHERE edit <> 'D' GROUP BY conv_id
+)
+SELECT o.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate,
+       coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal, coalesce(cost, 0) AS cost,
+       coalesce(audit, '') AS audit, coalesce(repaired_sha256, sha256('')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) o
+LEFT JOIN counted c ON c.conv_id IS NOT DISTINCT FROM o.conv_id
+LEFT JOIN settled s ON s.conv_id IS NOT DISTINCT FROM o.conv_id
+LEFT JOIN repaired r ON r.conv_id IS NOT DISTINCT FROM o.conv_id
+"""
