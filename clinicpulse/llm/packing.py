@@ -177,7 +177,7 @@ def packed(docs: DataFrame, path: str, doc_id: str = "doc_id", text: str = "text
     dealt = (
         found.withColumn("window", window)
         .withColumn("part", F.pmod("window", F.lit(tasks)))
-        .repartition(tasks, "part")
+        .repartitionById(tasks, F.col("part").cast("int"))
         .sortWithinPartitions("part", "window", F.desc("length"), "doc_id", "piece", "ids")
     )
     schema = T.StructType([*found.schema.fields, *T.StructType.fromDDL("sequence_id bigint, offset bigint").fields])
