@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Collection, Mapping
 from datetime import date
 
 from pyspark.sql import DataFrame, functions as F
@@ -106,6 +106,12 @@ def by_channel(appointments: DataFrame) -> DataFrame:
     )
 
 
+def with_zeros(counted: DataFrame, months: Collection[date], source: str) -> DataFrame:
+    """Counts of one channel with a row for each of the months, 0 where it has none."""
+    spine = counted.sparkSession.createDataFrame([(m, source) for m in sorted(months)], "month date, source string")
+    return spine.join(counted, ["month", "source"], "left").withColumn("count", F.coalesce("count", F.lit(0)))
+
+
 def online_ratio(rates: DataFrame) -> DataFrame:
     """Share of online booking in online booking plus call centre, per month; 0 when there is neither."""
     online_count = F.coalesce(F.sum(F.when(F.col("source") == P.CHANNEL_ONLINE, F.col("count"))), F.lit(0))

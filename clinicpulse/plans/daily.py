@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping, Sequence
+from collections.abc import Callable, Collection, Mapping, Sequence
 from datetime import date, timedelta
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -14,7 +14,7 @@ from clinicpulse.params import AppointmentParams, ReportParams, RevenueParams
 from clinicpulse.plans import appointments, identity, mau, noshow, presence, revenue, yoy
 from clinicpulse.sources import ingest, landing, specs
 from clinicpulse.sources.specs import SPARK_TYPES, ExportSpec, Table
-from clinicpulse.sources.state import StateTable, replace_table
+from clinicpulse.sources.state import StateTable, VersionedTable
 
 # Figures are partitioned by their key, so writing a month or year again is an upsert of just that.
 FIGURES = {
@@ -65,6 +65,10 @@ class Warehouse:
         schema = "create_dt timestamp_ntz, appointment_id string, source string, month date"
         return StateTable(self.spark, f"{self.root}/online_appointments", schema, ["month"])
 
+    @property
+    def report(self) -> VersionedTable:
+        return VersionedTable(self.spark, f"{self.root}/no_show_dashboard", noshow.SCHEMA)
+
     def figure(self, name: str) -> StateTable:
         schema, key = FIGURES[name]
         return StateTable(self.spark, f"{self.root}/{name}", schema, key)
@@ -251,6 +255,25 @@ def _touched(log: DataFrame, since: date) -> Column:
     )
 
 
+def renew_channels(w: Warehouse, log: DataFrame, months: Collection[date]) -> None:
+    """Split the online appointments of some months by channel again, and count those of the online channel.
+
+    The months are counted anew and not by differences, as a count can be repeated after a failure. A month that has
+    none left is written as 0, so its old count does not stay.
+    """
+    due = w.appointments.read().filter(F.col("month").isin(sorted(months)))
+    entries = log.join(
+        due.select(F.col("appointment_id").alias("appointment_oid")).distinct(), "appointment_oid", "left_semi"
+    )
+    with staging.scope(w.spark):
+        split = staging.stage(
+            appointments.with_channel(due, appointments.latest_source(entries, periods.FIRST_MONTH)), "channels"
+        )
+        w.channels.replace_partitions(split)
+        counted = appointments.by_channel(split).filter(F.col("source") == P.CHANNEL_ONLINE)
+        w.figure("rate_kpi").replace_partitions(appointments.with_zeros(counted, months, P.CHANNEL_ONLINE))
+
+
 def run_clinic(
     w: Warehouse, t: Mapping[str, DataFrame], as_of: date, revenue_params: RevenueParams,
     visit_params: AppointmentParams,
@@ -285,16 +308,9 @@ def run_clinic(
         written = since.select(F.col("appointment_oid").alias("appointment_id")).distinct()
         touched = loaded.read().join(written, "appointment_id", "left_semi").select("month").distinct()
         # One date per month of the clinic's life.
-        months_due = {r["month"] for r in touched.collect()} | {r["month"] for r in span.spine(w.spark).collect()}
-        due = loaded.read().filter(F.col("month").isin(sorted(months_due)))
-        entries = log.join(
-            due.select(F.col("appointment_id").alias("appointment_oid")).distinct(), "appointment_oid", "left_semi"
-        )
-        split = appointments.with_channel(due, appointments.latest_source(entries, periods.FIRST_MONTH))
-        w.channels.replace_partitions(split)
+        due = {r["month"] for r in touched.collect()} | {r["month"] for r in span.spine(w.spark).collect()}
+    renew_channels(w, log, due)
     mark_done(w, CLINIC, CHANNELS, as_of)
-    channels = appointments.by_channel(w.channels.read().filter(F.col("month").isin(sorted(months_due))))
-    rates.replace_partitions(channels.filter(F.col("source") == P.CHANNEL_ONLINE))
     w.figure("ob_to_call_centre_kpi").replace_partitions(appointments.online_ratio(rates.read()))
 
     summary = w.figure("kpis_summary")
@@ -303,7 +319,7 @@ def run_clinic(
 
 
 def run_report(w: Warehouse, t: Mapping[str, DataFrame], report_params: ReportParams) -> None:
-    """Replace the no-show report. A failure raises, and the previous report stays."""
+    """Replace the no-show report. A run that fails raises, and the previous report stays the current one."""
     with staging.scope(w.spark):
-        newest_first = noshow.report(t, report_params).orderBy(F.desc("date"))
-        replace_table(newest_first, f"{w.root}/no_show_dashboard")
+        w.report.publish(noshow.report(t, report_params).orderBy(F.desc("date")))
+    w.report.expire()

@@ -240,6 +240,14 @@ def post_class(post_names: Column) -> Column:
     return ladder.otherwise(F.lit(P.OTHER_POST))
 
 
+SCHEMA = (
+    "date string, lpu string, key_post_name string, post_names array<string>, doctor_name string, total bigint, "
+    "signed_count bigint, signed_pct string, no_show_count bigint, no_show_pct string, "
+    "signed_depth_in_days string, signed_auto_pct string, signed_has_lk_pct string, signed_is_first_pct string, "
+    "no_show_depth_in_days string, no_show_auto_pct string, no_show_has_lk_pct string, no_show_is_first_pct string"
+)
+
+
 def layout(summary: DataFrame) -> DataFrame:
     """The published columns; numbers as text with a decimal comma."""
 

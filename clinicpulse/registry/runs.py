@@ -4,8 +4,11 @@ from __future__ import annotations
 
 from datetime import date
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from clinicpulse import bindings as B
+from clinicpulse import params as P
+from clinicpulse.functions import periods
 from clinicpulse.operators import staging
 from clinicpulse.plans import daily
 from clinicpulse.registry.analytics import DEVICE, raw_mobile
@@ -75,3 +78,37 @@ def resume_after_failure(spark: SparkSession, sf_dir: str) -> DataFrame:
     daily.catch_up(w, spec, daily.IDENTITY, lambda start, end: daily.identify_mobile(w, start, end))
     daily.catch_up(w, spec, daily.PRESENCE, lambda start, end: daily.attend_mobile(w, listed, start, end))
     return w.presence.read().select("activity_date", "external_user_id", "internal_user_id", "first_event_time")
+
+
+@query(
+    "channel_moved_away",
+    f"""
+    SELECT {day("date_trunc('month', o_orderdate)", 'month')}, 'ONLINE_BOOKING' AS source,
+           count(*) FILTER (o_orderpriority IN ('1-URGENT', '2-HIGH') AND o_orderdate >= DATE '1996-01-01'
+                            AND o_orderkey % 5 <> 0) AS count
+    FROM orders GROUP BY date_trunc('month', o_orderdate)""",
+)
+def channel_moved_away(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Online appointments that the log later gives to another channel: their months' counts go down, some to zero."""
+    orders, w = B.table(spark, sf_dir, "orders"), _warehouse(spark)
+    booked = orders.select(
+        F.col("o_orderdate").alias("create_dt"), F.col("o_orderkey").cast("string").alias("appointment_id"),
+        periods.month_of("o_orderdate").alias("month"),
+    )
+    w.appointments.append(booked)
+    channel = F.when(F.col("o_orderpriority").isin("1-URGENT", "2-HIGH"), P.CHANNEL_ONLINE).otherwise("APP")
+
+    def log(source: Column, at: str) -> DataFrame:
+        written = F.lit(at).cast("timestamp_ntz")
+        return orders.select(
+            F.col("o_orderkey").cast("string").alias("appointment_oid"), source.alias("source"),
+            written.alias("created_at"), written.alias("updated_at"),
+        )
+
+    months = [r["month"] for r in booked.select("month").distinct().collect()]
+    first = log(channel, "2025-02-01 00:00:00")
+    daily.renew_channels(w, first, months)
+    moved = (F.col("o_orderdate") < F.lit(date(1996, 1, 1))) | (F.col("o_orderkey") % 5 == 0)
+    later = log(F.when(moved, "PARTNER").otherwise(channel), "2025-03-01 00:00:00")
+    daily.renew_channels(w, first.unionByName(later), months)
+    return w.figure("rate_kpi").read()

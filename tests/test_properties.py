@@ -14,8 +14,8 @@ from clinicpulse.params import AppointmentParams, RevenueParams
 from clinicpulse.plans import appointments, daily, identity, mau, noshow, presence, revenue, upkeep
 from clinicpulse.registry import QUERIES, clinic
 from clinicpulse.registry.analytics import raw_mobile, raw_web
-from clinicpulse.sources import ingest, jdbc, landing, specs
-from clinicpulse.sources.state import StateTable
+from clinicpulse.sources import files, ingest, jdbc, landing, specs
+from clinicpulse.sources.state import StateTable, VersionedTable
 from clinicpulse.streaming import intake
 
 DATA = "/root/testdata/sf0.001"
@@ -278,7 +278,40 @@ def test_report_is_replaced(spark, tmp_path):
     w = daily.Warehouse(spark, str(tmp_path / "wh"))
     for _ in range(2):
         daily.run_report(w, B.tables(spark, DATA), clinic.REPORT)
-    assert spark.read.parquet(f"{w.root}/no_show_dashboard").count() == QUERIES["no_show_report"](spark, DATA).count()
+    wanted = rows(QUERIES["no_show_report"](spark, DATA))
+    assert len(wanted) == w.report.read().count()
+    stored = rows(w.report.read())
+    bad = dict(B.tables(spark, DATA))
+    broken = F.raise_error(F.lit("lost")).cast("string")
+    bad["staff_name"] = bad["staff_name"].withColumn("full_name", broken)
+    with pytest.raises(Exception, match="lost"):
+        daily.run_report(w, bad, clinic.REPORT)
+    assert rows(w.report.read()) == stored
+
+
+def test_a_failed_replacement_is_no_version_and_goes_once_it_is_old(spark, tmp_path):
+    table = VersionedTable(spark, str(tmp_path / "t"), "v bigint")
+    table.publish(spark.range(5).select(F.col("id").alias("v")))
+    broken = F.when(F.col("id") == 77, F.raise_error(F.lit("lost")).cast("bigint")).otherwise(F.col("id"))
+    with pytest.raises(Exception, match="lost"):
+        table.publish(spark.range(100).select(broken.alias("v")))
+    # What is left of a run that was killed.
+    spark.range(3).write.parquet(f"{table.path}/versions/killed")
+    assert table.read().count() == 5 and table.expire() == []
+    assert "killed" in table.expire(abandoned_after=timedelta(days=-1))
+    assert len(files.listed(spark, f"{table.path}/versions")) == 1 and table.read().count() == 5
+
+
+def test_versions_of_a_table(spark, tmp_path):
+    table = VersionedTable(spark, str(tmp_path / "t"), "v int")
+    assert table.read().count() == 0
+    for n in range(12):
+        table.publish(spark.range(n + 1).select(F.col("id").cast("int").alias("v"), F.lit(1).alias("other")))
+        before = table.read()
+    table.publish(table.read().filter("v < 3"))
+    assert (table.read().count(), before.count()) == (3, 12)
+    assert len(table.expire(keep=2)) == 11
+    assert (table.read().count(), before.count()) == (3, 12) and table.expire(keep=2) == []
 
 
 # --- upkeep and databases -------------------------------------------------------------------------
