@@ -7,6 +7,8 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
+from clinicpulse.operators.staging import stage
+
 _FIXED = (T.NumericType, T.DateType, T.TimestampType, T.TimestampNTZType, T.BooleanType)
 
 # What happens to a column of a row that exists on both sides; columns not named keep the stored value.
@@ -15,24 +17,43 @@ NEW_IF_SET = "new if set"
 GREATEST = "greatest"
 
 
+def _same(key: Sequence[str]) -> Column:
+    return reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in key])
+
+
+def _renamed(df: DataFrame, key: Sequence[str], *more: str) -> DataFrame:
+    return df.select(*[F.col(k).alias(f"_{k}") for k in key], *more)
+
+
 def first_per_key(df: DataFrame, key: Sequence[str], order_by: Sequence[str] = ()) -> DataFrame:
     """One row per key: the first in ``order_by``, and of equally first ones that of the lowest digest.
 
-    Every step aggregates numbers by hash (``order_by`` takes columns of fixed width only), so no group is sorted and
-    no text is kept in an aggregate: the winner is found by number and met again by key. Nulls come first, equal
-    rows are one.
+    ``df`` is computed once and staged. Then only keys are shuffled, to find those that come more than once: rows of
+    the others pass as they are, and just the repeated ones are settled. Nulls come first, equal rows are one.
     """
     columns = df.columns
-    rows = df.distinct().withColumn("_digest", F.xxhash64(*columns))
-    for column in (*order_by, "_digest"):
+    rows = stage(df.withColumn("_digest", F.xxhash64(*columns)), "keyed")
+    for column in order_by:
         if not isinstance(rows.schema[column].dataType, _FIXED):
             raise TypeError(f"{column} cannot be ordered by hash aggregates")
+    counted = rows.groupBy(*key).agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1")
+    repeated = stage(_renamed(counted, key), "repeated-keys")
+    if repeated.isEmpty():
+        return rows.select(*columns)
+    single = rows.join(repeated, _same(key), "left_anti")
+    several = rows.join(repeated, _same(key), "left_semi")
+    return single.unionByName(_settled(several, key, order_by)).select(*columns)
+
+
+def _settled(rows: DataFrame, key: Sequence[str], order_by: Sequence[str]) -> DataFrame:
+    """One row per key. Every step aggregates numbers by hash, so no group is sorted and no text is kept in an
+    aggregate: the winner is found by number and met again by key."""
+    rows = rows.distinct()
+    for column in (*order_by, "_digest"):
         first = F.when(F.count(F.lit(1)) == F.count(column), F.min(column)).alias("_first")
-        best = rows.groupBy(*key).agg(first).select(*[F.col(k).alias(f"_{k}") for k in key], "_first")
-        same = [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in key]
-        met = rows.join(best, reduce(lambda a, b: a & b, [*same, F.col(column).eqNullSafe(F.col("_first"))]), "left_semi")
-        rows = met
-    return rows.select(*columns)
+        best = _renamed(rows.groupBy(*key).agg(first), key, "_first")
+        rows = rows.join(best, _same(key) & F.col(column).eqNullSafe(F.col("_first")), "left_semi")
+    return rows
 
 
 def insert_if_absent(
@@ -40,7 +61,7 @@ def insert_if_absent(
 ) -> DataFrame:
     """The rows to append: one per new key, the first in ``order_by``; None if keys are distinct already.
 
-    Pass ``existing`` already cut to the days being loaded.
+    Pass ``existing`` already cut to the days being loaded. With ``order_by`` the incoming rows are staged.
     """
     fresh = incoming if order_by is None else first_per_key(incoming, key, order_by)
     return fresh.join(existing.select(*key), list(key), "left_anti").select(*incoming.columns)

@@ -5,14 +5,16 @@ from __future__ import annotations
 from collections.abc import Callable, Collection, Mapping, Sequence
 from datetime import date, timedelta
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 
 from clinicpulse import params as P
-from clinicpulse.functions import periods
+from clinicpulse.functions import periods, scalars
 from clinicpulse.operators import staging
 from clinicpulse.params import AppointmentParams, ReportParams, RevenueParams
 from clinicpulse.plans import appointments, identity, mau, noshow, presence, revenue, yoy
 from clinicpulse.sources import ingest, landing, specs
+from clinicpulse.sources.hits import HitIndex
+from clinicpulse.sources.keyfilter import KeyFilter
 from clinicpulse.sources.specs import SPARK_TYPES, ExportSpec, Table
 from clinicpulse.sources.state import StateTable, VersionedTable
 
@@ -39,6 +41,19 @@ class Warehouse:
         schema = ", ".join([*columns, f"{ingest.EVENT_DAY} date"])
         return StateTable(self.spark, f"{self.root}/{spec.name}/{table.name}", schema, [ingest.EVENT_DAY])
 
+    def keys(self, spec: ExportSpec) -> KeyFilter:
+        """Filters of the keys an export's tables may hold; the tables share one key."""
+        return KeyFilter(self.spark, f"{self.root}/{spec.name}-keys", spec.tables[0].key)
+
+    def rejects(self, spec: ExportSpec) -> StateTable:
+        """Raw rows of an export that had values of a wrong type."""
+        return StateTable(self.spark, f"{self.root}/{spec.name}-rejects", ingest.REJECTS, ["landed_day"])
+
+    @property
+    def hits(self) -> HitIndex:
+        """User ids by hit of the account site."""
+        return HitIndex(self.spark, f"{self.root}/web_lk-hits")
+
     @property
     def identity(self) -> StateTable:
         by = ["source", "bucket"]
@@ -74,22 +89,46 @@ class Warehouse:
         return StateTable(self.spark, f"{self.root}/{name}", schema, key)
 
 
-def append_export(w: Warehouse, spec: ExportSpec, raw: DataFrame) -> int:
+def append_export(w: Warehouse, spec: ExportSpec, raw: DataFrame, path: str = identity.USER_ID_PATH) -> int:
     """Add a raw batch to the export's tables; rows already there are left as they are.
 
     Returns how many rows have no readable time. A failure between two tables is made good by running the batch
-    again; ``events`` comes last, so a row there has its rows in the others.
+    again; ``events`` comes last, so a row there has its rows in the others. Filters of the keys, and the account
+    site's index of hits (user ids lie at ``path`` of the params), are written before the rows they speak of.
     """
     stored = {t.name: w.export(spec, t).read() for t in spec.tables}
+    # ``events`` last: the first table written has every key that any of them has.
+    tables = sorted(spec.tables, key=lambda t: t.name == "events")
+    first, key_columns = tables[0].name, dict.fromkeys([*spec.tables[0].key, spec.time])
+    keys, misfits = w.keys(spec), Observation()
+    if keys.is_empty() and not stored[first].isEmpty():
+        # A warehouse filled before there were filters.
+        keys.add(stored[first].select(*key_columns, ingest.EVENT_DAY), ingest.EVENT_DAY)
     with staging.scope(w.spark):
-        wide = staging.stage(ingest.normalise(raw, spec), f"export-{spec.name}")
-        rows = ingest.new_rows(wide, spec, stored)
-        for table in sorted(spec.tables, key=lambda t: t.name == "events"):
-            day = F.to_date(spec.time).alias(ingest.EVENT_DAY)
+        raw = landing.with_file(raw)
+        # Computing it once counts the values that do not fit.
+        wide = staging.stage(ingest.normalise(ingest.observed(raw, spec, misfits), spec), f"export-{spec.name}")
+        if any(misfits.get.values()):
+            add_rejects(w, spec, ingest.rejects(raw, spec))
+        rows = ingest.new_rows(wide, spec, stored, keys)
+        day = F.to_date(spec.time).alias(ingest.EVENT_DAY)
+        keys.add(rows[first].select(*key_columns, day), ingest.EVENT_DAY)
+        if spec.name == specs.ACCOUNT:
+            params = rows["event_params"].select("watch_id", scalars.user_id_from_json(F.col("params"), path).alias("internal"))
+            w.hits.append(params.filter("internal IS NOT NULL"))
+        for table in tables:
             w.export(spec, table).append(rows[table.name].select("*", day))
         return ingest.unreadable(wide, spec)
 
 
+def add_rejects(w: Warehouse, spec: ExportSpec, found: DataFrame) -> None:
+    """Keep the raw rows a load could not type whole; the same file read again adds none."""
+    stored = w.rejects(spec).read()
+    days = [r["landed_day"] for r in found.select("landed_day").distinct().collect()]
+    old = stored.filter(F.col("landed_day").isin(days)).select(F.sha2(F.concat_ws("\n", landing.FILE, "raw"), 256).alias("_id"))
+    w.rejects(spec).append(found.join(old, F.sha2(F.concat_ws("\n", landing.FILE, "raw"), 256) == F.col("_id"), "left_anti"))
+
+
 def stored_export(w: Warehouse, spec: ExportSpec, table: str) -> DataFrame:
     return w.export(spec, next(t for t in spec.tables if t.name == table)).read()
 
@@ -114,11 +153,14 @@ def mark_done(w: Warehouse, source: str, step: str, day: date) -> None:
     w.progress.replace_partitions(w.spark.createDataFrame([(source, step, day)], "source string, step string, done_to date"))
 
 
-def load_source(w: Warehouse, landed: str, spec: ExportSpec, as_of: date) -> tuple[date, date] | None:
+def load_source(
+    w: Warehouse, landed: str, spec: ExportSpec, as_of: date, path: str = identity.USER_ID_PATH
+) -> tuple[date, date] | None:
     """Load the days the source has not been loaded for; None if yesterday is there already."""
     days = periods.next_slice(done_to(w, spec.name, LOAD), as_of)
     if days is not None:
-        append_export(w, spec, landing.read(w.spark, landed, spec, *days))
+        with staging.scope(w.spark):
+            append_export(w, spec, landing.read(w.spark, landed, spec, *days), path)
         mark_done(w, spec.name, LOAD, days[1])
     return days
 
@@ -190,10 +232,17 @@ def attend_booking(w: Warehouse, goal_prefix: str, start: date, end: date) -> No
 
 
 def identify_account(w: Warehouse, start: date, end: date, path: str) -> None:
-    """Params match by hit whatever their time, so they are not cut to the days."""
-    spec = specs.web("web_lk")
+    """Params match by hit whatever their time; the index of hits has their user ids, so no params are read.
+
+    A warehouse filled before there was an index gets it from all its params once.
+    """
+    spec = specs.web(specs.ACCOUNT)
+    if w.hits.read().isEmpty():
+        params = stored_export(w, spec, "event_params")
+        users = params.select("watch_id", scalars.user_id_from_json(F.col("params"), path).alias("internal"))
+        w.hits.append(users.filter("internal IS NOT NULL"))
     events = read_export(w, spec, "events", start, end)
-    _merge_identity(w, P.SOURCE_ACCOUNT, identity.account(events, stored_export(w, spec, "event_params"), start, end, path=path))
+    _merge_identity(w, P.SOURCE_ACCOUNT, identity.account_by_index(events, w.hits.read(), start, end))
 
 
 def attend_account(w: Warehouse, start: date, end: date) -> None:
@@ -235,14 +284,14 @@ def run_analytics(
 ) -> None:
     """The whole chain for one day. A step that is up to date is skipped, one that failed before covers the days it
     missed, and the figures are always renewed."""
-    mobile, booking, account = specs.mobile(), specs.web("booking"), specs.web("web_lk")
+    mobile, booking, account = specs.mobile(), specs.web("booking"), specs.web(specs.ACCOUNT)
     load_source(w, landed["mobile"], mobile, as_of)
     catch_up(w, mobile, IDENTITY, lambda start, end: identify_mobile(w, start, end))
     catch_up(w, mobile, PRESENCE, lambda start, end: attend_mobile(w, allowed, start, end))
     load_source(w, landed["booking"], booking, as_of)
     catch_up(w, booking, IDENTITY, lambda start, end: identify_booking(w, start, end, path))
     catch_up(w, booking, PRESENCE, lambda start, end: attend_booking(w, goal_prefix, start, end))
-    load_source(w, landed["web_lk"], account, as_of)
+    load_source(w, landed["web_lk"], account, as_of, path)
     catch_up(w, account, IDENTITY, lambda start, end: identify_account(w, start, end, path))
     catch_up(w, account, PRESENCE, lambda start, end: attend_account(w, start, end))
     update_users(w, as_of)
@@ -297,7 +346,8 @@ def run_clinic(
     span = months(periods.last_value(loaded.read(), "create_dt"))
     found = appointments.online(t, span, visit_params).withColumn("month", periods.month_of("create_dt"))
     recent = loaded.read().filter(span.of("month"))
-    loaded.append(appointments.new_online(recent, found))
+    with staging.scope(w.spark):
+        loaded.append(appointments.new_online(recent, found))
 
     # A log entry may come at any later time, so the months renewed are those of the appointments in range and those
     # the log has written about since the last run.

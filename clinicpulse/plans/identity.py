@@ -50,12 +50,7 @@ def _web(
 ) -> DataFrame:
     """Only the highest user id and the time bounds are kept, so params fold to one row per key first and
     copies of a hit fold to its time bounds; the join then never multiplies rows."""
-    bounds = [F.min("first").alias("first"), F.max("last").alias("last")]
-    keys = [*on, "external"]
-    hits = events.filter(F.col("client_id").isNotNull()).select(
-        *on, F.col("client_id").alias("external"),
-        F.col("date_time").alias("first"), F.col("date_time").alias("last"),
-    )
+    hits = _hits(events, on)
     if how == "left":
         # The params are all there ever were: only those of the hits at hand are parsed, and one without a user id
         # says no more than a hit without params.
@@ -63,6 +58,19 @@ def _web(
     users = params.select(*on, scalars.user_id_from_json(F.col("params"), path).alias("internal"))
     if how == "left":
         users = users.filter("internal IS NOT NULL")
+    return _linked(hits, users, on, how, source, hot)
+
+
+def _hits(events: DataFrame, on: list[str]) -> DataFrame:
+    return events.filter(F.col("client_id").isNotNull()).select(
+        *on, F.col("client_id").alias("external"),
+        F.col("date_time").alias("first"), F.col("date_time").alias("last"),
+    )
+
+
+def _linked(hits: DataFrame, users: DataFrame, on: list[str], how: str, source: str, hot: Sequence[int] | None) -> DataFrame:
+    bounds = [F.min("first").alias("first"), F.max("last").alias("last")]
+    keys = [*on, "external"]
     users = users.groupBy(*on).agg(F.max("internal").alias("internal"))
     joined = join_to_unique(
         hits, users, on, how, spread_by=["external"], collapse=lambda h: h.groupBy(*keys).agg(*bounds), hot=hot
@@ -94,6 +102,14 @@ def account(
     return _web(events.filter(days), params, ["watch_id"], "left", source, path, hot)
 
 
+def account_by_index(
+    events: DataFrame, index: DataFrame, start: date, end: date, source: str = P.SOURCE_ACCOUNT, hot: Sequence[int] | None = None
+) -> DataFrame:
+    """``account``, with the user ids of hits from an index of (watch_id, internal) in place of the params."""
+    hits = _hits(events.filter(periods.within_days("date_time", start, end)), ["watch_id"])
+    return _linked(hits, index, ["watch_id"], "left", source, hot)
+
+
 def merge(stored: DataFrame, batch: DataFrame, now: Column | None = None) -> DataFrame:
     """A known id is kept when the batch has none; the first sighting stays, the last one only grows."""
     stamp = F.localtimestamp() if now is None else now

@@ -8,12 +8,12 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from clinicpulse import bindings as B
 from clinicpulse import params as P
-from clinicpulse.functions import periods
+from clinicpulse.functions import periods, scalars
 from clinicpulse.operators import staging
-from clinicpulse.plans import daily
-from clinicpulse.registry.analytics import DEVICE, raw_mobile
+from clinicpulse.plans import daily, identity
+from clinicpulse.registry.analytics import ACCOUNT_ID, DEVICE, ID_COLUMNS, raw_mobile, raw_web, whole_month
 from clinicpulse.registry.base import day, query, time
-from clinicpulse.sources import landing, specs
+from clinicpulse.sources import ingest, landing, specs
 
 
 def _warehouse(spark: SparkSession) -> daily.Warehouse:
@@ -112,3 +112,86 @@ def channel_moved_away(spark: SparkSession, sf_dir: str) -> DataFrame:
     later = log(F.when(moved, "PARTNER").otherwise(channel), "2025-03-01 00:00:00")
     daily.renew_channels(w, first.unionByName(later), months)
     return w.figure("rate_kpi").read()
+
+
+@query(
+    "ingest_split_files",
+    f"""
+    SELECT CASE WHEN event_id % 3 = 0 THEN user_id END AS profile_id,
+           {time("date_trunc('second', ts)", 'event_datetime')}, event_type AS event_name,
+           replace(props, '{{', '{{' || chr(10) || '"q": 1,' || chr(10)) AS event_json, {DEVICE} AS appmetrica_device_id
+    FROM events""",
+)
+def ingest_split_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All events in one CSV file, with quotes and line breaks in every row, read by many tasks."""
+    spec, path = specs.mobile(), staging.new_folder(spark, "landing")
+    raw = raw_mobile(spark, sf_dir).withColumn("event_json", F.replace("event_json", F.lit("{\n"), F.lit('{\n"q": 1,\n')))
+    landing.write(raw.withColumn(landing.DAY, F.lit("2024-01-05")).coalesce(1), path, spec)
+    [file] = landing.landed_files(spark, path, date(2024, 1, 5), date(2024, 1, 5))
+    kept = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", str(file.size // 16))
+    try:
+        read = staging.stage(landing.read(spark, path, spec, date(2024, 1, 5), date(2024, 1, 5)), "read")
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", kept)
+    wide = ingest.normalise(read, spec)
+    return wide.select(
+        "profile_id", "event_datetime", "event_name", "event_json",
+        F.col("appmetrica_device_id").cast("string").alias("appmetrica_device_id"),
+    )
+
+
+@query(
+    "ingest_rejects",
+    """
+    SELECT 'session_id' AS field, count(*) AS rows FROM events WHERE event_id % 7 = 0
+    UNION ALL SELECT 'google_aid', count(*) FROM events WHERE event_id % 4 = 2
+    UNION ALL SELECT 'event_datetime', count(*) FROM events WHERE event_id % 11 = 0""",
+)
+def ingest_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Values of a wrong type, loaded twice: each raw row that has one is kept once, with the fields concerned."""
+    spec, path, w = specs.mobile(), staging.new_folder(spark, "landing"), _warehouse(spark)
+    raw = raw_mobile(spark, sf_dir, also=["event_id"]).withColumn(landing.DAY, F.to_date("event_datetime"))
+    bad = F.when(F.col("event_id") % 11 == 0, F.lit("no time")).otherwise(F.col("event_datetime"))
+    landing.write(raw.withColumn("event_datetime", bad).drop("event_id"), path, spec)
+    for last in (20, 31):
+        daily.append_export(w, spec, landing.read(spark, path, spec, date(2024, 1, 1), date(2024, 1, last)))
+    found = w.rejects(spec).read().select(F.explode("fields").alias("field"), "copies")
+    return found.groupBy("field").agg(F.sum("copies").alias("rows"))
+
+
+@query(
+    "insert_by_key_filter",
+    f"""
+    SELECT CAST(event_id AS VARCHAR) AS hit,
+           {time("date_trunc('second', CASE WHEN event_id % 10 = 0 THEN ts - INTERVAL 20000 DAY ELSE ts END)", 'date_time')}
+    FROM events""",
+)
+def insert_by_key_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hits of which every tenth is dated 55 years early, loaded in halves that overlap: each is stored once."""
+    spec, w = specs.web("booking"), _warehouse(spark)
+    number = F.expr("bigint(substring(`ym:pv:watchID`, 3))")
+    early = F.date_format(F.to_timestamp_ntz("ym:pv:dateTime") - F.expr("interval 20000 day"), "yyyy-MM-dd HH:mm:ss")
+    moved = F.when(number % 10 == 0, early).otherwise(F.col("`ym:pv:dateTime`"))
+    raw = raw_web(spark, sf_dir, spec).withColumn("ym:pv:dateTime", moved)
+    for part in (number % 3 < 2, number % 3 > 0, number % 3 == 0):
+        daily.append_export(w, spec, raw.filter(part))
+    stored = daily.stored_export(w, spec, "events")
+    return stored.select(F.expr("string(bigint(substring(string(watch_id), 3)))").alias("hit"), "date_time")
+
+
+@query(
+    "identity_account_index",
+    B.with_tables("web_events", "web_params", ident=whole_month(ACCOUNT_ID), body=f"SELECT {ID_COLUMNS} FROM ident"),
+)
+def identity_account_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Account identity from the index of hits that three loads have filled."""
+    t, spec, w = B.tables(spark, sf_dir), specs.web(specs.ACCOUNT), _warehouse(spark)
+    hits, params = t["web_events"], t["web_params"].select("watch_id", "params")
+    users = params.select("watch_id", scalars.user_id_from_json(F.col("params"), B.USER_ID_PATH).alias("internal"))
+    for part in range(3):
+        w.hits.append(users.filter((F.col("watch_id") % 3 == part) & F.col("internal").isNotNull()))
+    hits = hits.withColumn("watch_id", F.col("watch_id").cast("decimal(20,0)"))
+    return identity.account_by_index(hits, w.hits.read(), date(2024, 1, 1), date(2024, 1, 31)).select(
+        "source", "external_user_id", "internal_user_id", "first_seen_at", "last_seen_at"
+    )

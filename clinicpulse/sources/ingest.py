@@ -5,12 +5,13 @@ from __future__ import annotations
 from collections.abc import Mapping
 from datetime import date
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 
 from clinicpulse.functions import scalars
 from clinicpulse.operators import rowid, staging, upsert
 from clinicpulse.sources import landing
-from clinicpulse.sources.specs import SPARK_TYPES, UUID, ExportSpec, Field
+from clinicpulse.sources.keyfilter import DAY as KEY_DAY, KeyFilter
+from clinicpulse.sources.specs import INET, JSON, SPARK_TYPES, STRING, UUID, ExportSpec, Field
 
 # Partition column of the stored export tables: the day of the event.
 EVENT_DAY = "event_day"
@@ -49,23 +50,75 @@ def normalise(raw: DataFrame, spec: ExportSpec) -> DataFrame:
     return rowid.with_row_id(raw, spec.row_id).select(spec.row_id, *[typed(f) for f in spec.fields])
 
 
+def misfit(field: Field) -> Column:
+    """Whether the field has a value that is lost because it does not fit the declared type."""
+    value = F.coalesce(*[scalars.none_if(F.col(f"`{s}`"), field.null_values) for s in field.sources])
+    return F.coalesce(F.trim(value) != "", F.lit(False)) & typed(field).isNull()
+
+
+def checked_fields(spec: ExportSpec) -> list[Field]:
+    return [f for f in spec.fields if f.type not in (STRING, JSON, INET)]
+
+
+def observed(raw: DataFrame, spec: ExportSpec, counts: Observation) -> DataFrame:
+    """``raw``, which counts each field's misfits into ``counts`` whenever it is computed."""
+    renamed = strip_prefix(raw, spec)
+    seen = renamed.observe(counts, *[F.count_if(misfit(f)).alias(f.target) for f in checked_fields(spec)])
+    return seen.toDF(*raw.columns)
+
+
+REJECTS = "landed_file string, fields array<string>, raw string, copies bigint, landed_day string"
+
+
+def rejects(raw: DataFrame, spec: ExportSpec) -> DataFrame:
+    """The raw rows that have misfits, as JSON, with the fields concerned; equal rows of a file are one with a count.
+
+    The rows are loaded all the same, with NULL in those fields.
+    """
+    named = landing.with_file(raw)
+    if landing.FILE not in named.columns:
+        named = named.withColumn(landing.FILE, F.lit(None).cast("string"))
+    renamed = strip_prefix(named, spec)
+    bad = F.array_compact(F.array(*[F.when(misfit(f), F.lit(f.target)) for f in checked_fields(spec)]))
+    whole = F.to_json(F.struct(*[F.col(f"`{c}`") for c in renamed.columns if c != landing.FILE]))
+    found = renamed.select(landing.FILE, bad.alias("fields"), whole.alias("raw")).filter(F.size("fields") > 0)
+    day = F.coalesce(F.regexp_extract(landing.FILE, f"{landing.DAY}=([^/]+)/", 1), F.lit("none"))
+    return found.groupBy(landing.FILE, "fields", "raw").agg(F.count(F.lit(1)).alias("copies")).withColumn("landed_day", day)
+
+
 def fan_out(wide: DataFrame, spec: ExportSpec) -> dict[str, DataFrame]:
     return {t.name: wide.select(*t.columns) for t in spec.tables}
 
 
-def new_rows(wide: DataFrame, spec: ExportSpec, stored: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
-    """Per table, the rows to append. Stored rows are looked at only within the batch's own time span, and those
-    without a readable time always: they have a partition of their own."""
-    span = wide.agg(F.min(spec.time).alias("first"), F.max(spec.time).alias("last")).first()
-    first, last = F.lit(span["first"]), F.lit(span["last"])
-    overlap = F.col(spec.time).between(first, last) | F.col(spec.time).isNull()
-    on_days = F.col(EVENT_DAY).between(F.to_date(first), F.to_date(last)) | F.col(EVENT_DAY).isNull()
+def new_rows(
+    wide: DataFrame, spec: ExportSpec, stored: Mapping[str, DataFrame], keys: KeyFilter | None = None
+) -> dict[str, DataFrame]:
+    """Per table, the rows to append. Equal keys have equal times, so a stored row can only lie on its own event day,
+    or in the partition of rows without a readable time.
+
+    With filters of the stored keys, only days that may hold one of the batch's are opened, and none if there are none.
+    """
     loaded = fan_out(wide, spec)
+    key = list(spec.tables[0].key)
+    day = F.to_date(spec.time).alias(EVENT_DAY)
+    if keys is None or keys.is_empty():
+        held, days = None, [r[EVENT_DAY] for r in wide.select(day).distinct().collect()]
+    else:
+        held = staging.stage(keys.may_hold(wide.select(*dict.fromkeys([*key, spec.time]), day), EVENT_DAY), "held-keys")
+        # No more than there are stored partitions, as each comes from a filter of one.
+        days = [None if r[0] == "none" else date.fromisoformat(r[0]) for r in held.select(KEY_DAY).distinct().collect()]
+        if not days:
+            return loaded
+    known = sorted(d for d in days if d is not None)
     rows = {}
     for table in spec.tables:
-        old = stored[table.name].filter(overlap)
+        old = stored[table.name]
         if EVENT_DAY in old.columns:
-            old = old.filter(on_days)
+            of_days = F.col(EVENT_DAY).isin(known) if known else F.lit(False)
+            old = old.filter(of_days | F.col(EVENT_DAY).isNull() if None in days else of_days)
+        old = old.select(*table.key)
+        if held is not None:
+            old = old.join(held.select(*key), key, "left_semi")
         rows[table.name] = upsert.insert_if_absent(old, loaded[table.name], table.key)
     return rows
 

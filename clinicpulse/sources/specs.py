@@ -51,7 +51,7 @@ class ExportSpec:
     time: str
     row_id: str | None = None
     header: tuple[str, ...] = field(default=())
-    # Texts, addresses and JSON hold line breaks. Such a CSV file is read by one task, so land large days as several.
+    # Texts, addresses and JSON hold line breaks.
     multiline: bool = True
 
     def field(self, target: str) -> Field:
@@ -92,6 +92,8 @@ MOBILE_TABLES = {
 }
 
 WEB_PREFIX = "ym:pv:"
+# The site whose hits are matched with params whatever their time.
+ACCOUNT = "web_lk"
 
 WEB_HIT = "watchID pageViewID visitID clientID dateTime"
 
@@ -178,4 +180,4 @@ def web(site: str) -> ExportSpec:
 
 
 def all_specs() -> dict[str, ExportSpec]:
-    return {"mobile": mobile(), "booking": web("booking"), "web_lk": web("web_lk")}
+    return {"mobile": mobile(), "booking": web("booking"), ACCOUNT: web(ACCOUNT)}

@@ -15,6 +15,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from clinicpulse.operators import staging
 from clinicpulse.plans import daily
+from clinicpulse.plans.identity import USER_ID_PATH
 from clinicpulse.sources import landing
 from clinicpulse.sources.specs import SPARK_TYPES, ExportSpec
 
@@ -48,26 +49,31 @@ def follow(
     checkpoint: str,
     update: Update,
     files_per_batch: int = 1000,
+    path: str = USER_ID_PATH,
 ) -> StreamingQuery:
     """Process all files not seen yet, in batches, then stop. ``checkpoint`` must be a shared folder.
 
-    ``update`` is called for each run of event days the batch touches. A batch may be run again after a failure, or
-    cut differently: row ids depend on the landed file alone, so nothing is appended twice, and the merges give the
-    same result.
+    The stream is one of file names, of which a batch has at most ``files_per_batch``; their contents are read as the
+    daily loads read them, large files by many tasks. ``update`` is called for each run of event days the batch
+    touches. A batch may be run again after a failure, or cut differently: row ids depend on the landed file alone, so
+    nothing is appended twice, and the merges give the same result. ``path`` is where params hold the user id.
     """
-    reader = spark.readStream.format(spec.format).schema(landing.landed_schema(spec))
-    reader = reader.options(**landing.reader_options(spec)).option("maxFilesPerTrigger", files_per_batch)
-    files = landing.with_file(reader.load(landed)).drop(landing.DAY)
+    names = (
+        spark.readStream.format("binaryFile")
+        .option("maxFilesPerTrigger", files_per_batch)
+        .load(landed)
+        .select("path", "length")
+    )
 
     def load(batch: DataFrame, _: int) -> None:
         with staging.scope(spark):
-            raw = staging.stage(batch, f"batch-{spec.name}")
-            daily.append_export(w, spec, raw)
+            raw = staging.stage(landing.read_named(spark, landed, spec, batch.collect()), f"batch-{spec.name}")
+            daily.append_export(w, spec, raw, path)
             for stretch in stretches(touched_days(raw, spec)):
                 update(*stretch)
 
     return (
-        files.writeStream.foreachBatch(load)
+        names.writeStream.foreachBatch(load)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
