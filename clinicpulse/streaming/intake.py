@@ -60,6 +60,7 @@ def follow(
     """
     names = (
         spark.readStream.format("binaryFile")
+        .schema("path string, modificationTime timestamp, length bigint, content binary")
         .option("maxFilesPerTrigger", files_per_batch)
         .load(landed)
         .select("path", "length")
