@@ -11,7 +11,7 @@ from clinicpulse import params as P
 from clinicpulse.functions import periods, scalars
 from clinicpulse.operators import staging
 from clinicpulse.params import AppointmentParams, ReportParams, RevenueParams
-from clinicpulse.plans import appointments, identity, mau, noshow, presence, revenue, yoy
+from clinicpulse.plans import appointments, counts, identity, mau, noshow, presence, revenue, upkeep, yoy
 from clinicpulse.sources import ingest, landing, specs
 from clinicpulse.sources.hits import HitIndex
 from clinicpulse.sources.keyfilter import KeyFilter
@@ -80,6 +80,27 @@ class Warehouse:
         schema = "create_dt timestamp_ntz, appointment_id string, source string, month date"
         return StateTable(self.spark, f"{self.root}/online_appointments", schema, ["month"])
 
+    @property
+    def numbers(self) -> counts.UserNumbers:
+        return counts.UserNumbers(self.spark, f"{self.root}/user_numbers")
+
+    @property
+    def user_bits(self) -> StateTable:
+        return StateTable(self.spark, f"{self.root}/user_bits", counts.BITS, counts.PARTITIONS)
+
+    @property
+    def user_sketches(self) -> StateTable:
+        return StateTable(self.spark, f"{self.root}/user_sketches", counts.SKETCHES, counts.PARTITIONS)
+
+    def tables(self) -> dict[str, StateTable]:
+        """Every table that runs add to or rewrite by partition."""
+        named = {f"{s.name}/{t.name}": self.export(s, t) for s in specs.all_specs().values() for t in s.tables}
+        for spec in specs.all_specs().values():
+            named |= {f"{spec.name}-keys": self.keys(spec).table, f"{spec.name}-rejects": self.rejects(spec)}
+        for name in ("identity", "progress", "presence", "appointments", "channels", "user_bits", "user_sketches"):
+            named[name] = getattr(self, name)
+        return named | {"user_numbers": self.numbers.table} | {name: self.figure(name) for name in FIGURES}
+
     @property
     def report(self) -> VersionedTable:
         return VersionedTable(self.spark, f"{self.root}/no_show_dashboard", noshow.SCHEMA)
@@ -208,6 +229,14 @@ def _present(w: Warehouse, spec: ExportSpec, kinds: Sequence[presence.Presence],
     events = read_export(w, spec, "events", start, end)
     for kind in kinds:
         _merge_presence(w, kind, presence.build(events, w.identity.read(), kind, start, end), start, end)
+        renew_counts(w, kind.product, start, end)
+
+
+def renew_counts(w: Warehouse, product: str, start: date, end: date) -> None:
+    """Bitmaps and sketches of a product's days, from all its sources."""
+    days = F.col("activity_date").between(F.lit(start), F.lit(end))
+    present = w.presence.read().filter((F.col("product") == product) & days)
+    counts.renew(w.numbers, w.user_bits, w.user_sketches, present)
 
 
 def identify_mobile(w: Warehouse, start: date, end: date) -> None:
@@ -274,7 +303,10 @@ def update_users(w: Warehouse, as_of: date) -> None:
         last = periods.last_value(w.figure(name).read(), "month")
         months = periods.trailing_months(last, as_of, first, floor=False)
         w.figure(name).replace_partitions(build(present, months))
-    yearly = mau.year_to_date(present, as_of)
+    if w.user_bits.read().isEmpty():
+        # A warehouse filled before days were counted.
+        counts.renew(w.numbers, w.user_bits, w.user_sketches, present)
+    yearly = counts.year_to_date(w.user_bits.read(), as_of)
     w.figure("kpis_summary").replace_partitions(yearly.withColumn("value", F.col("value").cast("decimal(18,4)")))
 
 
@@ -373,3 +405,10 @@ def run_report(w: Warehouse, t: Mapping[str, DataFrame], report_params: ReportPa
     with staging.scope(w.spark):
         w.report.publish(noshow.report(t, report_params).orderBy(F.desc("date")))
     w.report.expire()
+
+
+def run_upkeep(w: Warehouse) -> dict[str, int]:
+    """Merge small files of the warehouse's tables; how many partitions of each were rewritten."""
+    rewritten = {name: upkeep.merge_partitions(table) for name, table in w.tables().items()}
+    w.report.expire()
+    return {name: n for name, n in rewritten.items() if n}

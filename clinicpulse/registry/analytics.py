@@ -9,11 +9,12 @@ from pyspark.errors import PySparkException as SparkException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from clinicpulse import bindings as B
+from clinicpulse import params as P
 from clinicpulse.functions import periods
 from clinicpulse.functions.periods import Months
 from clinicpulse.operators import rowid, staging, upsert
-from clinicpulse.plans import identity, mau, presence
-from clinicpulse.registry.base import day, query, time
+from clinicpulse.plans import counts, identity, mau, presence
+from clinicpulse.registry.base import CHECKS, day, query, time
 from clinicpulse.sources import ingest, landing, specs
 from clinicpulse.sources.state import StateTable, VersionedTable
 
@@ -218,6 +219,35 @@ def recompute_months(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mau.booking(history, months)
 
 
+def _counted(spark: SparkSession, sf_dir: str) -> tuple[StateTable, StateTable]:
+    """The history counted in three loads, each into the same numbers, bitmaps and sketches."""
+    history, root = B.tables(spark, sf_dir)["history"], staging.new_folder(spark, "counts")
+    by = counts.PARTITIONS
+    bits, sketches = StateTable(spark, f"{root}/bits", counts.BITS, by), StateTable(spark, f"{root}/sketches", counts.SKETCHES, by)
+    for part in range(3):
+        days = history.filter(F.year("activity_date") % 3 == part)
+        counts.renew(counts.UserNumbers(spark, f"{root}/numbers"), bits, sketches, days)
+    return bits, sketches
+
+
+query("ytd_users_bitmaps", CHECKS["ytd_users"])(
+    lambda spark, sf_dir: counts.year_to_date(_counted(spark, sf_dir)[0].read(), date(2000, 2, 29), first_year=1994)
+)
+
+
+@query(
+    "mau_booking_sketches",
+    B.with_tables("history", spine=months_sql("1995-01-01", "2001-09-01"), body=f"SELECT *, true AS close FROM ({monthly_sql(BOOKING_USERS)})"),
+)
+def mau_booking_sketches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Exact users per month from bitmaps, and whether the sketches come within five standard errors of them."""
+    bits, sketches = _counted(spark, sf_dir)
+    exact = counts.monthly(bits.read(), HISTORY_MONTHS, P.PRODUCT_BOOKING)
+    near = counts.monthly_estimate(sketches.read(), HISTORY_MONTHS, P.PRODUCT_BOOKING).withColumnRenamed("count", "near")
+    close = F.abs(F.col("near") - F.col("count")) <= 0.04 * F.col("count") + 0.5
+    return exact.join(near, "month").select("month", "count", close.alias("close"))
+
+
 def whole_month(sql: str) -> str:
     return sql.replace("2024-01-05", "2024-01-01").replace("2024-01-26", "2024-02-01")
 

@@ -195,3 +195,22 @@ def identity_account_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     return identity.account_by_index(hits, w.hits.read(), date(2024, 1, 1), date(2024, 1, 31)).select(
         "source", "external_user_id", "internal_user_id", "first_seen_at", "last_seen_at"
     )
+
+
+@query(
+    "maintain_warehouse",
+    f"""
+    SELECT {day('CAST(ts AS DATE)', 'event_day')}, count(*) AS rows, true AS one_file, true AS left_alone
+    FROM events GROUP BY CAST(ts AS DATE)""",
+)
+def maintain_warehouse(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A warehouse loaded in eight batches and swept twice: a file per day, and nothing to do the second time."""
+    spec, w = specs.web("booking"), _warehouse(spark)
+    number = F.expr("bigint(substring(`ym:pv:watchID`, 3))")
+    for part in range(8):
+        daily.append_export(w, spec, raw_web(spark, sf_dir, spec).filter(number % 8 == part))
+    first, second = daily.run_upkeep(w), daily.run_upkeep(w)
+    days = daily.stored_export(w, spec, "events").groupBy("event_day", F.col("_metadata.file_name").alias("file")).count()
+    return days.groupBy("event_day").agg(
+        F.sum("count").alias("rows"), (F.count(F.lit(1)) == 1).alias("one_file"), F.lit(bool(first) and not second).alias("left_alone")
+    )
