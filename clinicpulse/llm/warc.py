@@ -1,9 +1,11 @@
 """WARC archives as a PySpark data source: one gzip member per record, written and read in parallel.
 
 Writing: every task rolls its records into files of its own; only files of tasks that succeeded are listed in the
-manifest the commit writes, so a lost executor or a second attempt leaves nothing a reader would see.
+manifest a commit adds, so a lost executor or a second attempt leaves nothing a reader would see. An archive is all its
+manifests together; an overwriting commit names those it replaces.
 
-Reading: files are planned into partitions of similar size. A member carries its own length in the gzip extra field
+Reading: manifests also say where some records start, so that files are planned into even parts, about one per core
+and none too large. In a folder without manifests every ``*.warc`` and ``*.warc.gz`` is read, each whole. A member carries its own length in the gzip extra field
 that the format's annex reserves for skipping. A reader inflates a record's headers first, tests them against the
 pushed-down record type and header filters, and steps over an unwanted member without inflating its payload. Members
 without that field, and plain archives, are read too, at the price of inflating what is skipped.
@@ -39,7 +41,8 @@ from clinicpulse.operators.staging import new_folder, stage
 _ROLL = 256 << 20
 _PLAN = 128 << 20
 _PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
-_MANIFEST = "_manifest.json"
+_MARK = 4 << 20
+_MANIFESTS = "_manifests"
 # The columns of ``read``; header filters may name the text ones among them.
 SCHEMA = T.StructType(
     [
@@ -106,50 +109,75 @@ def _place(path: str) -> tuple[fs.FileSystem, str]:
 
 @dataclass
 class Written(WriterCommitMessage):
-    files: list[str]
+    """The files of a task, each with its size and the offsets of some records' starts."""
+
+    files: list[tuple[str, int, list[int]]]
+
+
+def _manifests(store: fs.FileSystem, folder: str) -> dict[str, dict]:
+    """The manifests that count, by name: those no other one replaces."""
+    found = store.get_file_info(fs.FileSelector(f"{folder}/{_MANIFESTS}", allow_not_found=True))
+    read = {}
+    for info in found:
+        if info.base_name.endswith(".json"):
+            with store.open_input_file(info.path) as source:
+                read[info.base_name] = json.loads(source.read())
+    replaced = {name for m in read.values() for name in m["replaces"]}
+    return {name: m for name, m in sorted(read.items()) if name not in replaced}
 
 
 class WarcWriter(DataSourceArrowWriter):
-    def __init__(self, path: str) -> None:
-        self.path = path
+    def __init__(self, path: str, overwrite: bool) -> None:
+        self.path, self.overwrite = path, overwrite
 
     def write(self, batches: Iterator[pa.RecordBatch]) -> Written:
         store, folder = _place(self.path)
         store.create_dir(folder, recursive=True)
         date = datetime.now(timezone.utc).strftime("%Y-%m-%dT%H:%M:%SZ")
-        files, out, size = [], None, 0
+        files, out, name, size, marks = [], None, "", 0, []
         try:
             for batch in batches:
                 for row in batch.to_pylist():
-                    if out is None or size >= _ROLL:
-                        if out is not None:
-                            out.close()
-                        files.append(f"pages-{uuid.uuid4().hex}.warc.gz")
-                        out, size = store.open_output_stream(f"{folder}/{files[-1]}", compression=None), 0
+                    if out is not None and size >= _ROLL:
+                        out.close()
+                        files.append((name, size, marks))
+                        out = None
+                    if out is None:
+                        name, size, marks = f"pages-{uuid.uuid4().hex}.warc.gz", 0, [0]
+                        out = store.open_output_stream(f"{folder}/{name}", compression=None)
+                    if size - marks[-1] >= _MARK:
+                        marks.append(size)
                     data = member(page_record(row, date))
                     out.write(data)
                     size += len(data)
         finally:
             if out is not None:
                 out.close()
+        if out is not None:
+            files.append((name, size, marks))
         return Written(files)
 
     def commit(self, messages: list[Written | None]) -> None:
         store, folder = _place(self.path)
-        store.create_dir(folder, recursive=True)
-        files = [name for m in messages if m is not None for name in m.files]
-        with store.open_output_stream(f"{folder}/{_MANIFEST}", compression=None) as out:
-            out.write(json.dumps(sorted(files)).encode())
+        store.create_dir(f"{folder}/{_MANIFESTS}", recursive=True)
+        files = sorted(f for m in messages if m is not None for f in m.files)
+        replaces = sorted(_manifests(store, folder)) if self.overwrite else []
+        name = f"{folder}/{_MANIFESTS}/{uuid.uuid4().hex}"
+        with store.open_output_stream(f"{name}.part", compression=None) as out:
+            out.write(json.dumps({"files": files, "replaces": replaces}).encode())
+        store.move(f"{name}.part", f"{name}.json")
 
     def abort(self, messages: list[Written | None]) -> None:
         store, folder = _place(self.path)
-        for name in [n for m in messages if m is not None for n in m.files]:
+        for name, _, _ in [f for m in messages if m is not None for f in m.files]:
             store.delete_file(f"{folder}/{name}")
 
 
 @dataclass
 class Files(InputPartition):
-    names: list[str]
+    """Parts of files: name, and the offsets between which the records to read start."""
+
+    parts: list[tuple[str, int, int]]
 
 
 class _Stream:
@@ -203,10 +231,14 @@ def _headers(data: bytes) -> dict[str, str]:
     return {name.strip().lower(): value.strip() for name, value in pairs}
 
 
-def records(stream: _Stream, wanted, payloads: bool) -> Iterator[tuple[dict[str, str], bytes | None]]:
-    """(headers, block) of the wanted records; the block is the HTTP headers only if payloads are not asked for."""
-    offset, end = 0, b"\r\n\r\n"
-    while offset < stream.size:
+def records(
+    stream: _Stream, wanted, payloads: bool, offset: int = 0, stop: int | None = None
+) -> Iterator[tuple[dict[str, str], bytes | None]]:
+    """(headers, block) of the wanted records that start between two offsets; the block is the HTTP headers only if
+    payloads are not asked for."""
+    end = b"\r\n\r\n"
+    stop = stream.size if stop is None else stop
+    while offset < stop:
         if stream.at(offset, 2) == b"\x1f\x8b":
             start, length = _member_start(stream, offset)
             data, after = _inflated(stream, offset, start, end)
@@ -246,8 +278,8 @@ def _inflated_upto(stream: _Stream, offset: int, start: int, data: bytes) -> byt
 class WarcReader(DataSourceReader):
     """Takes equality and membership filters on header columns, and leaves the others to Spark."""
 
-    def __init__(self, path: str, payloads: bool, files: list[str] | None) -> None:
-        self.path, self.payloads, self.files = path, payloads, files
+    def __init__(self, path: str, payloads: bool, tasks: int = 1) -> None:
+        self.path, self.payloads, self.tasks = path, payloads, tasks
         self.wanted: dict[str, set[str]] = {}
 
     def pushFilters(self, filters: list[Filter]) -> Iterator[Filter]:
@@ -260,18 +292,31 @@ class WarcReader(DataSourceReader):
             else:
                 yield f
 
-    def partitions(self) -> list[Files]:
+    def _files(self) -> list[tuple[str, int, list[int]]]:
+        """Names, sizes and known record starts."""
         store, folder = _place(self.path)
-        with store.open_input_file(f"{folder}/{_MANIFEST}") as source:
-            names = json.loads(source.read())
-        sizes = {info.base_name: info.size for info in store.get_file_info([f"{folder}/{n}" for n in names])}
-        planned, held, size = [], [], 0
-        for name in names:
-            if held and size + sizes[name] > _PLAN:
-                planned.append(Files(held))
-                held, size = [], 0
-            held.append(name)
-            size += sizes[name]
+        manifests = _manifests(store, folder)
+        if manifests:
+            return [(name, size, marks) for m in manifests.values() for name, size, marks in m["files"]]
+        top = store.normalize_path(folder).rstrip("/")
+        found = store.get_file_info(fs.FileSelector(top, recursive=True))
+        names = [(i.path[len(top) :].lstrip("/"), i.size) for i in found if i.path.endswith((".warc", ".warc.gz"))]
+        return [(n, size, [0]) for n, size in sorted(names) if not any(p[0] in "._" for p in n.split("/"))]
+
+    def partitions(self) -> list[Files]:
+        files = self._files()
+        most = min(_PLAN, max(1, -(-sum(size for _, size, _ in files) // self.tasks)))
+        planned, held, total = [], [], 0
+        for name, size, marks in files:
+            for start, stop in zip(marks, [*marks[1:], size]):
+                if held and total + stop - start > most:
+                    planned.append(Files(held))
+                    held, total = [], 0
+                if held and held[-1][0] == name and held[-1][2] == start:
+                    held[-1] = (name, held[-1][1], stop)
+                else:
+                    held.append((name, start, stop))
+                total += stop - start
         return [*planned, Files(held)] if held or not planned else planned
 
     def read(self, partition: Files) -> Iterator[pa.RecordBatch]:
@@ -279,9 +324,9 @@ class WarcReader(DataSourceReader):
         wanted = {_HEADERS[c].lower(): values for c, values in self.wanted.items()}
         test = lambda headers: all(headers.get(n) in values for n, values in wanted.items())
         rows, size = [], 0
-        for name in partition.names:
+        for name, start, stop in partition.parts:
             with store.open_input_file(f"{folder}/{name}") as source:
-                for headers, block in records(_Stream(source), test, self.payloads):
+                for headers, block in records(_Stream(source), test, self.payloads, start, stop):
                     rows.append(self._row(headers, block))
                     size += len(block)
                     if size >= 1 << 23 or len(rows) >= 5000:
@@ -292,8 +337,14 @@ class WarcReader(DataSourceReader):
 
     def _row(self, headers: dict[str, str], block: bytes) -> dict:
         row = {c: headers.get(name.lower()) for c, name in _HEADERS.items()}
-        http, _, payload = block.partition(b"\r\n\r\n")
-        row["payload_bytes"] = int(_headers(http + b"\r\n\r\n").get("content-length", len(payload)))
+        is_http = headers.get("content-type", "").startswith("application/http")
+        http, parted, payload = block.partition(b"\r\n\r\n") if is_http else (b"", b"", block)
+        if row["record_type"] == "revisit":
+            # The payload is elsewhere; its length is what the HTTP headers say.
+            said = _headers(http + b"\r\n\r\n").get("content-length", "")
+            row["payload_bytes"] = int(said) if said.isdecimal() else len(payload)
+        else:
+            row["payload_bytes"] = int(headers["content-length"]) - len(http) - len(parted)
         digest = row["payload_digest"] or ""
         row["payload_digest"] = digest.removeprefix("sha1:") or None
         row["payload"] = payload if self.payloads and row["record_type"] != "revisit" else None
@@ -309,7 +360,8 @@ def _batch(rows: list[dict]) -> pa.RecordBatch:
 
 
 class WarcSource(DataSource):
-    """``spark.read.format("warc").option("payloads", "false").load(folder)``; see ``SCHEMA``."""
+    """``spark.read.format("warc").option("payloads", "false").load(folder)``; see ``SCHEMA``. ``tasks`` is how many
+    parts a small archive is read in."""
 
     @classmethod
     def name(cls) -> str:
@@ -319,10 +371,11 @@ class WarcSource(DataSource):
         return SCHEMA
 
     def reader(self, schema: T.StructType) -> WarcReader:
-        return WarcReader(self.options["path"], self.options.get("payloads", "true") == "true", None)
+        tasks = int(self.options.get("tasks", "1"))
+        return WarcReader(self.options["path"], self.options.get("payloads", "true") == "true", tasks)
 
     def writer(self, schema: T.StructType, overwrite: bool) -> WarcWriter:
-        return WarcWriter(self.options["path"])
+        return WarcWriter(self.options["path"], overwrite)
 
 
 def register(spark: SparkSession) -> None:
@@ -334,8 +387,10 @@ def _record_id(page: Column, digest: Column) -> Column:
     return F.format_string("<urn:page:%s:%s>", F.coalesce(page.cast("string"), F.lit("")), digest)
 
 
-def archive(pages: DataFrame, path: str, page_id: str = "page_id", url: str = "url", html: str = "html", least: int = 1000) -> None:
-    """Write a record per row of ``pages`` under ``path``.
+def archive(
+    pages: DataFrame, path: str, page_id: str = "page_id", url: str = "url", html: str = "html", least: int = 1000, mode: str = "append"
+) -> None:
+    """Write a record per row of ``pages`` under ``path``, beside what is there or, with mode ``overwrite``, in its place.
 
     The payload is the html in UTF-8, empty if null. Of rows with one payload of ``least`` bytes or more, those with
     the largest page id are responses and the others revisit it; smaller payloads are all responses, as is a row
@@ -366,7 +421,7 @@ def archive(pages: DataFrame, path: str, page_id: str = "page_id", url: str = "u
         "payload_bytes",
         F.when(~revisit, F.col("payload")).alias("payload"),
     )
-    rows.write.format("warc").mode("append").save(path)
+    rows.write.format("warc").mode(mode).save(path)
 
 
 def new_archive(spark: SparkSession) -> str:
@@ -381,4 +436,5 @@ def page_number(record_id: Column) -> Column:
 
 def read(spark: SparkSession, path: str, payloads: bool = True) -> DataFrame:
     register(spark)
-    return spark.read.format("warc").option("payloads", str(payloads).lower()).load(path)
+    tasks = spark.sparkContext.defaultParallelism
+    return spark.read.format("warc").option("payloads", str(payloads).lower()).option("tasks", tasks).load(path)

@@ -42,7 +42,7 @@ def test_filters_reach_the_reader(spark, tmp_path):
     some = df.filter((F.col("record_type") == "revisit") & F.col("target_uri").isin("http://h/1", "http://h/7"))
     assert [r["payload_bytes"] for r in some.collect()] == [2000]
     assert "EqualTo" not in str(some._jdf.queryExecution().executedPlan()) or some.count() == 1
-    reader = warc.WarcReader(path, False, None)
+    reader = warc.WarcReader(path, False)
     from pyspark.sql.datasource import EqualTo, GreaterThan, In
 
     left = list(reader.pushFilters([EqualTo(("record_type",), "response"), GreaterThan(("payload_bytes",), 3), In(("target_uri",), ("a", "b")), EqualTo(("payload_digest",), "x")]))
@@ -93,3 +93,65 @@ def test_only_committed_files_are_read(spark, tmp_path):
     path = written(spark, tmp_path, [(1, "u", "h")])
     (tmp_path / "archive" / "pages-lost.warc.gz").write_bytes(b"half a record")
     assert warc.read(spark, path).count() == 1
+
+
+def pages(found):
+    return sorted(int(r["record_id"].split(":")[2]) for r in found.select("record_id").collect())
+
+
+def test_commits_add_up_and_overwriting_replaces_them(spark, tmp_path):
+    path = written(spark, tmp_path, [(1, "u", "a"), (2, "u", "b")])
+    more = spark.createDataFrame([(3, "u", "c")], "page_id bigint, url string, html string")
+    warc.archive(more, path)
+    assert pages(warc.read(spark, path)) == [1, 2, 3]
+    warc.archive(more.withColumn("page_id", F.lit(4)), path, mode="overwrite")
+    assert pages(warc.read(spark, path)) == [4]
+    warc.archive(more, path)
+    assert pages(warc.read(spark, path)) == [3, 4]
+
+
+def foreign(kind, n, block, content_type):
+    head = f"WARC/1.0\r\nWARC-Type: {kind}\r\nWARC-Record-ID: <urn:page:{n}:x>\r\nContent-Type: {content_type}\r\nContent-Length: {len(block)}\r\n\r\n"
+    return head.encode() + block + b"\r\n\r\n"
+
+
+def test_folders_made_elsewhere_are_read(spark, tmp_path):
+    (tmp_path / "in" / "deep").mkdir(parents=True)
+    http = b"HTTP/1.1 200 OK\r\nContent-Length: 99\r\n\r\nhello"
+    some = [foreign("warcinfo", 0, b"software: x\r\n\r\nmore", "application/warc-fields"), foreign("response", 1, http, "application/http; msgtype=response")]
+    (tmp_path / "in" / "a.warc.gz").write_bytes(b"".join(gzip.compress(r) for r in some))
+    (tmp_path / "in" / "deep" / "b.warc").write_bytes(foreign("response", 2, b"HTTP/1.1 200 OK\r\n\r\n", "application/http"))
+    (tmp_path / "in" / "other.txt").write_text("none")
+    for payloads in (True, False):
+        found = warc.read(spark, f"file://{tmp_path}/in", payloads).collect()
+        got = {r["record_id"].split(":")[2]: (r["record_type"], r["payload_bytes"], r["payload"] and bytes(r["payload"])) for r in found}
+        assert got["1"] == ("response", 5, b"hello" if payloads else None)
+        assert got["2"][:2] == ("response", 0) and got["0"][:2] == ("warcinfo", 19)
+
+
+def test_a_payload_larger_than_a_batch(spark, tmp_path):
+    df = spark.range(6).select(
+        F.col("id").alias("page_id"), F.lit("u").alias("url"),
+        F.when(F.col("id") == 3, F.repeat(F.lit("0123456789abcdef"), 1_200_000)).otherwise(F.repeat(F.sha2(F.col("id").cast("string"), 256), 100)).alias("html"),
+    )
+    path = f"file://{tmp_path}/archive"
+    warc.archive(df.coalesce(1), path)
+    large = warc.read(spark, path).filter("payload_bytes > 16000000").select("payload_bytes", F.sha1("payload").alias("d"), "payload_digest").collect()
+    assert [(r["payload_bytes"], r["d"] == r["payload_digest"]) for r in large] == [(19_200_000, True)]
+
+
+def test_files_are_read_in_parts_from_known_starts(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(warc, "_MARK", 3000)
+    (tmp_path / "a").mkdir()
+    rows = [{"record_type": "response", "record_id": f"<urn:page:{i}:x>", "target_uri": "u", "refers_to": None, "payload_digest": "x",
+             "payload_bytes": 1000, "payload": os.urandom(1000)} for i in range(60)]
+    import pyarrow as pa
+
+    writer = warc.WarcWriter(f"{tmp_path}/a", False)
+    writer.commit([writer.write(iter([pa.RecordBatch.from_pylist(rows)]))])
+    for tasks in (1, 4, 1000):
+        reader = warc.WarcReader(f"{tmp_path}/a", True, tasks)
+        planned = reader.partitions()
+        read = [r["record_id"] for part in planned for batch in reader.read(part) for r in batch.to_pylist()]
+        assert sorted(read) == sorted(r["record_id"] for r in rows)
+        assert len(planned) == 1 if tasks == 1 else 4 <= len(planned) <= 20
