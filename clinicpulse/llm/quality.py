@@ -1,8 +1,8 @@
 """A quality classifier: hashed word and character n-gram vectors, averaged per document, then softmax.
 
 Every word (lower-cased), every word that repeats the one before it, and every run of 3 to 5 characters within a word
-and its bounds has a learned vector in a hashed table; a document is the mean of its vectors. Training is stochastic gradient descent in numpy over a bounded
-sample of labelled rows. Scoring folds the output layer into the table, so that a document costs one look-up per
+and its bounds has a learned vector in a hashed table; a document is the mean of its vectors. Training is stochastic
+gradient descent in numpy over a bounded sample of labelled rows. Scoring folds the output layer into the table, so that a document costs one look-up per
 feature; it covers the whole text and runs as an Arrow UDF beside the scan, without a shuffle.
 """
 
@@ -14,15 +14,17 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from clinicpulse.llm.frames import bounded_batches
+from clinicpulse.llm.frames import bounded_batches, quoted
 from clinicpulse.llm.hashing import mix, word_hashes
+from clinicpulse.operators.staging import stage
 
 _SLOTS = np.random.Generator(np.random.PCG64(21)).integers(1, 1 << 63, 8, dtype=np.uint64) | np.uint64(1)
 
 
 @dataclass(frozen=True)
 class Settings:
-    """``rows`` bounds the labelled rows that are learnt from, ``features`` the distinct features kept of each.
+    """``rows`` and ``slots`` bound the labelled rows that are learnt from: their number, and the distinct features of all
+    of them together (8 bytes each), which the driver holds. A row is learnt from whole or not at all.
 
     ``steps`` counts single documents: few labelled rows are gone over again until it is reached.
     """
@@ -30,7 +32,7 @@ class Settings:
     bits: int = 17
     dim: int = 8
     rows: int = 4000
-    features: int = 2048
+    slots: int = 40_000_000
     steps: int = 12_000
     rate: float = 1.0
     seed: int = 5
@@ -113,33 +115,36 @@ def descend(rows: list[tuple[np.ndarray, np.ndarray, int]], settings: Settings)
 def train(docs: DataFrame, labels: DataFrame, id_column: str, text: str, label: str, settings: Settings) -> Model:
     """Learn ``label`` (0 or 1) from the texts of the labelled ``docs``.
 
-    At most ``settings.rows`` labelled rows are learnt from, those whose ids hash lowest, and of a row at most
-    ``settings.features`` distinct features, those that hash lowest; null ids and labels teach nothing. With no
-    labelled row every score is 0.5, with one label only it is near that label.
+    Learnt from are the labelled rows whose ids hash lowest, at most ``settings.rows`` of them and no more than have
+    ``settings.slots`` distinct features together, each with its whole text; null ids and labels teach nothing. With
+    no labelled row every score is 0.5, with one label only it is near that label.
     """
     bounded_batches(docs.sparkSession)
-    bits, most = settings.bits, settings.features
+    bits = settings.bits
 
     @F.arrow_udf("struct<slots:binary,counts:binary>")
     def packed(texts: pa.Array) -> pa.Array:
         slots, counts = [], []
         for raw in texts.cast(pa.binary()).to_pylist():
             ids, n = np.unique(feature_ids(raw, bits), return_counts=True)
-            if len(ids) > most:
-                kept = np.sort(np.argsort(mix(ids.astype(np.uint64)), kind="stable")[:most])
-                ids, n = ids[kept], n[kept]
             slots.append(ids.astype(np.int32).tobytes())
             counts.append(n.astype(np.int32).tobytes())
         return pa.StructArray.from_arrays([pa.array(slots, pa.binary()), pa.array(counts, pa.binary())], ["slots", "counts"])
 
-    known = labels.select(F.col(id_column).alias("_id"), F.col(label).cast("int").alias("_y"))
+    known = labels.select(quoted(id_column).alias("_id"), quoted(label).cast("int").alias("_y"))
     known = known.filter("_id IS NOT NULL AND _y IN (0, 1)")
     sample = known.orderBy(F.xxhash64("_id"), "_id", "_y").limit(settings.rows)
-    texts = docs.select(F.col(id_column).alias("_id"), F.col(text).alias("_text"))
+    texts = docs.select(quoted(id_column).alias("_id"), quoted(text).alias("_text"))
     # The sample's size is bounded by the setting, whatever the tables hold.
     found = texts.join(F.broadcast(sample), "_id").select("_id", "_y", packed("_text").alias("f"))
-    rows = found.select("_id", "_y", "f.slots", "f.counts").collect()
-    rows.sort(key=lambda r: (r["_id"], r["_y"], bytes(r["slots"])))
+    found = found.select("_y", "f.slots", "f.counts", F.xxhash64("_id", "_y", "f.slots").alias("_place"))
+    found = stage(found.withColumn("_n", F.octet_length("slots") / 4), "features")
+    # A pair of numbers per row tells up to which place the rows fit.
+    fitting = found.select("_place", "_n").orderBy("_place").limit(settings.rows).collect()
+    ends = np.cumsum([r["_n"] for r in fitting])
+    kept = [r["_place"] for r, end in zip(fitting, ends) if end <= settings.slots]
+    rows = found.filter(F.col("_place") <= (kept[-1] if kept else -(2**63))).limit(settings.rows).collect()
+    rows.sort(key=lambda r: (r["_place"], r["_y"], bytes(r["slots"])))
     read = lambda raw: np.frombuffer(bytes(raw), dtype=np.int32)
     return descend([(read(r["slots"]), read(r["counts"]), r["_y"]) for r in rows], settings)
 

@@ -63,7 +63,7 @@ def test_no_labels_and_one_label(spark):
 
 def test_bounds_hold_and_training_repeats(spark):
     docs, labels = small()
-    a, b = (trained(spark, docs, labels, rows=60, features=20, steps=180) for _ in range(2))
+    a, b = (trained(spark, docs, labels, rows=60, slots=200, steps=180) for _ in range(2))
     assert (a.weights == b.weights).all() and a.bias == b.bias
     assert a.score(b"stone cloud") > a.score(b"BUY!! $$$")
 
@@ -85,3 +85,55 @@ def test_features_stay_within_words():
     assert len(ids("ab")) == 1 + 2 + 1
     assert ids("é€🙂") != ids("é€") and len(ids("")) == 0
     assert ids("go go").count(0) == ids("go").count(0) * 2 + 1
+
+
+def test_descent_agrees_with_a_plain_one():
+    """Fifty rows, one number at a time: same table, same order, same steps."""
+    docs, labels = small(50)
+    settings = quality.Settings(bits=6, dim=3, steps=150)
+    rows = [(*np.unique(quality.feature_ids(t.encode(), 6), return_counts=True), y) for (_, t), (_, y, _) in zip(docs, labels)]
+    model = quality.descend(rows, settings)
+    rng = np.random.default_rng(settings.seed)
+    table = [[float(v) for v in row] for row in rng.uniform(-1, 1, (64, 3)) / 3]
+    share = sum(y for _, _, y in rows) / 50
+    out, bias, done = [[0.0, 0.0] for _ in range(3)], [np.log(1 - share), np.log(share)], 0
+    while done < 150:
+        for at in rng.permutation(50)[: 150 - done]:
+            slots, counts, label = rows[at]
+            rate = 1 - done / 150
+            done += 1
+            total = sum(counts)
+            part = [c / total for c in counts]
+            mean = [sum(p * table[s][k] for p, s in zip(part, slots)) for k in range(3)]
+            z = [sum(mean[k] * out[k][j] for k in range(3)) + bias[j] for j in (0, 1)]
+            top = [np.exp(v - max(z)) for v in z]
+            wrong = [v / sum(top) - (j == label) for j, v in enumerate(top)]
+            back = [sum(out[k][j] * wrong[j] for j in (0, 1)) for k in range(3)]
+            norm = np.sqrt(sum(p * p for p in part))
+            for k in range(3):
+                for j in (0, 1):
+                    out[k][j] -= rate * mean[k] * wrong[j]
+                for p, s in zip(part, slots):
+                    table[s][k] -= rate * p / norm * back[k]
+            bias = [b - 0.01 * rate * w for b, w in zip(bias, wrong)]
+    weights = [sum(row[k] * (out[k][1] - out[k][0]) for k in range(3)) for row in table]
+    assert np.allclose(model.weights, weights, atol=1e-5) and model.bias == pytest.approx(bias[1] - bias[0])
+
+
+def test_rows_are_learnt_whole_within_the_bounds(spark, monkeypatch):
+    docs, labels = small()
+    docs.append((500, " ".join(f"word{i}" for i in range(20_000))))
+    labels.append((500, 1, ""))
+    seen = []
+    plain = quality.descend
+    monkeypatch.setattr(quality, "descend", lambda rows, settings: seen.append(rows) or plain(rows, settings))
+    trained(spark, docs, labels, bits=16)
+    trained(spark, docs, labels, bits=16, slots=1500)
+    trained(spark, docs, labels, bits=16, rows=20)
+    trained(spark, docs, labels, bits=16, slots=0)
+    sizes = [sorted(len(slots) for slots, _, _ in rows) for rows in seen]
+    assert len(sizes[0]) == 121 and sizes[0][-1] == len(np.unique(quality.feature_ids(docs[-1][1].encode(), 16))) > 20_000
+    assert 0 < sum(sizes[1]) <= 1500 and len(sizes[2]) == 20 and sizes[3] == []
+    # A column name may hold a dot.
+    frame = spark.createDataFrame(docs, "`d.id` bigint, `the.text` string"), spark.createDataFrame(labels, "`d.id` bigint, `q.q` int, x string")
+    assert quality.train(*frame, "d.id", "the.text", "q.q", quality.Settings(bits=16)).score(b"stone river") > 0.7
