@@ -116,8 +116,8 @@ def train(docs: DataFrame, labels: DataFrame, id_column: str, text: str, label:
     """Learn ``label`` (0 or 1) from the texts of the labelled ``docs``.
 
     Learnt from are the labelled rows whose ids hash lowest, at most ``settings.rows`` of them and no more than have
-    ``settings.slots`` distinct features together, each with its whole text; null ids and labels teach nothing. With
-    no labelled row every score is 0.5, with one label only it is near that label.
+    ``settings.slots`` distinct features together, each with its whole text; null ids and labels teach nothing,
+    repeated rows once. With no labelled row every score is 0.5, with one label only it is near that label.
     """
     bounded_batches(docs.sparkSession)
     bits = settings.bits
@@ -138,15 +138,17 @@ def train(docs: DataFrame, labels: DataFrame, id_column: str, text: str, label:
     # The sample's size is bounded by the setting, whatever the tables hold.
     found = texts.join(F.broadcast(sample), "_id").select("_id", "_y", packed("_text").alias("f"))
     found = found.select("_y", "f.slots", "f.counts", F.xxhash64("_id", "_y", "f.slots").alias("_place"))
-    found = stage(found.withColumn("_n", F.octet_length("slots") / 4), "features")
+    found = stage(found.withColumn("_n", F.octet_length("slots") / 4).dropDuplicates(["_place"]), "features")
     # A pair of numbers per row tells up to which place the rows fit.
     fitting = found.select("_place", "_n").orderBy("_place").limit(settings.rows).collect()
     ends = np.cumsum([r["_n"] for r in fitting])
     kept = [r["_place"] for r, end in zip(fitting, ends) if end <= settings.slots]
-    rows = found.filter(F.col("_place") <= (kept[-1] if kept else -(2**63))).limit(settings.rows).collect()
-    rows.sort(key=lambda r: (r["_place"], r["_y"], bytes(r["slots"])))
-    read = lambda raw: np.frombuffer(bytes(raw), dtype=np.int32)
-    return descend([(read(r["slots"]), read(r["counts"]), r["_y"]) for r in rows], settings)
+    chosen = found.filter(F.col("_place") <= (kept[-1] if kept else -(2**63)))
+    read = lambda raw: np.frombuffer(raw, dtype=np.int32)
+    # A part at a time, so that the driver holds the rows once.
+    rows = [(r["_place"], read(r["slots"]), read(r["counts"]), r["_y"]) for r in chosen.toLocalIterator()]
+    rows.sort(key=lambda r: r[0])
+    return descend([r[1:] for r in rows], settings)
 
 
 def score(model: Model, text: Column) -> Column:
