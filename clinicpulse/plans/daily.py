@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Collection, Mapping, Sequence
 from datetime import date, timedelta
+from functools import partial
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 
@@ -11,7 +12,7 @@ from clinicpulse import params as P
 from clinicpulse.functions import periods, scalars
 from clinicpulse.operators import staging
 from clinicpulse.params import AppointmentParams, ReportParams, RevenueParams
-from clinicpulse.plans import appointments, counts, identity, mau, noshow, presence, revenue, upkeep, yoy
+from clinicpulse.plans import appointments, clustering, counts, identity, mau, noshow, presence, revenue, upkeep, yoy
 from clinicpulse.sources import ingest, landing, specs
 from clinicpulse.sources.hits import HitIndex
 from clinicpulse.sources.keyfilter import KeyFilter
@@ -101,6 +102,14 @@ class Warehouse:
             named[name] = getattr(self, name)
         return named | {"user_numbers": self.numbers.table} | {name: self.figure(name) for name in FIGURES}
 
+    def clustered_by(self, name: str) -> list[str]:
+        """What a table's large partitions are clustered by: time and device for events, nothing for others."""
+        for spec in specs.all_specs().values():
+            if name == f"{spec.name}/events":
+                device = {"client_id", "appmetrica_device_id"} & {f.target for f in spec.fields}
+                return [spec.time, *device]
+        return []
+
     @property
     def report(self) -> VersionedTable:
         return VersionedTable(self.spark, f"{self.root}/no_show_dashboard", noshow.SCHEMA)
@@ -407,8 +416,17 @@ def run_report(w: Warehouse, t: Mapping[str, DataFrame], report_params: ReportPa
     w.report.expire()
 
 
-def run_upkeep(w: Warehouse) -> dict[str, int]:
-    """Merge small files of the warehouse's tables; how many partitions of each were rewritten."""
-    rewritten = {name: upkeep.merge_partitions(table) for name, table in w.tables().items()}
+def run_upkeep(w: Warehouse, file_bytes: int = upkeep.FILE_BYTES) -> dict[str, int]:
+    """Merge small files of the warehouse's tables and cluster large partitions of events by time and device.
+
+    Returns how many partitions of each were rewritten. What is clustered and was not added to since is left alone.
+    """
+    rewritten = {}
+    for name, table in w.tables().items():
+        by = w.clustered_by(name)
+        settled = partial(clustering.clustered, columns=by)
+        rewritten[name] = upkeep.merge_partitions(table, file_bytes, settled)
+        if by:
+            rewritten[name] += clustering.cluster_partitions(table, by, file_bytes)
     w.report.expire()
     return {name: n for name, n in rewritten.items() if n}

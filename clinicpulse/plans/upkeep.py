@@ -5,7 +5,7 @@ from __future__ import annotations
 import re
 import time
 import uuid
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterator, Sequence
 from datetime import timedelta
 from functools import reduce
 
@@ -56,50 +56,65 @@ def worth_merging(sizes: Sequence[int], file_bytes: int = FILE_BYTES) -> bool:
     return len(small) > 1 and len(sizes) > files_needed(sizes, file_bytes)
 
 
-def _is_data(file: files.Listed) -> bool:
-    return not file.is_folder and file.name[0] not in "._"
-
-
-def partition_files(spark: SparkSession, folder: str, depth: int) -> Iterator[tuple[tuple[str | None, ...], list[int]]]:
-    """Values of each partition ``depth`` folders below, as text, and the sizes of its files."""
+def partitions(
+    spark: SparkSession, folder: str, depth: int
+) -> Iterator[tuple[tuple[str | None, ...], str, list[files.Listed]]]:
+    """Values of each partition ``depth`` folders below, as text, its folder, and what lies in it."""
     unescape = spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.unescapePathName
     if not depth:
-        yield (), [f.size for f in files.listed(spark, folder) if _is_data(f)]
+        yield (), folder, files.listed(spark, folder)
         return
     for inner in files.listed(spark, folder):
         if inner.is_folder and "=" in inner.name:
             text = unescape(inner.name.split("=", 1)[1])
             value = None if text == "__HIVE_DEFAULT_PARTITION__" else text
-            for rest, sizes in partition_files(spark, inner.path, depth - 1):
-                yield (value, *rest), sizes
+            for rest, path, found in partitions(spark, inner.path, depth - 1):
+                yield (value, *rest), path, found
 
 
-def merge_partitions(table: StateTable, file_bytes: int = FILE_BYTES) -> int:
-    """Rewrite the partitions of a state table that have too many small files, each as the files its bytes need.
+def partition_files(spark: SparkSession, folder: str, depth: int) -> Iterator[tuple[tuple[str | None, ...], list[int]]]:
+    """Values of each partition and the sizes of its files."""
+    for values, _, found in partitions(spark, folder, depth):
+        yield values, [f.size for f in found if f.is_data]
 
-    The files are listed on the driver, as every scan does. Other partitions are not opened. Returns how many
-    partitions were rewritten; readers should not be at work on those meanwhile.
-    """
-    spark, by = table.spark, table.partition_by
-    due = [
-        (*values, files_needed(sizes, file_bytes))
-        for values, sizes in partition_files(spark, table.path, len(by))
-        if worth_merging(sizes, file_bytes)
-    ]
-    if not due:
-        return 0
+
+def due_rows(table: StateTable, due: Sequence[tuple]) -> DataFrame:
+    """The rows of the partitions in ``due`` (their values as text, then a number, which becomes ``_files``)."""
+    by = table.partition_by
     shape = ", ".join([*[f"`_{c}` STRING" for c in by], "_files INT"])
-    wanted = spark.createDataFrame(due, shape)
+    wanted = table.spark.createDataFrame(list(due), shape)
     stored = table.read()
     first = sorted({d[0] for d in due if d[0] is not None})
     opened = F.col(by[0]).cast("string").isin(first)
     if any(d[0] is None for d in due):
         opened = opened | F.col(by[0]).isNull()
     same = reduce(lambda a, b: a & b, [F.col(c).cast("string").eqNullSafe(F.col(f"_{c}")) for c in by])
-    part = F.pmod(F.xxhash64(*stored.columns), F.col("_files")).alias("_part")
-    rows = stored.filter(opened).join(wanted, same).select(*stored.columns, part)
-    dealt = rows.repartition(sum(d[-1] for d in due), *by, "_part").drop("_part")
-    dealt.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*by).parquet(table.path)
+    return stored.filter(opened).join(wanted, same).select(*stored.columns, "_files")
+
+
+def merge_partitions(
+    table: StateTable,
+    file_bytes: int = FILE_BYTES,
+    settled: Callable[[Sequence[files.Listed]], bool] = lambda found: False,
+) -> int:
+    """Rewrite the partitions of a state table that have too many small files, each as the files its bytes need.
+
+    The files are listed on the driver, as every scan does. Other partitions are not opened, nor are those whose files
+    are ``settled`` otherwise. Returns how many partitions were rewritten; readers should not be at work on those
+    meanwhile.
+    """
+    due = []
+    for values, _, found in partitions(table.spark, table.path, len(table.partition_by)):
+        sizes = [f.size for f in found if f.is_data]
+        if worth_merging(sizes, file_bytes) and not settled(found):
+            due.append((*values, files_needed(sizes, file_bytes)))
+    if not due:
+        return 0
+    rows = due_rows(table, due)
+    hashed = [c for c in rows.columns if c != "_files"]
+    rows = rows.withColumn("_part", F.pmod(F.xxhash64(*hashed), F.col("_files"))).drop("_files")
+    dealt = rows.repartition(sum(d[-1] for d in due), *table.partition_by, "_part").drop("_part")
+    table.overwrite(dealt)
     return len(due)
 
 

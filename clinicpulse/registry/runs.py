@@ -10,7 +10,7 @@ from clinicpulse import bindings as B
 from clinicpulse import params as P
 from clinicpulse.functions import periods, scalars
 from clinicpulse.operators import staging
-from clinicpulse.plans import daily, identity
+from clinicpulse.plans import daily, identity, upkeep
 from clinicpulse.registry.analytics import ACCOUNT_ID, DEVICE, ID_COLUMNS, raw_mobile, raw_web, whole_month
 from clinicpulse.registry.base import day, query, time
 from clinicpulse.sources import ingest, landing, specs
@@ -214,3 +214,31 @@ def maintain_warehouse(spark: SparkSession, sf_dir: str) -> DataFrame:
     return days.groupBy("event_day").agg(
         F.sum("count").alias("rows"), (F.count(F.lit(1)) == 1).alias("one_file"), F.lit(bool(first) and not second).alias("left_alone")
     )
+
+
+@query(
+    "cluster_warehouse",
+    f"""
+    SELECT {DEVICE} AS device, count(*) AS rows, {time("min(date_trunc('second', ts))", 'first_time')},
+           true AS few_files, true AS left_alone
+    FROM events GROUP BY 1""",
+)
+def cluster_warehouse(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All events stored as one day of sixteen files, swept twice: by their footers at most half the files hold a device."""
+    spec, w = specs.mobile(), _warehouse(spark)
+    events = w.export(spec, spec.tables[0])
+    wide = ingest.normalise(raw_mobile(spark, sf_dir), spec).withColumn("uuid", F.expr("uuid()"))
+    events.append(wide.withColumn(ingest.EVENT_DAY, F.lit(date(2024, 1, 1))))
+    name = f"{spec.name}/events"
+    [(_, sizes)] = upkeep.partition_files(spark, events.path, 1)
+    first, second = daily.run_upkeep(w, sum(sizes) // 15), daily.run_upkeep(w, sum(sizes) // 15)
+    device = F.col("appmetrica_device_id")
+    spans = F.broadcast(  # One row per file.
+        events.read().groupBy(F.col("_metadata.file_name")).agg(F.min(device).alias("low"), F.max(device).alias("high"))
+    )
+    seen = events.read().groupBy(device.cast("string").alias("device"), device.alias("id")).agg(
+        F.count(F.lit(1)).alias("rows"), F.min("event_datetime").alias("first_time")
+    )
+    held = seen.join(spans, F.col("id").between(F.col("low"), F.col("high"))).groupBy("device", "rows", "first_time").count()
+    few = (F.col("count") <= spans.count() / 2).alias("few_files")
+    return held.select("device", "rows", "first_time", few, F.lit(first == {name: 1} and not second).alias("left_alone"))

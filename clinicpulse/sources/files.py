@@ -15,6 +15,10 @@ class Listed:
     changed_ms: int
     is_folder: bool
 
+    @property
+    def is_data(self) -> bool:
+        return not self.is_folder and self.name[0] not in "._"
+
 
 def _opened(spark: SparkSession, path: str):
     place = spark._jvm.org.apache.hadoop.fs.Path(path)

@@ -41,9 +41,12 @@ class StateTable:
 
     def replace_partitions(self, df: DataFrame) -> None:
         """Replace the partitions ``df`` has rows for; the others stay."""
+        self.overwrite(self._balanced(df))
+
+    def overwrite(self, df: DataFrame) -> None:
+        """The same with the files as ``df`` is dealt out."""
         (
-            self._balanced(df)
-            .write.mode("overwrite")
+            df.write.mode("overwrite")
             .option("partitionOverwriteMode", "dynamic")
             .partitionBy(*self.partition_by)
             .parquet(self.path)

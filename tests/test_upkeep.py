@@ -1,14 +1,16 @@
 """Counts that merge over days, and files that are merged by size."""
 
-from datetime import date, timedelta
+from datetime import date, datetime, timedelta
+from urllib.parse import unquote
 
+import pyarrow.parquet as pq
 from pyspark.sql import functions as F
 
 from clinicpulse import bindings as B
 from clinicpulse import params as P
 from clinicpulse.functions.periods import Months
 from clinicpulse.operators import staging
-from clinicpulse.plans import counts, mau, upkeep
+from clinicpulse.plans import clustering, counts, mau, upkeep
 from clinicpulse.sources import files
 from clinicpulse.sources.state import StateTable
 
@@ -119,3 +121,73 @@ def test_old_copies_go_once_nothing_points_to_them(spark, tmp_path):
         assert len(files.listed(spark, folder)) == 1 and spark.table(name).count() == 1500
     finally:
         spark.sql(f"DROP TABLE IF EXISTS {name}")
+
+
+# --- clustering -----------------------------------------------------------------------------------
+
+
+def test_bits_of_the_ranks_in_turn(spark):
+    pairs = spark.range(16 * 16).select((F.col("id") % 16).alias("a"), F.floor(F.col("id") / 16).alias("b"))
+    out = pairs.select("a", "b", clustering.interleaved([F.col("a"), F.col("b")], 4).alias("z")).collect()
+    weave = lambda a, b: int("".join(x + y for x, y in zip(f"{a:04b}", f"{b:04b}", strict=True)), 2)
+    assert {(r["a"], r["b"]): r["z"] for r in out} == {(a, b): weave(a, b) for a in range(16) for b in range(16)}
+
+
+def test_ranks_follow_the_cuts_at_or_below(spark):
+    values = [(None,), *[(v,) for v in (-5, 0, 1, 2, 3, 7, 8, 9, 100)]]
+    bounds = ["1", "3", "8"]
+    out = spark.createDataFrame(values, "v int").select("v", clustering.rank(F.col("v"), "int", bounds, 3).alias("r")).collect()
+    assert {r["v"]: r["r"] for r in out} == {v: 0 if v is None else 2 * sum(v >= int(b) for b in bounds) for (v,) in values}
+    assert {r["r"] for r in spark.range(3).select(clustering.rank(F.col("id"), "bigint", []).alias("r")).collect()} == {0}
+
+
+def footers(table):
+    spans = []
+    for path in table.read().inputFiles():
+        stats = pq.ParquetFile(unquote(path.removeprefix("file://"))).metadata
+        at = {stats.schema.column(i).name: i for i in range(stats.num_columns)}
+        groups = [stats.row_group(g) for g in range(stats.num_row_groups)]
+        spans.append({c: (min(g.column(i).statistics.min for g in groups), max(g.column(i).statistics.max for g in groups)) for c, i in at.items()})
+    return spans
+
+
+def test_footers_rule_out_most_files_by_either_column(spark, tmp_path):
+    table = StateTable(spark, str(tmp_path / "t"), "at timestamp_ntz, device string, n bigint, day string", ["day"])
+    # A third of the rows are of one device; one day has one small file.
+    n = F.col("id")
+    device = F.when(n % 3 == 0, F.lit("d-0333")).otherwise(F.format_string("d-%04d", F.pmod(F.xxhash64(n), F.lit(1000))))
+    at = F.expr("timestamp_ntz'2025-03-01 00:00:00' + make_dt_interval(0, 0, 0, id)")
+    made = spark.range(60_000).select(at.alias("at"), device.alias("device"), n.alias("n"))
+    table.append(made.withColumn("day", F.lit("a/b")))
+    small = spark.sql("SELECT timestamp_ntz'2025-03-01 00:00:00' AS at, CAST(NULL AS STRING) AS device, 1L AS n, CAST(NULL AS STRING) AS day")
+    table.append(small)
+    before = rows(table.read())
+    size = max(sum(sizes) for _, sizes in upkeep.partition_files(spark, table.path, 1))
+    assert clustering.cluster_partitions(table, ["at", "device"], size // 31) == 1
+    assert rows(table.read()) == before
+    spans = [s for s in footers(table) if s["n"] != (1, 1)]
+    holding = lambda c, v: sum(s[c][0] <= v <= s[c][1] for s in spans)
+    assert 30 <= len(spans) <= 36
+    for d in ("d-0001", "d-0250", "d-0500", "d-0999"):
+        assert holding("device", d) <= len(spans) / 2
+    for hour in (0, 7, 15):
+        assert holding("at", datetime(2025, 3, 1, hour)) <= len(spans) / 2
+
+
+def test_clustered_partitions_are_left_alone_until_rows_come(spark, tmp_path):
+    table = StateTable(spark, str(tmp_path / "t"), "v bigint, w string, a int", ["a"])
+    part = lambda n: spark.range(n).select(F.col("id").alias("v"), F.sha2(F.col("id").cast("string"), 256).alias("w"), F.lit(1).alias("a"))
+    table.append(part(20_000))
+    [(_, sizes)] = upkeep.partition_files(spark, table.path, 1)
+    cap, by = sum(sizes) // 4, ["v", "w"]
+    assert clustering.cluster_partitions(table, by, cap) == 1
+    names = set(table.read().inputFiles())
+    still = lambda found: clustering.clustered(found, by)
+    assert upkeep.merge_partitions(table, cap, still) == 0 and clustering.cluster_partitions(table, by, cap) == 0
+    assert set(table.read().inputFiles()) == names
+    # Other columns are another order; so are new rows.
+    assert clustering.cluster_partitions(table, ["w"], cap) == 1 and clustering.cluster_partitions(table, by, cap) == 1
+    table.append(part(10))
+    assert clustering.cluster_partitions(table, by, cap) == 1 and table.read().count() == 20_010
+    empty = StateTable(spark, str(tmp_path / "none"), "v bigint, a int", ["a"])
+    assert clustering.cluster_partitions(empty, ["v"], cap) == 0
