@@ -11,6 +11,7 @@ covered part of the item, in whatever order the document has them.
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -27,6 +28,8 @@ _INVERSE = pow(_BASE, -1, 1 << 64)
 _MAX_BITS = 1 << 29
 _BITS_PER_SEED = 64
 _PLACES = 4
+# Matches are found in portions of about this many, and laid in blocks.
+_PORTION, _BLOCK = 1 << 20, 4096
 
 
 @dataclass(frozen=True)
@@ -45,36 +48,90 @@ class _Running:
         up = np.cumprod(np.r_[np.uint64(1), np.full(n, _BASE, dtype=np.uint64)], dtype=np.uint64)
         self.down = np.cumprod(np.r_[np.uint64(1), np.full(n, _INVERSE, dtype=np.uint64)], dtype=np.uint64)
         self.sums = np.r_[np.uint64(0), np.cumsum(words * up[:n], dtype=np.uint64)]
-        self.words = words
+        self.words, self.free = words, np.ones(n, dtype=bool)
 
-    def runs(self, length: int, free: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    def hashes(self, starts: np.ndarray, length: int | np.ndarray) -> np.ndarray:
+        return (self.sums[starts + length] - self.sums[starts]) * self.down[starts]
+
+    def runs(self, length: int) -> tuple[np.ndarray, np.ndarray]:
         """Starts of the unmarked runs of ``length``, and their hashes."""
-        marked = np.r_[0, np.cumsum(~free)]
+        marked = np.r_[0, np.cumsum(~self.free)]
         starts = np.flatnonzero(marked[length:] == marked[:-length])
-        return starts, (self.sums[starts + length] - self.sums[starts]) * self.down[starts]
-
-
-def _matches(a: _Running, b: _Running, free_a: np.ndarray, free_b: np.ndarray, length: int) -> list[tuple[int, int, int]]:
-    """Maximal unmarked common runs of at least ``length`` words, as (size, start in a, start in b)."""
-    at_a, hash_a = a.runs(length, free_a)
-    at_b, hash_b = b.runs(length, free_b)
-    order = np.argsort(hash_a, kind="stable")
-    low, high = np.searchsorted(hash_a[order], hash_b, "left"), np.searchsorted(hash_a[order], hash_b, "right")
-    found: dict[int, list[int]] = {}
-    for j in np.flatnonzero(high > low):
-        for i in at_a[order[low[j] : high[j]]]:
-            # Equal runs side by side lie on one diagonal.
-            found.setdefault(int(at_b[j]) - int(i), []).append(int(i))
-    out = []
-    for shift, starts in found.items():
-        starts.sort()
-        begin = last = starts[0]
-        for i in [*starts[1:], -1]:
-            if i != last + 1:
-                out.append((last - begin + length, begin, begin + shift))
-                begin = i
-            last = i
-    return out
+        return starts, self.hashes(starts, length)
+
+    def room(self) -> np.ndarray:
+        """How many unmarked words follow from each place on."""
+        n = len(self.free)
+        stops = np.where(self.free, n, np.arange(n))
+        return np.minimum.accumulate(stops[::-1])[::-1] - np.arange(n)
+
+
+def _starts(a: _Running, b: _Running, length: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Where common unmarked runs of ``length`` begin that cannot be extended to the left, in bounded portions.
+
+    Runs with equal hashes and equal unmarked words before them only continue an earlier one. They are left out by
+    their place in the sorted order, without ever being paired: n and m equal words begin n + m common runs, not n * m.
+    """
+    at_a, hash_a = a.runs(length)
+    at_b, hash_b = b.runs(length)
+    if not len(at_a):
+        return
+    known = np.unique(hash_a)
+    place = np.minimum(np.searchsorted(known, hash_b), len(known) - 1)
+    shared = known[place] == hash_b
+    at_b, place_b = at_b[shared], place[shared]
+    before = np.unique(a.words)
+
+    def kind(side: _Running, at: np.ndarray, none: int) -> np.ndarray:
+        """The word before each run as a number; ``none`` where it is marked, missing, or not in the item."""
+        word = side.words[at - 1]
+        number = np.minimum(np.searchsorted(before, word), len(before) - 1)
+        return np.where((at > 0) & side.free[at - 1] & (before[number] == word), number, none)
+
+    kinds = len(before) + 2
+    key = np.searchsorted(known, hash_a) * kinds + kind(a, at_a, kinds - 2)
+    order = np.argsort(key, kind="stable")
+    at_a, key = at_a[order], key[order]
+    low, high = np.searchsorted(key, place_b * kinds), np.searchsorted(key, (place_b + 1) * kinds)
+    same = place_b * kinds + kind(b, at_b, kinds - 1)
+    left, right = np.searchsorted(key, same, "left"), np.searchsorted(key, same, "right")
+    first, second = left - low, high - right
+    total = np.cumsum(first + second)
+    begin = 0
+    while begin < len(at_b):
+        done = total[begin - 1] if begin else 0
+        end = max(int(np.searchsorted(total, done + _PORTION, "right")), begin + 1)
+        n, m = first[begin:end], second[begin:end]
+        count = n + m
+        nth = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
+        skip = np.where(nth < np.repeat(n, count), np.repeat(low[begin:end], count), np.repeat(right[begin:end] - n, count))
+        yield at_a[skip + nth], np.repeat(at_b[begin:end], count)
+        begin = end
+
+
+def _matches(a: _Running, b: _Running, length: int) -> tuple[np.ndarray, bool]:
+    """Maximal unmarked common runs of at least ``length`` words, longest first: rows of (size, start in a, start in b).
+
+    At most ``2 * _PORTION`` are held. If there are more, these are the first ones in order and the second value says
+    that others wait.
+    """
+    room_a, room_b = a.room(), b.room()
+    held, waiting = np.zeros((0, 3), dtype=np.int64), False
+    for i, j in _starts(a, b, length):
+        # The longest size whose hashes agree, by halving.
+        low, high = np.full(len(i), length), np.minimum(room_a[i], room_b[j])
+        while (low < high).any():
+            middle = (low + high + 1) // 2
+            equal = a.hashes(i, middle) == b.hashes(j, middle)
+            low, high = np.where(equal, middle, low), np.where(equal, high, middle - 1)
+        held = np.r_[held, np.stack([low, i, j], axis=1)]
+        if len(held) > 2 * _PORTION:
+            held, waiting = _ordered(held)[:_PORTION], True
+    return _ordered(held), waiting
+
+
+def _ordered(matches: np.ndarray) -> np.ndarray:
+    return matches[np.lexsort((matches[:, 2], matches[:, 1], -matches[:, 0]))]
 
 
 def tiles(item: np.ndarray, document: np.ndarray, width: int) -> list[tuple[int, int, int]]:
@@ -85,19 +142,22 @@ def tiles(item: np.ndarray, document: np.ndarray, width: int) -> list[tuple[int,
     if min(len(item), len(document)) < width:
         return []
     a, b = _Running(item), _Running(document)
-    free_a, free_b = np.ones(len(item), dtype=bool), np.ones(len(document), dtype=bool)
     laid: list[tuple[int, int, int]] = []
     length = max(width, min(len(item), len(document)))
     while True:
-        matches = sorted(_matches(a, b, free_a, free_b, length), key=lambda m: (-m[0], m[1], m[2]))
-        again = False
-        for size, i, j in matches:
+        matches, again = _matches(a, b, length)
+        for at in range(0, len(matches), _BLOCK):
+            size, i, j = matches[at : at + _BLOCK].T
+            # Tiles laid before are as long at least, so one that overlaps a match covers an end of it.
+            open_ = a.free[i] & a.free[i + size - 1] & b.free[j] & b.free[j + size - 1]
             # What is left of a match after longer tiles is searched anew, at this length or a smaller one.
-            if free_a[i : i + size].all() and free_b[j : j + size].all():
-                free_a[i : i + size] = free_b[j : j + size] = False
-                laid.append((size, i, j))
-            else:
-                again = True
+            again |= not open_.all()
+            for s, x, y in matches[at : at + _BLOCK][open_].tolist():
+                if a.free[x] and a.free[x + s - 1] and b.free[y] and b.free[y + s - 1]:
+                    a.free[x : x + s] = b.free[y : y + s] = False
+                    laid.append((s, x, y))
+                else:
+                    again = True
         if again:
             continue
         if length == width:

@@ -61,6 +61,27 @@ def test_distinct_words_leave_no_ties():
         assert sum(s for s, _, _ in laid) == greedy(item, doc, 5)
 
 
+def test_equal_words_are_not_paired():
+    item, doc = word_hashes(b"x " * 1000 + b"y"), word_hashes(b"x " * 300_000)
+    assert tiling.tiles(item, doc, 5) == [(1000, 0, 0)]
+    started = sum(len(i) for i, _ in tiling._starts(tiling._Running(item), tiling._Running(doc), 500))
+    assert started <= len(item) + len(doc)
+
+
+def test_portions_do_not_change_the_tiles(monkeypatch):
+    rng = random.Random(8)
+    pairs = [([rng.choice("ab") for _ in range(50)], [rng.choice("abc") for _ in range(400)]) for _ in range(30)]
+    hashed = [[word_hashes(" ".join(x).encode()) for x in pair] for pair in pairs]
+    whole = [sum(s for s, _, _ in tiling.tiles(a, b, 4)) for a, b in hashed]
+    monkeypatch.setattr(tiling, "_PORTION", 20)
+    monkeypatch.setattr(tiling, "_BLOCK", 7)
+    for (item, doc), (a, b), covered in zip(pairs, hashed, whole, strict=True):
+        laid = tiling.tiles(a, b, 4)
+        assert len({i + k for s, i, _ in laid for k in range(s)}) == len({j + k for s, _, j in laid for k in range(s)})
+        assert all(item[i : i + s] == doc[j : j + s] and s >= 4 for s, i, j in laid)
+        assert abs(sum(s for s, _, _ in laid) - covered) <= 4
+
+
 def found(spark, docs, items, **more):
     df = spark.createDataFrame(docs, "doc_id bigint, text string, item_id string, covered int, words int")
     out = tiling.coverage(df, spark.createDataFrame(items, "item_id bigint, text string, item int"), **more)
