@@ -1,11 +1,13 @@
 """Line dedup with levelled sorted runs of line hashes; DataFrame operations only.
 
-A run is a table of (hash, documents), bucketed and sorted by hash. Each batch of documents adds one run; when a level
-holds enough of them they are merged into one run of the next level, bucket by bucket and without a shuffle. A batch
-is cleaned by merge-joining its line hashes with the runs: lines whose key the runs count often enough go.
+A run is a table of (hash, documents), bucketed and sorted by hash. A level holds a few of them; then they are merged into
+one run of the next level, bucket by bucket and without a shuffle. Each batch of documents is counted per hash, merge-
+anti-joined with the keys that the runs count often enough, and what remains is added as a run of its own: a key that is
+settled is not counted again. A key's documents may lie in any batch, so the lines of an input meet the settled keys in
+a second look, once all its batches are in. Runs may be kept for later inputs, which are then cleaned against them.
 
 Only hashes and positions are shuffled to find the lines; texts move once, to meet their own positions. Keys so hot
-that a few thousand of them at most can exist are broadcast, so that no task gets one line's rows.
+that a few thousand of them at most can exist in a batch are broadcast, so that no task gets one line's rows.
 """
 
 from __future__ import annotations
@@ -39,7 +41,7 @@ def line_hashes(text: Column, min_chars: int) -> Column:
 class LineRuns:
     """Levels of sorted runs: a level holds fewer than ``fanout`` runs, the next level's run merges that many."""
 
-    def __init__(self, spark: SparkSession, fanout: int = 3) -> None:
+    def __init__(self, spark: SparkSession, fanout: int = 2) -> None:
         self.spark, self.fanout = spark, fanout
         self.buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
         self.levels: list[list[str]] = []
@@ -51,10 +53,39 @@ class LineRuns:
         ).saveAsTable(name)
         return name
 
-    def add(self, hashes: DataFrame) -> None:
-        """Count a batch's hashes, one row per document and key, and keep them as a new run."""
+    def add(self, hashes: DataFrame, settled_at: int | None = None) -> DataFrame:
+        """Count a batch's hashes, one row per document and key, and keep them as a new run.
+
+        Keys that the runs count ``settled_at`` times already are left out; None counts on. Returns the batch's hot keys,
+        fewer than ``_HOT``.
+        """
         counted = hashes.groupBy("hash").agg(F.count(F.lit(1)).alias("documents"))
-        self._put(self._write(counted.repartition(self.buckets, "hash")), 0)
+        batch = self._write(counted.repartition(self.buckets, "hash"))
+        rows = self.spark.table(batch)
+        size = rows.agg(F.sum("documents")).first()[0] or 0
+        hot = stage(rows.filter(F.col("documents") > size / _HOT).select("hash"), "hot")
+        if settled_at is not None and self.levels:
+            rows = self.unsettled(batch, settled_at)
+            own = self._write(rows)
+            self.spark.sql(f"DROP TABLE {batch}")
+            batch = own
+        self._put(batch, 0)
+        return hot
+
+    def unsettled(self, batch: str, settled_at: int) -> DataFrame:
+        """A batch's rows without the keys that the runs settle, by merge joins with each run.
+
+        The batch's buckets line up with those of every run and stay so from join to join: nothing is shuffled.
+        """
+        rows, known = self.spark.table(batch), F.lit(0)
+        for at, name in enumerate(self.names()):
+            run = self.spark.table(name).withColumnRenamed("documents", f"known_{at}")
+            rows = rows.join(run.hint("merge"), "hash", "left")
+            known = known + F.coalesce(f"known_{at}", F.lit(0))
+        return rows.filter(known < settled_at).select("hash", "documents")
+
+    def names(self) -> list[str]:
+        return [name for level in self.levels for name in level]
 
     def _put(self, run: str, level: int) -> None:
         if len(self.levels) <= level:
@@ -68,7 +99,7 @@ class LineRuns:
             self._put(merged, level + 1)
 
     def _merge(self, runs: list[str]) -> DataFrame:
-        """Merge-join bucketed runs pairwise; the buckets line up, so nothing is shuffled."""
+        """Merge-join bucketed runs; the buckets of two line up, so nothing is shuffled. A third one would shuffle."""
 
         def both(left: DataFrame, right: DataFrame) -> DataFrame:
             right = right.withColumnRenamed("documents", "more")
@@ -79,12 +110,12 @@ class LineRuns:
 
     def totals(self) -> DataFrame | None:
         """Each hash once, with the documents that hold it; None before the first batch."""
-        runs = [name for level in self.levels for name in level]
+        runs = self.names()
         return self._merge(runs) if runs else None
 
     def drop(self) -> None:
         """Take the runs out of the catalog; their files go with the shared folder."""
-        for name in [name for level in self.levels for name in level]:
+        for name in self.names():
             self.spark.sql(f"DROP TABLE {name}")
         self.levels = []
 
@@ -96,46 +127,81 @@ def without_frequent_lines(
     min_documents: int = 10,
     min_chars: int = 1,
     batches: int = 4,
+    runs: LineRuns | None = None,
 ) -> tuple[DataFrame, str, str, str]:
     """``docs`` with three columns added: the text without frequent lines, its lines before, and the lines dropped.
 
     Returns the frame and the three names, which avoid those of ``docs``. A line goes, in every document, if its key
     is in at least ``min_documents`` rows. A null or empty text is one empty line, which stays; each row is a document
     of its own, also if rows repeat. Without rows nothing is frequent.
+
+    With ``runs`` the documents of earlier inputs count as well, and this input's runs are added for later ones: a
+    later input is cleaned against all before it. Lines of an earlier input that only a later one makes frequent are
+    found by a second look, ``without_settled_lines``.
     """
-    spark = docs.sparkSession
+    held = LineRuns(docs.sparkSession) if runs is None else runs
+    hashed = _hashed(docs, id_column, text, min_chars)
+    hot = []
+    for batch in range(batches):
+        rows = hashed.filter(F.pmod("row_a", F.lit(batches)) == batch)
+        once = rows.select(F.explode(F.array_distinct("hashes")).alias("hash")).filter("hash IS NOT NULL")
+        hot.append(held.add(once, min_documents))
+    frequent = stage(held.totals().filter(F.col("documents") >= min_documents).select("hash"), "frequent")
+    if runs is None:
+        held.drop()
+    # A key hot in the whole input is hot in a batch.
+    return _dropped(docs, hashed, frequent, reduce(DataFrame.unionAll, hot).distinct(), id_column, text)
+
+
+def without_settled_lines(
+    docs: DataFrame,
+    runs: LineRuns,
+    id_column: str = "doc_id",
+    text: str = "text",
+    min_documents: int = 10,
+    min_chars: int = 1,
+) -> tuple[DataFrame, str, str, str]:
+    """The same for documents that the runs have counted already: their lines meet the runs, which stay as they are."""
+    hashed = _hashed(docs, id_column, text, min_chars)
+    lines = hashed.select(F.explode(F.array_distinct("hashes")).alias("hash")).filter("hash IS NOT NULL")
+    counted = stage(lines.groupBy("hash").agg(F.count(F.lit(1)).alias("documents")), "counted")
+    size = counted.agg(F.sum("documents")).first()[0] or 0
+    known = runs.totals()
+    if known is None:
+        known = counted.limit(0)
+    frequent = stage(known.filter(F.col("documents") >= min_documents).select("hash"), "frequent")
+    return _dropped(docs, hashed, frequent, counted.filter(F.col("documents") > size / _HOT).select("hash"), id_column, text)
+
+
+def _row_key(id_column: str, text: str) -> tuple[Column, Column]:
+    """Rows with one id and text have the same lines, so they may share these."""
+    whole = F.coalesce(quoted(text), F.lit(""))
+    return F.xxhash64(quoted(id_column), whole), F.xxhash64(F.lit(1), quoted(id_column), whole)
+
+
+def _hashed(docs: DataFrame, id_column: str, text: str, min_chars: int) -> DataFrame:
+    row_a, row_b = _row_key(id_column, text)
+    hashes = line_hashes(F.coalesce(quoted(text), F.lit("")), min_chars)
+    return stage(docs.select(row_a.alias("row_a"), row_b.alias("row_b"), hashes.alias("hashes")), "line-hashes")
+
+
+def _dropped(
+    docs: DataFrame, hashed: DataFrame, frequent: DataFrame, hot: DataFrame, id_column: str, text: str
+) -> tuple[DataFrame, str, str, str]:
+    """``docs`` without their frequent lines. ``hot`` has fewer than ``_HOT`` keys per batch, whatever the input."""
     kept, total, dropped = fresh(docs, "kept_text"), fresh(docs, "lines_before"), fresh(docs, "lines_dropped")
     row_a, row_b, gone = fresh(docs, "_row_a"), fresh(docs, "_row_b"), fresh(docs, "_gone")
     whole = F.coalesce(quoted(text), F.lit(""))
-    # Rows with one id and text have the same lines, so they may share these.
-    same_row = (F.xxhash64(quoted(id_column), whole), F.xxhash64(F.lit(1), quoted(id_column), whole))
-
-    hashed = docs.select(
-        same_row[0].alias("row_a"),
-        same_row[1].alias("row_b"),
-        F.pmod(same_row[0], F.lit(batches)).alias("batch"),
-        line_hashes(whole, min_chars).alias("hashes"),
-    )
-    hashed = stage(hashed, "line-hashes")
-
-    runs = LineRuns(spark)
-    for batch in range(batches):
-        once = hashed.filter(F.col("batch") == batch).select(F.explode(F.array_distinct("hashes")).alias("hash"))
-        runs.add(once.filter("hash IS NOT NULL"))
-    frequent = stage(runs.totals().filter(F.col("documents") >= min_documents), "frequent")
-    runs.drop()
-
-    size = hashed.agg(F.sum(F.size("hashes"))).first()[0] or 0
-    # Fewer than _HOT rows, whatever the input.
-    hot = F.broadcast(frequent.filter(F.col("documents") > size / _HOT).select("hash"))
-    cold = frequent.filter(F.col("documents") <= size / _HOT).select("hash")
+    warm = F.broadcast(stage(frequent.join(F.broadcast(hot), "hash", "left_semi"), "warm"))
+    cold = frequent.join(warm, "hash", "left_anti")
     lines = hashed.select("row_a", "row_b", F.posexplode("hashes").alias("position", "hash")).filter("hash IS NOT NULL")
-    found = lines.join(hot, "hash", "left_semi").unionByName(
-        lines.join(hot, "hash", "left_anti").join(cold, "hash", "left_semi")
+    found = lines.join(warm, "hash", "left_semi").unionByName(
+        lines.join(warm, "hash", "left_anti").join(cold, "hash", "left_semi")
     )
     places = stage(found.groupBy("row_a", "row_b").agg(F.collect_set("position").alias("places")), "places")
 
-    marked = docs.withColumn(row_a, same_row[0]).withColumn(row_b, same_row[1])
+    at_a, at_b = _row_key(id_column, text)
+    marked = docs.withColumn(row_a, at_a).withColumn(row_b, at_b)
     near = places.select(
         F.col("row_a").alias(row_a), F.col("row_b").alias(row_b), F.col("places").alias(gone)
     )

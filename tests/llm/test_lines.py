@@ -62,6 +62,39 @@ def test_runs_merge_by_levels(spark):
     assert "Exchange hashpartitioning" not in plan and "SortMergeJoin" in plan
 
 
+def test_batches_leave_out_what_the_runs_settle(spark):
+    runs = LineRuns(spark)
+    for batch in range(5):
+        runs.add(spark.createDataFrame([(h,) for h in [1, 1, 2, 10 + batch]], "hash bigint"), 4)
+    # Key 1 is settled after two batches; key 2 after four, so the fifth adds neither.
+    assert {r["hash"]: r["documents"] for r in runs.totals().collect()} == {1: 4, 2: 4, **{10 + b: 1 for b in range(5)}}
+    more = LineRuns(spark, fanout=9)
+    for _ in range(4):
+        more.add(spark.createDataFrame([(1,), (2,)], "hash bigint"))
+    plan = more.unsettled(more.names()[0], 3)
+    assert plan.collect() == [] and len(more.unsettled(more.names()[0], 5).collect()) == 2
+    text = plan._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in text and text.count("SortMergeJoin") >= 4
+
+
+def test_later_inputs_are_cleaned_against_earlier_runs(spark):
+    runs, schema = LineRuns(spark), "doc_id bigint, text string"
+    inputs = [[(10 * n + i, f"shared\nown {n} {i}\nin {'two' if n < 2 else 'last'}") for i in range(4)] for n in range(3)]
+    seen = []
+    for n, rows in enumerate(inputs):
+        df, kept, _, dropped = lines.without_frequent_lines(spark.createDataFrame(rows, schema), min_documents=5, batches=2, runs=runs)
+        out = {r["doc_id"]: r[kept] for r in df.collect()}
+        seen += rows
+        all_before = {r[0]: r[3] for r in expected(seen, 5)}
+        assert out == {r[0]: all_before[r[0]] for r in rows}
+        # A second look gives earlier inputs what they would have come to with all of them.
+        df, kept, _, _ = lines.without_settled_lines(spark.createDataFrame(seen, schema), runs, min_documents=5)
+        assert {r["doc_id"]: r[kept] for r in df.collect()} == all_before
+    df, _, _, dropped = lines.without_settled_lines(spark.createDataFrame(seen, schema), LineRuns(spark), min_documents=5)
+    assert {r[dropped] for r in df.collect()} == {0}
+    runs.drop()
+
+
 def test_very_long_text(spark):
     rows = [(1, "\n".join(["same", *[f"line {i}" for i in range(50_000)]])), (2, "same")]
     out = found(spark, rows, 2)
