@@ -233,7 +233,7 @@ def cluster_warehouse(spark: SparkSession, sf_dir: str) -> DataFrame:
     [(_, sizes)] = upkeep.partition_files(spark, events.path, 1)
     first, second = daily.run_upkeep(w, sum(sizes) // 15), daily.run_upkeep(w, sum(sizes) // 15)
     device = F.col("appmetrica_device_id")
-    spans = F.broadcast(  # One row per file.
+    spans = F.broadcast(  # A row per file, and the sweep makes some sixteen files whatever the table's size.
         events.read().groupBy(F.col("_metadata.file_name")).agg(F.min(device).alias("low"), F.max(device).alias("high"))
     )
     seen = events.read().groupBy(device.cast("string").alias("device"), device.alias("id")).agg(
