@@ -12,7 +12,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, functions as F
 
 # The kinds, in the order that settles equal starts.
-KINDS = ("email", "ip", "card", "phone", "iban", "ssn")
+KINDS = ("email", "ip", "card", "phone", "iban", "ssn", "private_key", "access_key", "secret")
 BASE_KINDS = KINDS[:4]
 
 _CONTEXT = 40
@@ -76,6 +76,29 @@ def _mod97(value: Column) -> Column:
     return F.length(bare).between(15, 34) & (F.aggregate(F.split(moved, ""), F.lit(0), step) == 1)
 
 
+_BASE62 = "0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz"
+
+
+def _crc_of_token(value: Column) -> Column:
+    """The check of tokens that end in the CRC-32 of their thirty random signs, in six digits of base 62."""
+    body, end = F.substring(value, 5, 30), F.substring(value, 35, 6)
+    place = lambda sign: F.instr(F.lit(_BASE62), sign).cast("bigint") - 1
+    given = F.aggregate(F.split(end, ""), F.lit(0).cast("bigint"), lambda rest, sign: rest * 62 + place(sign))
+    return ~F.startswith(value, F.lit("gh")) | (given == F.crc32(body.cast("binary")))
+
+
+def _random(value: Column) -> Column:
+    """Letters and digits mixed, with three bits or more to a sign: no word, number or rule made of one sign."""
+    signs = F.split(value, "")
+
+    def bits(sum_: Column, sign: Column) -> Column:
+        share = F.size(F.filter(signs, lambda s: s == sign)) / F.size(signs)
+        return sum_ - share * F.log2(share)
+
+    mixed = F.rlike(value, F.lit("[0-9]")) & F.rlike(value, F.lit("[A-Za-z]"))
+    return mixed & (F.aggregate(F.array_distinct(signs), F.lit(0.0), bits) >= 3.0)
+
+
 @dataclass(frozen=True)
 class Detector:
     """``gate`` is a cheap test that a text may hold the kind at all; ``score`` what a confirmed span has by itself.
@@ -139,6 +162,31 @@ DETECTORS = (
         0.3,
         "ssn|social security",
     ),
+    Detector(
+        "private_key",
+        lambda text: F.contains(text, F.lit("PRIVATE KEY-----")),
+        r"-----BEGIN\x20((?:[A-Z0-9]{1,20}\x20){0,3})PRIVATE\x20KEY-----[^-]*+(?:-(?!----)[^-]*+){0,64}+-----END\x20\1PRIVATE\x20KEY-----",
+        lambda value: F.lit(True),
+        0.9,
+        "key",
+    ),
+    Detector(
+        "access_key",
+        lambda text: F.rlike(text, F.lit("A[KS]IA|gh[pousr]_")),
+        r"(?<![A-Za-z0-9_])(?:A[KS]IA[A-Z0-9]{16}|gh[pousr]_[A-Za-z0-9]{36})(?![A-Za-z0-9_])",
+        _crc_of_token,
+        0.9,
+        "key|token",
+    ),
+    # No checksum either: signs without an order, and a word nearby that says what they are.
+    Detector(
+        "secret",
+        _has_digit,
+        r"(?<![A-Za-z0-9_+/-])[A-Za-z0-9_+/-]{20,200}+(?![A-Za-z0-9_+/-])={0,2}",
+        _random,
+        0.3,
+        r"(?:[a-z]+[_-])?(?:token|secret|password|passwd|credential|bearer|api[ _-]?key)s?",
+    ),
 )
 
 _SPAN = "array<struct<kind:string,rank:int,start:int,end:int,score:double,value:string>>"
@@ -183,17 +231,29 @@ def spans(text: Column) -> Column:
     """All accepted spans of a text: array of (kind, rank, start, end, score, value), by start, then by kind.
 
     Places are code points, ends exclusive. Spans of ``BASE_KINDS`` always stay; a span of another kind needs a score
-    of ``ACCEPT`` and must not overlap one of them. A null or empty text has none.
+    of ``ACCEPT`` and must not overlap one of them, a ``secret`` no span at all. A null or empty text has none.
     """
     text = F.coalesce(text, F.lit(""))
-    base = F.concat(*[_found(text, d) for d in DETECTORS if d.kind in BASE_KINDS])
-    more = F.concat(*[_found(text, d) for d in DETECTORS if d.kind not in BASE_KINDS])
 
-    def apart(span: Column) -> Column:
-        return ~F.exists(base, lambda b: (b["start"] < span["end"]) & (span["start"] < b["end"]))
+    def of(kinds: tuple[str, ...]) -> Column:
+        return F.concat(*[_found(text, d) for d in DETECTORS if d.kind in kinds])
+
+    def apart(spans: Column, others: Column) -> Column:
+        free = lambda s: ~F.exists(others, lambda o: (o["start"] < s["end"]) & (s["start"] < o["end"]))
+        return F.filter(spans, lambda s: (s["score"] >= ACCEPT) & free(s))
+
+    def bound(value: Column, use: Callable[[Column], Column]) -> Column:
+        """``value`` computed once, however often ``use`` names it."""
+        return F.transform(F.array(value), use)[0]
+
+    def settled(parts: Column) -> Column:
+        known = F.concat(parts["base"], apart(parts["more"], parts["base"]))
+        return bound(known, lambda spans: F.concat(spans, apart(parts["secret"], spans)))
 
-    kept = F.filter(more, lambda s: (s["score"] >= ACCEPT) & apart(s))
-    order = F.transform(F.concat(base, kept), lambda s: F.struct(s["start"].alias("start_"), s["rank"].alias("rank_"), s.alias("span")))
+    more = tuple(k for k in KINDS if k not in BASE_KINDS and k != "secret")
+    parts = F.struct(of(BASE_KINDS).alias("base"), of(more).alias("more"), of(("secret",)).alias("secret"))
+    kept = bound(parts, settled)
+    order = F.transform(kept, lambda s: F.struct(s["start"].alias("start_"), s["rank"].alias("rank_"), s.alias("span")))
     return F.transform(F.array_sort(order), lambda s: s["span"])
 
 
