@@ -232,9 +232,10 @@ def _met(blocks: DataFrame, threshold: float) -> DataFrame:
     return dealt.mapInArrow(meet, "node bigint, links bigint, low bigint")
 
 
-def _usable(vector: Column, id_: Column, label: Column, length: int) -> Column:
+def _usable(vector: Column, id_: Column, label: Column) -> Column:
     finite = F.forall(vector, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
-    return id_.isNotNull() & label.isNotNull() & (F.size(vector) == length) & finite & F.exists(vector, lambda x: x != 0)
+    usable = id_.isNotNull() & label.isNotNull() & finite & F.exists(vector, lambda x: x != 0)
+    return F.coalesce(usable, F.lit(False))
 
 
 def near_duplicates(
@@ -242,11 +243,10 @@ def near_duplicates(
 ) -> DataFrame:
     """One row per row of ``table``: its id, ``n_links``, ``component_id`` and ``kept``.
 
-    Vectors of one label link if their cosine reaches the threshold; ``n_links`` counts the other rows linked
-    directly, copies too, and the component is the smallest id reachable. A row links with nothing if its id or label
-    is null, or its vector is null, empty, zero, holds a null or non-finite number, or has not the most common length
-    (the larger, if equally common). Other columns are not read. Ids are bigint; rows that repeat an id are one node,
-    with the links of all its vectors.
+    Vectors of one label and one length link if their cosine reaches the threshold; ``n_links`` counts the other rows
+    linked directly, copies too, and the component is the smallest id reachable. A row links with nothing if its id or
+    label is null, or its vector is null, empty, zero or holds a null or non-finite number. Other columns are not
+    read. Ids are bigint; rows that repeat an id are one node, with the links of all its vectors.
     """
     spark = table.sparkSession
     bounded_batches(spark)
@@ -255,15 +255,12 @@ def near_duplicates(
         quoted(vector).cast("array<double>").alias("vector"),
         quoted(label).cast("string").alias("label"),
     )
-    lengths = rows.filter(F.size("vector") > 0).groupBy(F.size("vector").alias("length")).count()
-    common = lengths.orderBy(F.desc("count"), F.desc("length")).first()
-    length = common["length"] if common else 0
-    sound = _usable(F.col("vector"), F.col("id"), F.col("label"), length)
+    sound = _usable(F.col("vector"), F.col("id"), F.col("label"))
     # Two hashes name a vector; 0.0 and -0.0 hash alike.
     plain = F.transform("vector", lambda x: x + F.lit(0.0))
     rows = rows.select(
         "id",
-        "label",
+        F.concat_ws(":", F.size("vector").cast("string"), "label").alias("label"),
         sound.alias("sound"),
         F.xxhash64(plain).alias("d0"),
         F.xxhash64(F.lit(3), plain).alias("d1"),
@@ -275,16 +272,14 @@ def near_duplicates(
     chosen = rows.filter("sound").join(classes.withColumnRenamed("node", "id"), [*key, "id"]).dropDuplicates([*key])
     chosen = stage(chosen.select(F.col("id").alias("node"), "label", "weight", "vector"), "vectors")
 
-    count = chosen.count()
-    most = max(settings.sample // max(length, 1), 1)
-    sample = chosen.orderBy(F.xxhash64("node", "label"), "node", "label").limit(most).select("node", "label", "vector").toArrow()
-    if count:
+    linked = spark.createDataFrame([], "node bigint, links bigint, low bigint")
+    for alike, length, count in _by_length(chosen):
+        most = max(settings.sample // length, 1)
+        hashed = alike.orderBy(F.xxhash64("node", "label"), "node", "label").limit(most)
+        sample = hashed.select("node", "label", "vector").toArrow()
         grid = learn(_matrix(sample["vector"].combine_chunks()), count, settings)
-        grid = spark.sparkContext.broadcast(_reaching(chosen, grid, sample, settings))
-        linked = _linked(chosen, grid, settings)
-    else:
-        linked = spark.createDataFrame([], "node bigint, links bigint, low bigint")
-    linked = stage(linked, "met")
+        grid = spark.sparkContext.broadcast(_reaching(alike, grid, sample, settings))
+        linked = linked.unionByName(stage(_linked(alike, grid, settings), "met"))
     groups = stage(components(linked.select(F.col("node").alias("a"), F.col("low").alias("b"))), "groups")
 
     per_class = classes.join(linked.groupBy("node").agg(F.sum("links").alias("links")), "node", "left")
@@ -303,6 +298,19 @@ def near_duplicates(
     )
 
 
+def _by_length(chosen: DataFrame) -> Iterator[tuple[DataFrame, int, int]]:
+    """Vectors that can share a grid, with their length and number: those between two powers of two.
+
+    Zeros fill up the shorter ones, which changes no cosine and at most doubles them; there are as many grids as powers.
+    """
+    size = F.size("vector")
+    power = F.ceil(F.log2(size)).cast("int")
+    found = chosen.groupBy(power.alias("power")).agg(F.max(size).alias("length"), F.count(F.lit(1)).alias("n"))
+    for power_, length, n in sorted(tuple(r) for r in found.collect()):
+        zeros = F.array_repeat(F.lit(0.0), F.lit(length) - size)
+        yield chosen.filter(power == power_).withColumn("vector", F.concat("vector", zeros)), length, n
+
+
 def _linked(chosen: DataFrame, grid, settings: Settings) -> DataFrame:
     @F.arrow_udf("struct<unit:binary,own:bigint,visits:array<bigint>>")
     def placed(vectors: pa.Array) -> pa.Array:

@@ -66,23 +66,25 @@ def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+# Rows are documents, so they are numbered: ids may repeat.
 CHECKS["op9_line_dedup"] = r"""
-WITH line AS (
-    SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line,
-           unnest(range(len(string_split(coalesce(text, ''), chr(10))))) AS place
-    FROM documents
+WITH doc AS (
+    SELECT doc_id, coalesce(text, '') AS text, row_number() OVER () AS doc FROM documents
+), line AS (
+    SELECT doc, doc_id, unnest(string_split(text, chr(10))) AS line, unnest(range(len(string_split(text, chr(10))))) AS place
+    FROM doc
 ), keyed AS (
     SELECT *, translate(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
                         'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key
     FROM line
 ), frequent AS (
-    SELECT key FROM keyed WHERE length(key) >= 1 GROUP BY key HAVING count(DISTINCT doc_id) >= 10
+    SELECT key FROM keyed WHERE length(key) >= 1 GROUP BY key HAVING count(DISTINCT doc) >= 10
 ), marked AS (
     SELECT k.*, f.key IS NOT NULL AS gone FROM keyed k LEFT JOIN frequent f ON k.key = f.key
 )
 SELECT doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_dropped,
        sha256(coalesce(string_agg(line, chr(10) ORDER BY place) FILTER (NOT gone), '')) AS kept_sha256
-FROM marked GROUP BY doc_id
+FROM marked GROUP BY doc, doc_id
 """
 
 

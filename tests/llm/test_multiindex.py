@@ -9,13 +9,14 @@ INF, NAN = float("inf"), float("nan")
 def expected(rows, threshold=0.93):
     sound = []
     for id_, v, label in rows:
-        ok = id_ is not None and label is not None and v is not None and len(v) == len(rows[0][1])
+        ok = id_ is not None and label is not None and bool(v)
         ok = ok and all(x is not None and np.isfinite(x) for x in v) and any(x != 0 for x in v)
         sound.append(np.array(v, dtype=float) / np.linalg.norm(np.array(v, dtype=float)) if ok else None)
     counts, links = [0] * len(rows), []
     for i, a in enumerate(sound):
         for j in range(i):
-            if a is not None and sound[j] is not None and rows[i][2] == rows[j][2] and a @ sound[j] >= threshold:
+            b, same = sound[j], rows[i][2] == rows[j][2]
+            if a is not None and b is not None and same and len(a) == len(b) and a @ b >= threshold:
                 counts[i] += 1
                 counts[j] += 1
                 links.append((rows[i][0], rows[j][0]))
@@ -44,6 +45,16 @@ def test_agrees_with_all_pairs(spark):
     assert sum(r[1] for r in out) >= 0.99 * sum(r[1] for r in wanted)
 
 
+def test_vectors_of_every_length_are_compared(spark):
+    rows = []
+    for k, dim in enumerate((24, 5, 1, 17, 33, 16)):
+        rows += [(1000 * k + i, x.tolist(), int(i % 2)) for i, x in enumerate(vectors(k, 60, dim, 0.02))]
+    rows += [(9000, [*rows[0][1], 0.0], 0), (9001, [1.0], 0), (9002, [], 0)]
+    out = found(spark, rows, per_cell=8)
+    assert out == expected(rows)
+    assert {r[0] // 1000 for r in out if r[1]} == {0, 1, 2, 3, 4, 5, 9}
+
+
 def test_recall_at_the_threshold_itself():
     rng = np.random.default_rng(2)
     x = rng.normal(size=(4000, 32))
