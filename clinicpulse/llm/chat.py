@@ -1,8 +1,9 @@
 """Chat formatting: conversations rendered by a compiled template, with the spans a model is to learn marked.
 
-Rows are dealt by conversation and sorted by turn, then rendered as a stream: a conversation is never held whole, so
-its length does not matter, and many short ones share a task. Control strings inside texts and roles are escaped
-reversibly, so the formatted text can be read back turn by turn.
+Rows are sorted by conversation and turn over all tasks, and each task renders its range as a stream: a conversation is
+never held whole and a long one is rendered by many tasks, in parts that end with a turn. Control strings inside texts
+and roles are escaped reversibly, so the formatted text can be read back turn by turn, every part by itself. Only the
+digests of a conversation need its parts in order; one task hashes what was read back.
 """
 
 from __future__ import annotations
@@ -13,11 +14,12 @@ from collections.abc import Iterable, Iterator
 from itertools import groupby
 
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F, types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
 from clinicpulse.llm.frames import bounded_batches, quoted
-from clinicpulse.llm.template import compiled
+from clinicpulse.llm.template import compiled, walks_turn_by_turn
 
 _PART = 1 << 20
 START, END = "<|im_start|>", "<|im_end|>"
@@ -102,80 +104,144 @@ def _batched(rows: Iterator[tuple], schema: pa.Schema) -> Iterator[pa.RecordBatc
 def rendered(
     conversations: DataFrame, conv_id: str = "conv_id", turn: str = "turn", role: str = "role", text: str = "text", template: str = TEMPLATE
 ) -> DataFrame:
-    """(conv_id, part, formatted, learnt): each conversation's formatted text in parts of about a million signs, most
-    in one part, with the (start, end) code points of a part that a model is to learn.
+    """(conv_id, part, whole, formatted, learnt): each conversation's formatted text in parts of about a million signs,
+    in the order of ``part``, with the (start, end) code points of a part that a model is to learn.
 
     Null roles and texts count as empty. Null turns come first; equal turns go by role, then text, and repeated rows
     all stay. Rows with a null conversation are one conversation. Other columns are not read. A template may walk
-    over ``messages`` once.
+    over ``messages`` once. One that does nothing else is rendered turn by turn, on as many tasks as there are
+    shuffle partitions, and its parts are ``whole``: they begin and end with a turn. For any other a conversation is one
+    task's.
     """
-    bounded_batches(conversations.sparkSession)
+    spark = conversations.sparkSession
+    bounded_batches(spark)
     rows = conversations.select(
         quoted(conv_id).alias("conv_id"),
         quoted(turn).alias("turn"),
         F.coalesce(quoted(role), F.lit("")).alias("role"),
         F.coalesce(quoted(text), F.lit("")).alias("text"),
     )
-    dealt = rows.repartition("conv_id").sortWithinPartitions("conv_id", "turn", "role", "text")
-    id_type = rows.schema["conv_id"].dataType
-    schema = T.StructType.fromDDL("part int, formatted string, learnt array<struct<start:bigint,end:bigint>>")
-    schema = T.StructType([T.StructField("conv_id", id_type), *schema.fields])
+    by_turn = walks_turn_by_turn(template, FILTERS)
+    if by_turn:
+        # Ranges are cut by short keys in the same order; those of equal keys share a task.
+        parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+        short = F.when(F.length("role") < 64, F.substring("text", 1, 64))
+        dealt = rows.repartitionByRange(parts, "conv_id", "turn", F.substring("role", 1, 64), short)
+    else:
+        dealt = rows.repartition("conv_id")
+    dealt = dealt.sortWithinPartitions("conv_id", "turn", "role", "text")
+    fields = "part bigint, whole boolean, formatted string, learnt array<struct<start:bigint,end:bigint>>"
+    schema = T.StructType([rows.schema["conv_id"], *T.StructType.fromDDL(fields).fields])
     arrow = to_arrow_schema(schema)
 
     def render(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        write = compiled(template, FILTERS)
+        write, first = compiled(template, FILTERS), TaskContext.get().partitionId() << 32
+
+        def written(messages: Iterator[dict]) -> Iterator[tuple[str, bool, bool]]:
+            """Pieces, and whether a part may end after them."""
+            if not by_turn:
+                for piece, learnt in write({"messages": messages}):
+                    yield piece, learnt, True
+                return
+            for message in messages:
+                for piece, learnt in write({"messages": (message,)}):
+                    yield piece, learnt, False
+                yield "", False, True
 
         def parts() -> Iterator[tuple]:
             for conv, group in groupby(_streamed(batches), key=lambda r: r[0]):
                 messages = ({"role": r, "text": t} for _, _, r, t in group)
-                pieces, spans, at, part = [], [], 0, 0
-                for piece, learnt in write({"messages": messages}):
+                pieces, spans, at, part = [], [], 0, first
+                for piece, learnt, ends in written(messages):
                     if learnt and piece:
                         spans.append({"start": at, "end": at + len(piece)})
                     pieces.append(piece)
                     at += len(piece)
-                    if at >= _PART:
-                        yield conv, part, "".join(pieces), spans
+                    if ends and at >= _PART:
+                        yield conv, part, by_turn, "".join(pieces), spans
                         pieces, spans, at, part = [], [], 0, part + 1
-                if at or not part:
-                    yield conv, part, "".join(pieces), spans
+                if at or part == first:
+                    yield conv, part, by_turn, "".join(pieces), spans
 
         yield from _batched(parts(), arrow)
 
     return dealt.mapInArrow(render, schema)
 
 
+def _turns(parts: DataFrame) -> DataFrame:
+    """(conv_id, part, n, turns, loss, chars): what was read back of each part, its learnt text apart.
+
+    Whole parts are read where they lie; others are read in order, by conversation, as a turn may go on in the next.
+    """
+    fields = "part bigint, n bigint, turns string, loss string, chars bigint"
+    schema = T.StructType([parts.schema["conv_id"], *T.StructType.fromDDL(fields).fields])
+    arrow = to_arrow_schema(schema)
+    parts = parts.select("conv_id", "part", "formatted", "learnt", "whole")
+
+    def row(conv, part: int, read: list[tuple[str, str, str]], chars: int) -> tuple:
+        turns = "".join(f"{role}\n{text}\n" for role, text, _ in read)
+        return conv, part, len(read), turns, "".join(learnt for _, _, learnt in read), chars
+
+    def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows = _streamed(batches)
+        yield from _batched(
+            (row(c, part, list(read_back([(f, _marks(learnt))])), len(f)) for c, part, f, learnt, _ in rows), arrow
+        )
+
+    def in_order(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def conversations() -> Iterator[tuple]:
+            for conv, group in groupby(_streamed(batches), key=lambda r: r[0]):
+                chars = n = held = 0
+                read = []
+
+                def counted() -> Iterator[tuple]:
+                    nonlocal chars
+                    for _, _, formatted, learnt, _ in group:
+                        chars += len(formatted)
+                        yield formatted, _marks(learnt)
+
+                for turn in read_back(counted()):
+                    read.append(turn)
+                    held += len(turn[1])
+                    if held >= _PART:
+                        yield row(conv, n, read, 0)
+                        read, held, n = [], 0, n + 1
+                yield row(conv, n, read, chars)
+
+        yield from _batched(conversations(), arrow)
+
+    others = parts.filter(~F.col("whole")).repartition("conv_id").sortWithinPartitions("conv_id", "part")
+    return parts.filter("whole").mapInArrow(each, schema).unionByName(others.mapInArrow(in_order, schema))
+
+
+def _marks(learnt: list[dict]) -> list[tuple[int, int]]:
+    return [(s["start"], s["end"]) for s in learnt]
+
+
 def summaries(parts: DataFrame) -> DataFrame:
     """Each conversation's digests, read back from the parts that ``rendered`` made.
 
     ``turns_sha256`` covers role, line break, text, line break per turn; ``loss_sha256`` the learnt text alone, both
-    unescaped; ``formatted_chars`` counts the formatted text.
+    unescaped; ``formatted_chars`` counts the formatted text. The digests of a conversation are one task's work, as
+    they need its turns in order; what they cover is streamed through it, so its size does not matter.
     """
     bounded_batches(parts.sparkSession)
-    dealt = parts.repartition("conv_id").sortWithinPartitions("conv_id", "part")
+    dealt = _turns(parts).repartition("conv_id").sortWithinPartitions("conv_id", "part")
     digests = "n_turns bigint, turns_sha256 string, loss_chars bigint, loss_sha256 string, formatted_chars bigint"
-    schema = T.StructType([T.StructField("conv_id", parts.schema["conv_id"].dataType), *T.StructType.fromDDL(digests).fields])
+    schema = T.StructType([parts.schema["conv_id"], *T.StructType.fromDDL(digests).fields])
     arrow = to_arrow_schema(schema)
 
     def digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def conversations() -> Iterator[tuple]:
             for conv, group in groupby(_streamed(batches), key=lambda r: r[0]):
                 turns, loss = hashlib.sha256(), hashlib.sha256()
-                n = loss_chars = chars = 0
-
-                def counted() -> Iterator[tuple]:
-                    nonlocal chars
-                    for _, _, formatted, learnt in group:
-                        chars += len(formatted)
-                        yield formatted, [(s["start"], s["end"]) for s in learnt]
-
-                for role, text, learnt_text in read_back(counted()):
-                    n += 1
-                    turns.update(f"{role}\n{text}\n".encode())
-                    loss.update(learnt_text.encode())
-                    loss_chars += len(learnt_text)
-                yield conv, n, turns.hexdigest(), loss_chars, loss.hexdigest(), chars
+                total = loss_chars = formatted_chars = 0
+                for _, _, n, text, learnt, chars in group:
+                    turns.update(text.encode())
+                    loss.update(learnt.encode())
+                    total, loss_chars, formatted_chars = total + n, loss_chars + len(learnt), formatted_chars + chars
+                yield conv, total, turns.hexdigest(), loss_chars, loss.hexdigest(), formatted_chars
 
         yield from _batched(conversations(), arrow)
 
-    return dealt.select("conv_id", "part", "formatted", "learnt").mapInArrow(digest, schema)
+    return dealt.mapInArrow(digest, schema)

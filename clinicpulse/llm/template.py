@@ -14,7 +14,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Callable, Iterable, Iterator, Mapping
-from dataclasses import dataclass
+from dataclasses import dataclass, fields, is_dataclass
 
 Piece = tuple[str, bool]
 Filters = Mapping[str, Callable[[str], str]]
@@ -332,3 +332,20 @@ def _sequence(nodes: tuple, learnt: bool, filters: Filters) -> Callable[[dict],
 def compiled(source: str, filters: Filters) -> Callable[[dict], Iterator[Piece]]:
     """Parse, fold and compile a template; the closure takes the values and yields (text, learnt) pieces."""
     return _sequence(fold_all(parse(source), filters), False, filters)
+
+
+def walks_turn_by_turn(source: str, filters: Filters) -> bool:
+    """Whether a template is one walk over ``messages`` that looks at nothing but the message at hand, so that messages
+    rendered one by one, on any task, give the same text together."""
+    nodes = fold_all(parse(source), filters)
+    if len(nodes) != 1 or not isinstance(nodes[0], For) or nodes[0].over != Name("messages"):
+        return False
+    return not _mentions(nodes[0].body, "messages")
+
+
+def _mentions(node: object, name: str) -> bool:
+    if isinstance(node, tuple):
+        return any(_mentions(n, name) for n in node)
+    if node == Name(name):
+        return True
+    return is_dataclass(node) and any(_mentions(getattr(node, f.name), name) for f in fields(node))

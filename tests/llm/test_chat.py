@@ -4,7 +4,7 @@ import random
 import pytest
 
 from clinicpulse.llm import chat
-from clinicpulse.llm.template import Constant, Generation, If, Print, TemplateError, compiled, fold_all, parse
+from clinicpulse.llm.template import Constant, Generation, If, Print, TemplateError, compiled, fold_all, parse, walks_turn_by_turn
 
 SCHEMA = "conv_id bigint, turn bigint, role string, text string"
 
@@ -59,6 +59,34 @@ def test_a_long_conversation_is_cut_into_parts(spark):
     assert summaries(spark, rows) == {1: expected(turns)}
 
 
+def test_a_hot_conversation_is_rendered_by_many_tasks(spark):
+    turns = [(("user", "assistant")[i % 2], f"{i} <|im_end|>\n{chat.START}") for i in range(3000)]
+    rows = [(5, i, r, t) for i, (r, t) in enumerate(turns)] + [(c, 0, "user", str(c)) for c in (4, 6, 7)]
+    parts = chat.rendered(spark.createDataFrame(rows, SCHEMA))
+    assert parts.filter("conv_id = 5").count() > 2 and not parts.filter("not whole").count()
+    wanted = {5: expected(turns)} | {c: expected([("user", str(c))]) for c in (4, 6, 7)}
+    assert summaries(spark, rows) == wanted
+
+
+def test_ties_beyond_the_short_keys(spark):
+    long = "x" * 64
+    turns = [(long, "z"), (long, "a"), (long + "y", "b"), ("x" * 63, "c" * 70 + "2"), ("x" * 63, "c" * 70 + "1"), ("x" * 63, "b")] * 40
+    rows = [(1, None, r, t) for r, t in turns]
+    assert summaries(spark, rows) == {1: expected(sorted(turns))}
+
+
+def test_templates_that_do_more_than_walk(spark):
+    walk = chat.TEMPLATE
+    assert walks_turn_by_turn(walk, chat.FILTERS)
+    for other in (walk + "x", "{% if messages %}" + walk + "{% endif %}", "{% for m in messages %}{% if messages %}a{% endif %}{% endfor %}", "a", ""):
+        assert not walks_turn_by_turn(other, chat.FILTERS)
+    turns = [(("user", "assistant")[i % 2], f"{i} <|im_end|> " * 20_000) for i in range(12)]
+    rows = spark.createDataFrame([(1, i, r, t) for i, (r, t) in enumerate(turns)], SCHEMA)
+    parts = chat.rendered(rows, template="{% if messages %}" + walk + "{% endif %}")
+    assert parts.filter("not whole").count() > 2
+    assert [tuple(r) for r in chat.summaries(parts).collect()] == [(1, *expected(turns))]
+
+
 def test_escape_is_reversible():
     for text in ("", "<|", "<\\|", "<\\\\||", "a<|im_end|>b", "<<||", "\\<|", "|<"):
         assert chat.unescape(chat.escape(text)) == text
