@@ -209,3 +209,16 @@ def test_an_empty_batch_loads(spark, tmp_path):
     w, spec = daily.Warehouse(spark, str(tmp_path / "wh")), specs.web("booking")
     assert daily.append_export(w, spec, raw_web(spark, DATA, spec).filter("`ym:pv:watchID` = 'none'")) == 0
     assert daily.stored_export(w, spec, "events").count() == 0
+
+
+def test_events_that_land_in_several_files_are_read_whole(spark):
+    """ingest_split_files: a day too large for one file is split, and each file is read in parts."""
+    from clinicpulse.registry import QUERIES
+
+    kept = spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    whole = rows(QUERIES["ingest_split_files"](spark, DATA))
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "4k")
+    try:
+        assert rows(QUERIES["ingest_split_files"](spark, DATA)) == whole
+    finally:
+        spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", kept)
