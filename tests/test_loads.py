@@ -222,3 +222,23 @@ def test_events_that_land_in_several_files_are_read_whole(spark):
         assert rows(QUERIES["ingest_split_files"](spark, DATA)) == whole
     finally:
         spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", kept)
+
+
+def test_a_batch_is_parsed_once_whatever_is_made_of_it(spark, tmp_path):
+    """ingest_rejects, ingest_in_batches, resume_after_failure: rows, copies and rejects come from one reading."""
+    spec, w = specs.mobile(), daily.Warehouse(spark, str(tmp_path / "w"))
+    write_csv(tmp_path / "in" / "export_date=2024-01-05", ["a", "b", "b"])
+    raw = landing.with_file(landing.read(spark, str(tmp_path / "in"), spec, *DAYS))
+    parsed = spark.sparkContext.accumulator(0)
+
+    @F.udf("string")
+    def counted(name):
+        parsed.add(1)
+        return "not-a-uuid"
+
+    raw = raw.withColumn("google_aid", counted.asNondeterministic()("event_name"))
+    daily.append_export(w, spec, raw)
+    assert parsed.value == 3
+    found = w.rejects(spec).read()
+    assert {r["landed_file"] for r in found.collect()} == {"export_date=2024-01-05/one.csv"}
+    assert found.agg(F.sum("copies")).first()[0] == 3 == daily.stored_export(w, spec, "events").count()
