@@ -29,7 +29,7 @@ from clinicpulse.operators.staging import stage
 
 _BORROWS = 1024
 _SKETCH_BINS = 512
-_BLOCK = 128
+_BLOCK = 512
 _FEW = 4
 
 
@@ -157,7 +157,10 @@ def _confirmed(edges: DataFrame, texts: DataFrame, settings: Settings) -> DataFr
 
 
 def _blocks(members: DataFrame) -> DataFrame:
-    """Cut the open buckets (key, node, component, n, sketch, bands) into blocks of about ``_BLOCK`` on either side."""
+    """Cut the open buckets (key, node, component) into blocks of about ``_BLOCK`` on either side.
+
+    A member is repeated for the blocks it meets, so its sketch is joined later.
+    """
     sizes = members.groupBy("key", "component").agg(F.count(F.lit(1)).alias("size"))
     per_key = sizes.groupBy("key").agg(
         F.sum("size").alias("total"), F.max(F.struct("size", "component")).alias("most")
@@ -170,7 +173,7 @@ def _blocks(members: DataFrame) -> DataFrame:
     )
     known = members.join(per_key, "key").withColumn("spread", F.xxhash64("node"))
     every = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), F.col(n) - 1))
-    columns = ["node", "component", (F.col("component") == F.col("main")).alias("inside"), "n", "sketch", "bands"]
+    columns = ["node", "component", (F.col("component") == F.col("main")).alias("inside")]
     # A target meets every chunk of askers, an asker every block of targets.
     targets = known.select(
         "key", F.pmod("spread", "blocks").alias("block"), every("chunks").alias("chunk"), F.lit(False).alias("asks"), *columns
@@ -299,7 +302,7 @@ def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text: str = "tex
             marks = texts.join(open_.select("node").distinct(), "node", "left_semi")
             marks = marks.select("node", sketched("text").alias("s")).select("node", "s.n", "s.sketch", "s.bands")
             marks = stage(marks.filter("n > 0"), "sketches")
-        pairs = _likely_pairs(_blocks(open_.join(marks, "node")), settings.percent, most)
+        pairs = _likely_pairs(_blocks(open_).join(marks, "node"), settings.percent, most)
         new = stage(pairs.join(tried, ["a", "b"], "left_anti"), "pairs")
         more = stage(_confirmed(new, texts, settings), "links")
         tried = tried.unionByName(new)

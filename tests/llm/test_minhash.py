@@ -71,3 +71,12 @@ def test_agreement_of_bins_estimates_similarity():
         x, y = (minhash.signature(np.unique(np.r_[common, s]), 160) for s in (a, b))
         same.append((x == y).mean())
     assert abs(np.mean(same) - 0.8) < 0.02
+
+
+def test_members_are_dealt_to_blocks_without_their_sketches(spark):
+    """A bucket of n members with m outside the largest component makes about n + m rows for each 512 of the others."""
+    members = spark.range(2000).selectExpr("1L AS key", "id AS node", "IF(id < 1400, 0L, id) AS component")
+    blocks = minhash._blocks(members)
+    assert set(blocks.columns) == {"key", "block", "chunk", "asks", "node", "component", "inside"}
+    # 600 ask in 2 chunks and meet 2000 in 4 blocks.
+    assert blocks.count() == 2000 * 2 + 600 * 4
