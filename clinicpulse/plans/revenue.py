@@ -130,7 +130,8 @@ def by_mode(t: Mapping[str, DataFrame], months: Months, params: RevenueParams) -
     The lines in range are written once; plans, discounts and prices are cut to them before they are folded.
     """
     found = stage(services(t, months, params), "services")
-    lines = found.select("line").distinct()
+    # Every line has a copy: the filter marks this side as one that a Bloom filter may be made of.
+    lines = found.filter("copies > 0").select("line")
     under_plan = planned(t, lines, params).withColumn("in_plan", F.lit(True))
     off = F.col("in_plan").isNull()
     priced = (

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from clinicpulse import bindings as B
 from clinicpulse import params as P
+from clinicpulse import session
 from clinicpulse.functions.periods import Months
 from clinicpulse.operators import joins, rowid, staging, upsert
 from clinicpulse.params import AppointmentParams, RevenueParams
@@ -370,3 +371,22 @@ def test_staged_frames_live_in_the_shared_folder(spark):
     assert staged.count() == 3
     with pytest.raises(Exception, match="FAILED_READ_FILE|PATH_NOT_FOUND|does not exist"):
         inner.collect()
+
+
+def test_prices_and_discounts_of_a_large_scan_are_cut_before_they_are_shuffled(spark):
+    """revenue_month, revenue_rounding_*: a Bloom filter of the lines in range is looked up while lineitem is read."""
+    name = "spark.sql.optimizer.runtime.bloomFilter.applicationSideScanSizeThreshold"
+    broadcast = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    t = B.tables(spark, DATA, rounding="1")
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        spark.conf.set(name, "1k")
+        cut = revenue.by_mode(t, clinic.REVENUE_MONTHS, clinic.REVENUE_PARAMS)
+        plan = cut._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.count("might_contain") >= 3
+        found = sorted(map(tuple, cut.collect()))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", broadcast)
+        spark.conf.unset(name)
+        session.configure(spark)
+    assert found == sorted(map(tuple, revenue.by_mode(t, clinic.REVENUE_MONTHS, clinic.REVENUE_PARAMS).collect()))
