@@ -11,6 +11,7 @@ from clinicpulse import params as P
 from clinicpulse.functions import periods, scalars
 from clinicpulse.functions.periods import Months
 from clinicpulse.operators import upsert
+from clinicpulse.operators.staging import stage
 from clinicpulse.params import AppointmentParams
 
 
@@ -76,20 +77,22 @@ def latest_source(log: DataFrame, after: date) -> DataFrame:
 
     A missing update time counts as newest. Equal times are settled by the channel name.
     """
-    # One row per appointment and channel first, with the time as a number, newest if missing.
+    # One row per appointment and channel first, with the time as a number, newest if missing. Each step is written, so
+    # that a task holds one aggregate and one table of ids at a time.
     newest = F.when(F.count("updated_at") == F.count(F.lit(1)), F.unix_micros(F.max("updated_at").cast("timestamp")))
-    per_channel = (
+    per_channel = stage(
         log.filter(F.col("created_at") >= F.date_add(F.lit(after), 1))
         .groupBy(F.col("appointment_oid").alias("appointment_id"), "source")
-        .agg(F.coalesce(newest, F.lit(_NO_TIME)).alias("at"))
+        .agg(F.coalesce(newest, F.lit(_NO_TIME)).alias("at")),
+        "channel-times",
     )
     last = per_channel.groupBy("appointment_id").agg(F.max("at").alias("at"))
-    tied = per_channel.join(last, ["appointment_id", "at"])
+    tied = stage(per_channel.join(last.hint("shuffle_hash"), ["appointment_id", "at"]), "channels-tied")
     other = tied.select(F.col("appointment_id").alias("same"), F.col("source").alias("other"))
     higher = (F.col("source") < F.col("other")) | (F.col("source").isNull() & F.col("other").isNotNull())
-    return tied.join(other, (F.col("appointment_id") == F.col("same")) & higher, "left_anti").select(
-        "appointment_id", "source"
-    )
+    return tied.join(
+        other.hint("shuffle_hash"), (F.col("appointment_id") == F.col("same")) & higher, "left_anti"
+    ).select("appointment_id", "source")
 
 
 def with_channel(appointments: DataFrame, sources: DataFrame) -> DataFrame:

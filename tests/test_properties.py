@@ -390,3 +390,12 @@ def test_prices_and_discounts_of_a_large_scan_are_cut_before_they_are_shuffled(s
         spark.conf.unset(name)
         session.configure(spark)
     assert found == sorted(map(tuple, revenue.by_mode(t, clinic.REVENUE_MONTHS, clinic.REVENUE_PARAMS).collect()))
+
+
+def test_channels_are_settled_by_tables_of_ids(spark):
+    """channel_moved_away: no task sorts the log or holds several aggregates of it at once."""
+    log = B.tables(spark, DATA)["appointment_record"]
+    plan = appointments.latest_source(log, date(1995, 6, 1))._jdf.queryExecution().executedPlan().toString()
+    assert "ShuffledHashJoin" in plan
+    for held in ("SortMergeJoin", "HashAggregate"):
+        assert held not in plan
